@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from tradewind.functions.columns import count_where, half_up, parse_timestamp, ratio
 from tradewind.functions.text import text_features
-from tradewind.operators.ordering import exact_quantiles
+from tradewind.operators.ordering import column_quantiles
 from tradewind.schemas import DEFAULT_RULES, MAX_NULL_CRITICAL, CleaningRules
 from tradewind.session import settle
 
@@ -210,9 +210,9 @@ def _fill_numeric(df: DataFrame, actions: Mapping[str, str]) -> DataFrame:
             *[ratio(F.sum(c), F.count(c)).alias(c) for c in means]
         ).first()
         fills.update({c: row[c] for c in means})
-    for c, action in numeric.items():
-        if action == "median":
-            fills[c] = exact_quantiles(df, c, [0.5])[0]
+    medians = [c for c, a in numeric.items() if a == "median"]
+    if medians:
+        fills.update({c: v[0] for c, v in column_quantiles(df, medians, [0.5]).items()})
     return df.withColumns(
         {
             c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double"))

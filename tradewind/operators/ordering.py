@@ -9,7 +9,7 @@ many ranges.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
@@ -92,9 +92,19 @@ def _quantile_slots(rows: int, shares: Sequence[float]) -> list[tuple[int, int,
     return slots
 
 
-def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:
-    """Interpolated quantiles of a column, nulls ignored; None on empty input."""
-    return grouped_quantiles(df, [], value, shares).get((), [None] * len(shares))
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float]
+) -> dict[str, list[float | None]]:
+    """Interpolated quantiles of numeric columns, all in one sort; nulls ignored.
+
+    A column without any value gives None for each share.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    ])
+    long = df.select(F.explode(cells).alias("cell")).select("cell.*")
+    found = grouped_quantiles(long, ["column"], "value", shares)
+    return {c: found.get((c,), [None] * len(shares)) for c in columns}
 
 
 def grouped_quantiles(
@@ -143,27 +153,41 @@ def rank_bin_ends(rows: int, bins: int) -> list[int]:
     return [int(1 + (rows - 1) * b / bins) for b in range(1, bins)]
 
 
-def tile_column(
-    df: DataFrame, value: str, tie: str, ends: Sequence[int], descending: bool = False
-) -> Column:
-    """Tile number 1.. of each row of ``df`` in the order of value, then tie.
+def tile_columns(
+    df: DataFrame, metrics: Mapping[str, tuple[str, bool]], tie: str, ends: Sequence[int]
+) -> dict[str, Column]:
+    """Tile number 1.. of each row per metric: name -> (column, descending).
 
-    The order is only needed up to the rows that end a tile, so nothing is
-    joined back: a row's tile is the number of tile ends it lies beyond, plus 1.
+    ``df`` is read more than once, so settle it first. All metrics are put in
+    order by one sort of (metric, value, tie), and the order is only needed at
+    the rows that end a tile: a row's tile is the number of those rows it lies
+    behind, plus 1. Nothing is joined back.
     """
-    key = F.col(value)
-    order = [key.desc() if descending else key.asc(), F.col(tie).asc()]
-    found = rows_at(df.select(value, tie), order, ends)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    tile = F.lit(1)
-    for end in ends:
-        if end not in found:
-            continue
-        edge = F.lit(found[end][value]).cast(types[value])
-        edge_tie = F.lit(found[end][tie]).cast(types[tie])
-        beyond = (key < edge) if descending else (key > edge)
-        tile = tile + F.when(beyond | ((key == edge) & (F.col(tie) > edge_tie)), 1).otherwise(0)
-    return tile
+    names = sorted(metrics)
+    # One sort direction and one type for all metrics.
+    keys = {
+        n: (-F.col(metrics[n][0]) if metrics[n][1] else F.col(metrics[n][0])).cast("decimal(38,6)")
+        for n in names
+    }
+    cells = F.array(*[F.struct(F.lit(n).alias("metric"), keys[n].alias("key")) for n in names])
+    long = df.select(F.explode(cells).alias("cell"), F.col(tie)).select("cell.*", tie)
+    rows = df.count()
+    found = rows_at(
+        long, [F.col("metric"), F.col("key"), F.col(tie)],
+        [i * rows + end for i in range(len(names)) for end in ends if 0 < end <= rows],
+    )
+    tie_type = df.schema[tie].dataType
+    tiles = {}
+    for i, n in enumerate(names):
+        tile = F.lit(1)
+        for end in ends:
+            last = found.get(i * rows + end)
+            if last is not None and 0 < end <= rows:
+                edge, edge_tie = F.lit(last["key"]), F.lit(last[tie]).cast(tie_type)
+                behind = (keys[n] > edge) | ((keys[n] == edge) & (F.col(tie) > edge_tie))
+                tile = tile + F.when(behind, 1).otherwise(0)
+        tiles[n] = tile
+    return tiles
 
 
 def with_global_row_number(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tradewind.functions.columns import count_where, half_up, parse_timestamp, percent, ratio
 from tradewind.operators.grain import by_order
-from tradewind.operators.ordering import exact_quantiles, rows_at
+from tradewind.operators.ordering import column_quantiles, rows_at
 from tradewind.plans.customers import order_counts_per_customer
 from tradewind.plans.revenue import customer_totals, delivered_orders
 from tradewind.session import settle
@@ -56,7 +56,7 @@ def clv_distribution(orders: DataFrame, items: DataFrame) -> DataFrame:
     value = settle(
         items_of_orders(orders, items).groupBy("customer_id").agg(_revenue().alias("clv"))
     )
-    median = exact_quantiles(value, "clv", [0.5])[0]
+    median = column_quantiles(value, ["clv"], [0.5])["clv"][0]
     return value.agg(
         ratio(F.sum("clv"), F.count("*"), 2).alias("mean_clv"),
         half_up(F.lit(median), 2).alias("median_clv"),

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tradewind.functions.columns import floor_days, half_up, percent, ratio
 from tradewind.operators.grain import by_order
-from tradewind.operators.ordering import exact_quantiles, rank_bin_ends, tile_column, tile_ends
+from tradewind.operators.ordering import (
+    column_quantiles, rank_bin_ends, tile_columns, tile_ends,
+)
 from tradewind.plans.revenue import delivered_orders
 from tradewind.plans.views import as_of_date
 from tradewind.session import settle
@@ -93,11 +95,11 @@ def rfm_sql(fact: DataFrame, customers: DataFrame, as_of: dt.date | None = None)
         )
     )
     ends = tile_ends(base.count(), 4)
-    scored = base.withColumns({
-        "r_score": tile_column(base, "recency_days", "customer_id", ends, descending=True),
-        "f_score": tile_column(base, "frequency", "customer_id", ends),
-        "m_score": tile_column(base, "monetary", "customer_id", ends),
-    })
+    scored = base.withColumns(tile_columns(base, {
+        "r_score": ("recency_days", True),
+        "f_score": ("frequency", False),
+        "m_score": ("monetary", False),
+    }, "customer_id", ends))
     scores = F.struct("r_score", "f_score", "m_score")
     segment = None
     for exact, name in EXACT_SEGMENTS.items():
@@ -136,11 +138,12 @@ def rfm_distribution(base: DataFrame) -> DataFrame:
     """Mean, median, extremes and spread of the three metrics, one row each."""
     metrics = ("recency_days", "frequency", "monetary")
     base = settle(base.select(*metrics))
+    medians = column_quantiles(base, metrics, [0.5])
     stats = base.agg(*[
         F.struct(
             F.lit(m).alias("metric"),
             ratio(F.sum(m), F.count(m), 2).alias("mean"),
-            half_up(F.lit(exact_quantiles(base, m, [0.5])[0]), 2).alias("median"),
+            half_up(F.lit(medians[m][0]), 2).alias("median"),
             half_up(F.min(m), 2).alias("min"),
             half_up(F.max(m), 2).alias("max"),
             half_up(F.stddev_samp(F.col(m).cast("double")), 2).alias("std"),
@@ -174,12 +177,11 @@ def rfm_scores(base: DataFrame) -> DataFrame:
     """Quarter scores 1..4: recency inverted, frequency by rank, value by quantile."""
     base = settle(base)
     ends = rank_bin_ends(base.count(), 4)
-    recency = exact_quantiles(base, "recency_days", QUARTERS)
-    monetary = exact_quantiles(base, "monetary", QUARTERS)
+    edges = column_quantiles(base, ["recency_days", "monetary"], QUARTERS)
     scored = base.withColumns({
-        "r_score": F.lit(5) - _bins("recency_days", recency),
-        "f_score": tile_column(base, "frequency", "customer_id", ends),
-        "m_score": _bins("monetary", monetary),
+        "r_score": F.lit(5) - _bins("recency_days", edges["recency_days"]),
+        **tile_columns(base, {"f_score": ("frequency", False)}, "customer_id", ends),
+        "m_score": _bins("monetary", edges["monetary"]),
     })
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return scored.withColumn("rfm_score", half_up(total / 3, 2))
@@ -214,10 +216,8 @@ def rfm_quantile_rules(base: DataFrame) -> DataFrame:
     """
     base = settle(base)
     shares = sorted({s for _, limits in QUANTILE_SEGMENTS for s in limits if s > 0})
-    cuts = {
-        m: dict(zip(shares, exact_quantiles(base, m, shares)))
-        for m in ("recency_days", "frequency", "monetary")
-    }
+    metrics = ("recency_days", "frequency", "monetary")
+    cuts = {m: dict(zip(shares, v)) for m, v in column_quantiles(base, metrics, shares).items()}
     segment = None
     for name, (r, f, m) in QUANTILE_SEGMENTS:
         hit = F.lit(True)

@@ -707,7 +707,8 @@ def global_rank(spark, folder):
     ranked = ordering.with_global_rank(
         base, "total_orders", "customer_id", "rank", descending=True
     )
-    tile = ordering.tile_column(
-        base, "total_orders", "customer_id", ordering.tile_ends(base.count(), 4)
+    tiles = ordering.tile_columns(
+        base, {"quarter": ("total_orders", False)}, "customer_id",
+        ordering.tile_ends(base.count(), 4),
     )
-    return ranked.withColumn("quarter", tile)
+    return ranked.withColumns(tiles)
