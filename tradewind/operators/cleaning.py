@@ -7,7 +7,7 @@ lazy column expressions; only mean and median need a value from the data.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
@@ -16,10 +16,12 @@ from tradewind.functions.columns import count_where, half_up, parse_timestamp, r
 from tradewind.functions.text import text_features
 from tradewind.operators.ordering import column_quantiles
 from tradewind.schemas import DEFAULT_RULES, MAX_NULL_CRITICAL, CleaningRules
-from tradewind.session import settle
+from tradewind.session import settle, stored
 
 log = logging.getLogger(__name__)
 
+Keep = Callable[[str, DataFrame], DataFrame]
+
 
 class DataQualityError(ValueError):
     """A table breaks a rule that must stop the run."""
@@ -49,27 +51,25 @@ def critical_report(
 ) -> DataFrame:
     """Null share of every critical field and whether it passes."""
     present = [c for c in fields if c in df.columns]
-    counts = null_shares(df, present)
-    rows = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(c).alias("field"),
-                F.col(c).alias("null_count") if c in present else F.lit(None).cast("long").alias("null_count"),
-            )
-            for c in fields
-        ])
-    )
+    entries = F.array(*[
+        F.struct(
+            F.lit(c).alias("field"),
+            (F.col(c) if c in present else F.lit(None).cast("long")).alias("null_count"),
+        )
+        for c in fields
+    ])
     share = ratio(F.col("null_count"), F.col("rows"))
     return (
-        counts.select("rows", rows.alias("r"))
-        .select(F.lit(table).alias("table_name"), "r.field", "rows", "r.null_count")
-        .withColumn("null_pct", half_up(share * 100, 4))
-        # An empty table has no share and passes.
-        .withColumn(
-            "passed",
-            F.when(F.col("null_count").isNull(), 0)
-            .otherwise(F.coalesce((share <= max_null).cast("int"), F.lit(1))),
-        )
+        null_shares(df, present)
+        .select(F.lit(table).alias("table_name"), "rows", F.explode(entries).alias("r"))
+        .select("table_name", "r.field", "rows", "r.null_count")
+        .withColumns({
+            "null_pct": half_up(share * 100, 4),
+            # An absent field fails; an empty table has no share and passes.
+            "passed": F.when(F.col("null_count").isNull(), 0).otherwise(
+                F.coalesce((share <= max_null).cast("int"), F.lit(1))
+            ),
+        })
     )
 
 
@@ -258,17 +258,19 @@ def fill_approved_at(orders: DataFrame) -> DataFrame:
 
 def clean_table(
     df: DataFrame, table: str, rules: CleaningRules, max_null: float = MAX_NULL_CRITICAL,
-    order_by: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None, keep: Keep | None = None,
 ) -> DataFrame:
     """Critical fields, duplicates, timestamps, flags, imputing, overrides, ranges.
 
-    Rules that look at the deduplicated rows (fills from the data, ranges) would
-    each repeat that shuffle, so the rows are settled once before them.
+    ``keep(table, rows)`` stores the finished rows and returns them as stored, so
+    that the range check and every later reader share one computation. Without
+    it, tables that need a range check are settled.
     """
     _raise_critical(table, _critical_faults(df, table, rules.critical, max_null))
     df = dedupe_first(df, rules.key, order_by)
     df = coerce_timestamps(df, rules.timestamps)
-    if rules.ranges or {"mean", "median"} & set(rules.missing.values()):
+    if {"mean", "median"} & set(rules.missing.values()):
+        # Fills taken from the data read the deduplicated rows several times.
         df = settle(df)
     df = missing_flags(df, rules.presence_flags)
     df = impute(df, table, rules.missing)
@@ -276,17 +278,21 @@ def clean_table(
         df = fill_approved_at(df)
     if rules.text:
         df = text_features(df, rules.text)
+    if keep is not None:
+        df = keep(table, df)
+    elif rules.ranges:
+        df = settle(df)
     return validate_ranges(df, table, rules.ranges)
 
 
 def clean_all(
     tables: Mapping[str, DataFrame], rules: Mapping[str, CleaningRules] | None = None,
-    max_null: float = MAX_NULL_CRITICAL,
+    max_null: float = MAX_NULL_CRITICAL, keep: Keep | None = None,
 ) -> dict[str, DataFrame]:
     """Clean every table that has rules; the others pass through."""
     rules = DEFAULT_RULES if rules is None else rules
     return {
-        name: clean_table(df, name, rules[name], max_null) if name in rules else df
+        name: clean_table(df, name, rules[name], max_null, keep=keep) if name in rules else df
         for name, df in tables.items()
     }
 
@@ -325,10 +331,22 @@ def coercion_failures(df: DataFrame, table: str, columns: Sequence[str]) -> Data
 # --- references ------------------------------------------------------------
 
 
-def referential_filter(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Drop fact rows whose customer, product or seller is not in its dimension."""
+def referential_filter(
+    fact: DataFrame, dims: Mapping[str, DataFrame],
+    keys_from: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Drop fact rows whose customer, product or seller is not in its dimension.
+
+    The few keys without a dimension row are found first, at one row per key,
+    and stored. Spark then knows their true size and broadcasts them if they are
+    small, so the wide fact is not shuffled once per dimension; if they are many
+    it falls back to a shuffled join. ``keys_from`` names narrower tables that
+    hold the keys of the fact (orders, order items), to avoid building it twice.
+    """
     for key, dim in _references(dims):
-        fact = fact.join(dim.select(key), key, "left_semi")
+        used = (keys_from or {}).get(key, fact).select(key).distinct()
+        lost = stored(used.join(dim.select(key), key, "left_anti"), "orphans")
+        fact = fact.filter(F.col(key).isNotNull()).join(lost, key, "left_anti")
     return fact
 
 

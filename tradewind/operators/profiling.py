@@ -25,19 +25,20 @@ def profile_schema(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Type, filled and empty values of every column."""
     parts = []
     for name, df in tables.items():
-        nulls, rows = null_shares(df, df.columns), F.col("rows")
-        parts.append(_long(nulls, [
+        entries = [
             F.struct(
-                F.lit(name).alias("table_name"),
-                F.lit(f.name).alias("column_name"),
+                F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
-                (rows - F.col(f.name)).alias("non_null_count"),
-                F.col(f.name).alias("null_count"),
-                percent(F.col(f.name), rows).alias("null_pct"),
+                F.col("rows"), F.col(f.name).alias("null_count"),
             )
             for f in df.schema.fields
-        ]))
-    return _union(parts)
+        ]
+        parts.append(_long(null_shares(df, df.columns), entries))
+    return _union(parts).select(
+        "table_name", "column_name", "data_type",
+        (F.col("rows") - F.col("null_count")).alias("non_null_count"), "null_count",
+        percent(F.col("null_count"), F.col("rows")).alias("null_pct"),
+    )
 
 
 def missing_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -67,11 +68,12 @@ def critical_null_report(
             F.struct(
                 F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
                 F.col(c).alias("null_count"),
-                F.when(F.col(c) == 0, "No missing").otherwise("Missing values").alias("status"),
             )
             for c in present
         ]))
-    return _union(parts)
+    return _union(parts).withColumn(
+        "status", F.when(F.col("null_count") == 0, "No missing").otherwise("Missing values")
+    )
 
 
 def null_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

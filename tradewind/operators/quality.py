@@ -311,61 +311,61 @@ def threshold_gate(
     """
     parts = []
     for name, rule in rules.items():
-        if name not in tables:
-            continue
-        parts += _gate_counts(tables[name], name, rule, tables)
-    return reduce(DataFrame.unionByName, parts)
+        if name in tables:
+            counts = _gate_counts(tables[name], rule, tables)
+            parts += [c.withColumn("table_name", F.lit(name)) for c in counts]
+    share = F.coalesce(ratio(F.col("failed"), F.col("checked")), F.lit(0.0))
+    return reduce(DataFrame.unionByName, parts).select(
+        "table_name", "check_name", "checked", "failed",
+        half_up(share * 100, 4).alias("failed_pct"),
+        F.when(share > F.col("fail"), "FAIL").when(share > F.col("warn"), "WARNING")
+        .otherwise("PASS").alias("result"),
+    )
 
 
-def _gate_counts(df, name, rule, tables) -> list[DataFrame]:
-    def verdict(checked: Column, failed: Column, warn: float, fail: float) -> list[Column]:
-        share = F.coalesce(ratio(failed, checked), F.lit(0.0))
+def _gate_counts(
+    df: DataFrame, rule: GateRules, tables: Mapping[str, DataFrame]
+) -> list[DataFrame]:
+    """Checked and failed rows with the limits of each check."""
+
+    def entry(check: str, checked: Column, failed: Column, warn: float, fail: float) -> list[Column]:
         return [
-            checked.alias("checked"), failed.alias("failed"),
-            half_up(share * 100, 4).alias("failed_pct"),
-            F.when(share > fail, "FAIL").when(share > warn, "WARNING").otherwise("PASS")
-            .alias("result"),
+            F.lit(check).alias("check_name"), checked.cast("long").alias("checked"),
+            failed.cast("long").alias("failed"), F.lit(warn).alias("warn"),
+            F.lit(fail).alias("fail"),
         ]
 
-    def named(check: str) -> list[Column]:
-        return [F.lit(name).alias("table_name"), F.lit(check).alias("check_name")]
-
-    rows = F.col("rows")
-    found = [
-        null_shares(df, df.columns).select(F.explode(F.array(*[
-            F.struct(
-                *named(f"null:{c}"),
-                *verdict(rows, F.col(c), *(
-                    (0.0, rule.max_null) if c in rule.critical else (MAX_NULL_WARNING, 1.0)
-                )),
-            )
-            for c in df.columns
-        ])).alias("e")).select("e.*")
-    ]
+    # Row checks share one pass over the table.
+    bad = {f"null:{c}": F.col(c).isNull() for c in df.columns}
+    limits = {
+        f"null:{c}": (0.0, rule.max_null) if c in rule.critical else (MAX_NULL_WARNING, 1.0)
+        for c in df.columns
+    }
     amounts = [c for c in ("price", "freight_value", "total_value") if c in df.columns]
     if amounts:
-        negative = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in amounts])
-        found.append(
-            df.agg(F.count("*").alias("rows"), count_where(negative).alias("bad")).select(
-                *named("negative amounts"), *verdict(rows, F.col("bad"), 0.0, MAX_INVALID)
-            )
-        )
-    per_key = df.groupBy(*rule.key).agg(F.count("*").alias("n"))
-    extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-    found.append(
-        per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), extra.alias("extra")).select(
-            *named("duplicates"), *verdict(rows, F.col("extra"), 0.0, MAX_DUPLICATES)
-        )
+        bad["negative amounts"] = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in amounts])
+        limits["negative amounts"] = (0.0, MAX_INVALID)
+    counts = df.agg(
+        F.count("*").alias("rows"),
+        *[count_where(rule_broken).alias(f"f{i}") for i, rule_broken in enumerate(bad.values())],
     )
+    found = [counts.select(F.explode(F.array(*[
+        F.struct(*entry(check, F.col("rows"), F.col(f"f{i}"), *limits[check]))
+        for i, check in enumerate(bad)
+    ])).alias("e")).select("e.*")]
+
+    per_key = df.groupBy(*rule.key).agg(F.count("*").alias("n"))
+    found.append(per_key.agg(
+        *entry("duplicates", F.coalesce(F.sum("n"), F.lit(0)),
+               F.coalesce(F.sum(F.col("n") - 1), F.lit(0)), 0.0, MAX_DUPLICATES)
+    ))
     for key, dim in rule.foreign_keys.items():
         used = df.groupBy(key).agg(F.count("*").alias("n"))
         known = tables[dim].select(key).distinct().withColumn("_known", F.lit(True))
-        checked = used.join(known, key, "left").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("lost"),
-        )
-        found.append(checked.select(
-            *named(f"reference:{key}"), *verdict(rows, F.col("lost"), 0.0, MAX_FK_VIOLATIONS)
+        lost = F.sum(F.when(F.col("_known").isNull(), F.col("n")))
+        found.append(used.join(known, key, "left").agg(
+            *entry(f"reference:{key}", F.coalesce(F.sum("n"), F.lit(0)),
+                   F.coalesce(lost, F.lit(0)), 0.0, MAX_FK_VIOLATIONS)
         ))
     return found
 
@@ -385,14 +385,26 @@ def fact_metrics(fact: DataFrame) -> DataFrame:
     )
     rows = F.col("rows")
     all_nulls = reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in columns])
-    metrics = {
-        "fact_table_rows": rows.cast("double"),
-        "fact_table_null_percentage": percent(all_nulls, rows * len(columns), 4),
-        "total_revenue": F.coalesce(F.col("value"), F.lit(0)).cast("double"),
-        "avg_order_value": ratio(F.col("value"), F.col("valued"), 4),
-        "negative_prices_count": F.col("negative").cast("double"),
-        "invalid_order_statuses": F.col("invalid").cast("double"),
-        **{f"null_pct_{c}": percent(F.col(f"null_{c}"), rows, 4) for c in columns},
+    # Each metric is part / whole; shares are worked out once, after the rows are long.
+    one_row, hundred = F.lit(1), F.lit(100.0)
+    parts = {
+        "fact_table_rows": (rows, one_row, None),
+        "fact_table_null_percentage": (all_nulls * hundred, rows * len(columns), 4),
+        "total_revenue": (F.coalesce(F.col("value"), F.lit(0)), one_row, None),
+        "avg_order_value": (F.col("value"), F.col("valued"), 4),
+        "negative_prices_count": (F.col("negative"), one_row, None),
+        "invalid_order_statuses": (F.col("invalid"), one_row, None),
+        **{f"null_pct_{c}": (F.col(f"null_{c}") * hundred, rows, 4) for c in columns},
     }
-    entries = [F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in metrics.items()]
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    entries = [
+        F.struct(
+            F.lit(name).alias("metric"), part.cast("double").alias("part"),
+            whole.cast("double").alias("whole"), F.lit(digits is not None).alias("rounded"),
+        )
+        for name, (part, whole, digits) in parts.items()
+    ]
+    return one.select(F.explode(F.array(*entries)).alias("e")).select(
+        "e.metric",
+        F.when(F.col("e.rounded"), half_up(F.try_divide("e.part", "e.whole"), 4))
+        .otherwise(F.col("e.part")).alias("value"),
+    )

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewind.operators.aggregates import STATE_KEYS, aggregate
 from tradewind.operators.cleaning import clean_all, referential_filter
 from tradewind.operators.star import DEFAULT_SOURCE, dimensions, fact_order_items
-from tradewind.schemas import CleaningRules
-from tradewind.sources.tables import read_back, write_layers
+from tradewind.schemas import STAGED_TABLES, CleaningRules
+from tradewind.session import settle
+from tradewind.sources.tables import FACT_PARTITION, read_back, replace_table
 
 log = logging.getLogger(__name__)
 
@@ -29,47 +30,35 @@ class Warehouse:
     failures: dict[str, str] = field(default_factory=dict)
 
 
-def transform(
-    raw: Mapping[str, DataFrame], rules: Mapping[str, CleaningRules] | None = None,
-    run_ts: dt.datetime | None = None, source: str = DEFAULT_SOURCE,
-) -> Warehouse:
-    """Clean tables, fact and dimensions. Any broken rule raises."""
-    tables = clean_all(raw, rules)
-    dims = dimensions(tables, run_ts, source)
-    fact = fact_order_items(tables["orders"], tables["order_items"], run_ts, source)
-    return Warehouse(tables, dims, referential_filter(fact, dims))
+def clean(
+    raw: Mapping[str, DataFrame], folder: str,
+    rules: Mapping[str, CleaningRules] | None = None,
+) -> dict[str, DataFrame]:
+    """Clean the raw tables; staged ones are stored once and read from there on."""
 
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        if name not in STAGED_TABLES:
+            return settle(df)
+        path = f"{folder}/staging/raw_{name}"
+        replace_table(df, path)
+        return read_back(df.sparkSession, path, df)
 
-def load(house: Warehouse, folder: str, run_ts: dt.datetime | None = None) -> Warehouse:
-    """Write every layer and return the same warehouse read from its files.
+    return clean_all(raw, rules, keep=keep)
 
-    The fact is stored before the aggregates are built from it, so its joins
-    run once. A failing aggregate is reported and does not stop the run.
-    """
-    spark = house.fact.sparkSession
-    paths = write_layers(folder, house.tables, house.dims, {}, house.fact)
-    fact = read_back(spark, paths["fact_order_items"], house.fact)
-    aggregates, failures = {}, {}
-    for name in STATE_KEYS:
-        try:
-            built = aggregate(fact, name, run_ts)
-            paths |= write_layers_aggregate(folder, name, built)
-            aggregates[name] = read_back(spark, paths[name], built)
-        except Exception as error:  # noqa: BLE001 - reported to the caller
-            log.warning("aggregate %s failed: %s", name, error)
-            failures[name] = str(error)
-    tables = {
-        t: read_back(spark, paths[f"raw_{t}"], df) if f"raw_{t}" in paths else df
-        for t, df in house.tables.items()
-    }
-    dims = {d: read_back(spark, paths[d], df) for d, df in house.dims.items()}
-    return Warehouse(tables, dims, fact, aggregates, failures)
 
-
-def write_layers_aggregate(folder: str, name: str, df: DataFrame) -> dict[str, str]:
-    path = f"{folder}/dwh/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return {name: path}
+def star(
+    tables: Mapping[str, DataFrame], run_ts: dt.datetime | None = None,
+    source: str = DEFAULT_SOURCE,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Fact with valid references only, and the dimensions."""
+    dims = dimensions(tables, run_ts, source)
+    fact = fact_order_items(tables["orders"], tables["order_items"], run_ts, source)
+    keys = {
+        "customer_id": tables["orders"],
+        "product_id": tables["order_items"],
+        "seller_id": tables["order_items"],
+    }
+    return referential_filter(fact, dims, keys), dims
 
 
 def run(
@@ -77,5 +66,27 @@ def run(
     rules: Mapping[str, CleaningRules] | None = None, run_ts: dt.datetime | None = None,
     source: str = DEFAULT_SOURCE,
 ) -> Warehouse:
-    """Raw tables to a loaded warehouse."""
-    return load(transform(raw, rules, run_ts, source), folder, run_ts)
+    """Raw tables to a loaded warehouse, every layer stored and read back.
+
+    Any broken rule of cleaning, fact or dimensions raises. The fact is stored
+    before aggregates are built from it, so its joins run once. An aggregate
+    that fails is reported and does not stop the run.
+    """
+    tables = clean(raw, folder, rules)
+    fact, dims = star(tables, run_ts, source)
+
+    def keep(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{folder}/dwh/{name}"
+        replace_table(df, path, partition_by)
+        return read_back(spark, path, df)
+
+    dims = {name: keep(name, df) for name, df in dims.items()}
+    fact = keep("fact_order_items", fact, (FACT_PARTITION,))
+    house = Warehouse(tables, dims, fact)
+    for name in STATE_KEYS:
+        try:
+            house.aggregates[name] = keep(name, aggregate(fact, name, run_ts))
+        except Exception as error:  # noqa: BLE001 - reported to the caller
+            log.warning("aggregate %s failed: %s", name, error)
+            house.failures[name] = str(error)
+    return house

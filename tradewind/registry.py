@@ -16,7 +16,7 @@ from tradewind.functions import text
 from tradewind.operators import aggregates, cleaning, ordering, profiling, quality, star
 from tradewind.plans import customers, metrics, pipeline, products, revenue, rfm, sellers, views
 from tradewind.schemas import DEFAULT_RULES
-from tradewind.session import configure, scratch_path, settle
+from tradewind.session import configure, scratch_path, settle, stored
 from tradewind.sources import files, retail, tables
 from tradewind.streaming import refresh
 
@@ -27,6 +27,7 @@ AS_OF = dt.datetime(2024, 1, 2, 6, 0, 0)
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 _HOUSES: dict[tuple[str, str], pipeline.Warehouse] = {}
+_UNFILTERED: dict[tuple[str, str], DataFrame] = {}
 
 
 def house(spark: SparkSession, folder: str) -> pipeline.Warehouse:
@@ -297,21 +298,34 @@ def clean_all(spark, folder):
 
 
 def _unfiltered(spark, folder):
+    """The fact before its references are checked, and the dimensions."""
     h = house(spark, folder)
     return star.fact_order_items(h.tables["orders"], h.tables["order_items"], RUN_TS), h.dims
 
 
+def _unfiltered_stored(spark, folder):
+    """The same, stored once: checks read a loaded table several times."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _UNFILTERED:
+        fact, _ = _unfiltered(spark, folder)
+        _UNFILTERED[key] = stored(fact, "unfiltered")
+    return _UNFILTERED[key], house(spark, folder).dims
+
+
 @query
 def referential_filter(spark, folder):
     fact, dims = _unfiltered(spark, folder)
-    return cleaning.referential_filter(fact, dims).select(
+    staged = house(spark, folder).tables
+    keys = {"customer_id": staged["orders"], "product_id": staged["order_items"],
+            "seller_id": staged["order_items"]}
+    return cleaning.referential_filter(fact, dims, keys).select(
         "order_id", "order_item_id", "product_id", "seller_id", "customer_id"
     )
 
 
 @query
 def orphan_report(spark, folder):
-    return cleaning.orphan_report(*_unfiltered(spark, folder))
+    return cleaning.orphan_report(*_unfiltered_stored(spark, folder))
 
 
 # --- profiling and quality -------------------------------------------------
@@ -423,12 +437,12 @@ def validate_suite(spark, folder):
 
 @query
 def fk_integrity(spark, folder):
-    return quality.fk_integrity(*_unfiltered(spark, folder))
+    return quality.fk_integrity(*_unfiltered_stored(spark, folder))
 
 
 @query
 def null_checks(spark, folder):
-    return quality.null_checks(_unfiltered(spark, folder)[0])
+    return quality.null_checks(_unfiltered_stored(spark, folder)[0])
 
 
 _on_fact(quality.value_validation)
@@ -439,7 +453,7 @@ _on_fact(quality.fact_metrics)
 @query
 def quality_log(spark, folder):
     path = scratch_path(spark, "quality-log")
-    fact, dims = _unfiltered(spark, folder)
+    fact, dims = _unfiltered_stored(spark, folder)
     counts = quality.fact_check_counts(fact, dims)
     quality.append_quality_log(quality.log_rows(counts, checked_at=RUN_TS), path)
     return quality.read_quality_log(spark, path)
@@ -453,7 +467,7 @@ def pk_uniqueness(spark, folder):
 
 @query
 def not_null(spark, folder):
-    fact, dims = _unfiltered(spark, folder)
+    fact, dims = _unfiltered_stored(spark, folder)
     return quality.not_null({**dims, "fact_order_items": fact})
 
 
@@ -465,7 +479,7 @@ def column_defaults(spark, folder):
 
 @query
 def threshold_gate(spark, folder):
-    fact, dims = _unfiltered(spark, folder)
+    fact, dims = _unfiltered_stored(spark, folder)
     return quality.threshold_gate({**dims, "fact_order_items": fact})
 
 

@@ -52,6 +52,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tradewind/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to a table in the shared folder and read it back.
+
+    Unlike a checkpoint, the rows read back have a known size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint."""
     spark = df.sparkSession

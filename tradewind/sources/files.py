@@ -86,17 +86,16 @@ def dataset_info(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns and share of null cells of every table."""
     parts = []
     for name, df in tables.items():
-        nulls = reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in df.columns])
-        cells = F.col("rows") * len(df.columns)
-        parts.append(
-            null_shares(df, df.columns).select(
-                F.lit(name).alias("table_name"),
-                F.col("rows").alias("n_rows"),
-                F.lit(len(df.columns)).alias("n_columns"),
-                percent(nulls, cells, 4).alias("null_percentage"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        empty = reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in df.columns])
+        parts.append(null_shares(df, df.columns).select(
+            F.lit(name).alias("table_name"), F.col("rows").alias("n_rows"),
+            F.lit(len(df.columns)).alias("n_columns"), empty.alias("empty"),
+        ))
+    cells = F.col("n_rows") * F.col("n_columns")
+    return reduce(DataFrame.unionByName, parts).select(
+        "table_name", "n_rows", "n_columns",
+        percent(F.col("empty"), cells, 4).alias("null_percentage"),
+    )
 
 
 def write_dataset_info(tables: Mapping[str, DataFrame], path: str) -> DataFrame:
