@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -16,7 +16,7 @@ from tradewind.functions.columns import count_where, half_up, parse_timestamp, r
 from tradewind.functions.text import text_features
 from tradewind.operators.ordering import column_quantiles
 from tradewind.schemas import DEFAULT_RULES, MAX_NULL_CRITICAL, CleaningRules
-from tradewind.session import settle, stored
+from tradewind.session import settle, stored, together
 
 log = logging.getLogger(__name__)
 
@@ -291,10 +291,11 @@ def clean_all(
 ) -> dict[str, DataFrame]:
     """Clean every table that has rules; the others pass through."""
     rules = DEFAULT_RULES if rules is None else rules
-    return {
-        name: clean_table(df, name, rules[name], max_null, keep=keep) if name in rules else df
-        for name, df in tables.items()
-    }
+    cleaned = together({
+        name: partial(clean_table, tables[name], name, rules[name], max_null, keep=keep)
+        for name in tables if name in rules
+    })
+    return {name: cleaned.get(name, df) for name, df in tables.items()}
 
 
 def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -343,10 +344,13 @@ def referential_filter(
     it falls back to a shuffled join. ``keys_from`` names narrower tables that
     hold the keys of the fact (orders, order items), to avoid building it twice.
     """
-    for key, dim in _references(dims):
+    def lost_keys(key: str, dim: DataFrame) -> DataFrame:
         used = (keys_from or {}).get(key, fact).select(key).distinct()
-        lost = stored(used.join(dim.select(key), key, "left_anti"), "orphans")
-        fact = fact.filter(F.col(key).isNotNull()).join(lost, key, "left_anti")
+        return stored(used.join(dim.select(key), key, "left_anti"), "orphans")
+
+    lost = together({key: partial(lost_keys, key, dim) for key, dim in _references(dims)})
+    for key, orphans in lost.items():
+        fact = fact.filter(F.col(key).isNotNull()).join(orphans, key, "left_anti")
     return fact
 
 

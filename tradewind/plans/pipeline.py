@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,7 @@ from tradewind.operators.aggregates import STATE_KEYS, aggregate
 from tradewind.operators.cleaning import clean_all, referential_filter
 from tradewind.operators.star import DEFAULT_SOURCE, dimensions, fact_order_items
 from tradewind.schemas import STAGED_TABLES, CleaningRules
-from tradewind.session import settle
+from tradewind.session import settle, together
 from tradewind.sources.tables import FACT_PARTITION, read_back, replace_table
 
 log = logging.getLogger(__name__)
@@ -80,13 +81,18 @@ def run(
         replace_table(df, path, partition_by)
         return read_back(spark, path, df)
 
-    dims = {name: keep(name, df) for name, df in dims.items()}
-    fact = keep("fact_order_items", fact, (FACT_PARTITION,))
-    house = Warehouse(tables, dims, fact)
-    for name in STATE_KEYS:
+    stored = together({
+        "fact_order_items": partial(keep, "fact_order_items", fact, (FACT_PARTITION,)),
+        **{name: partial(keep, name, df) for name, df in dims.items()},
+    })
+    house = Warehouse(tables, {name: stored[name] for name in dims}, stored["fact_order_items"])
+
+    def build(name: str) -> None:
         try:
-            house.aggregates[name] = keep(name, aggregate(fact, name, run_ts))
+            house.aggregates[name] = keep(name, aggregate(house.fact, name, run_ts))
         except Exception as error:  # noqa: BLE001 - reported to the caller
             log.warning("aggregate %s failed: %s", name, error)
             house.failures[name] = str(error)
+
+    together({name: partial(build, name) for name in STATE_KEYS})
     return house

@@ -9,9 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # A hot join key is split at run time even when that costs one more shuffle.
@@ -62,6 +68,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(calls: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent actions side by side, so that small jobs fill the cluster.
+
+    Results come back in the order given; the first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(call)) for name, call in calls.items()
+        }
+        return {name: job.result() for name, job in running.items()}
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint."""
     spark = df.sparkSession

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.schemas import PRIMARY_KEYS, STAGED_TABLES
+from tradewind.session import together
 from tradewind.sources.files import path_exists
 
 RFM_EXPORT = (
@@ -108,15 +110,16 @@ def write_layers(
     aggregates: Mapping[str, DataFrame], fact: DataFrame, fmt: str = "parquet",
 ) -> dict[str, str]:
     """Staging tables, dimensions, fact and aggregates below one folder; returns paths."""
-    paths = {f"raw_{t}": f"{folder}/staging/raw_{t}" for t in STAGED_TABLES if t in tables}
-    for name, path in paths.items():
-        replace_table(tables[name.removeprefix("raw_")], path, fmt=fmt)
-    for name, df in {**dims, **aggregates}.items():
-        paths[name] = f"{folder}/dwh/{name}"
-        replace_table(df, paths[name], fmt=fmt)
-    paths["fact_order_items"] = f"{folder}/dwh/fact_order_items"
-    replace_table(fact, paths["fact_order_items"], [FACT_PARTITION], fmt)
-    return paths
+    layers = {f"staging/raw_{t}": tables[t] for t in STAGED_TABLES if t in tables}
+    layers |= {f"dwh/{name}": df for name, df in {**dims, **aggregates}.items()}
+    calls = {
+        place: partial(replace_table, df, f"{folder}/{place}", fmt=fmt)
+        for place, df in layers.items()
+    }
+    place = "dwh/fact_order_items"
+    calls[place] = partial(replace_table, fact, f"{folder}/{place}", (FACT_PARTITION,), fmt)
+    together(calls)
+    return {place.split("/")[1]: f"{folder}/{place}" for place in calls}
 
 
 def primary_key(table: str) -> list[str]:
