@@ -44,14 +44,19 @@ def state_of(fact: DataFrame, table: str) -> DataFrame:
     )
 
 
-def merge_states(stored: DataFrame, new: DataFrame, table: str) -> DataFrame:
-    """Union of two states with rows of the same key and order merged."""
-    kinds = {f.name: f.dataType for f in stored.schema.fields}
-    merged = stored.unionByName(new).groupBy(*STATE_KEYS[table], "order_id").agg(
+def merge_rows(state: DataFrame, table: str) -> DataFrame:
+    """One row per key and order from a state that may hold several."""
+    kinds = {f.name: f.dataType for f in state.schema.fields}
+    merged = state.groupBy(*STATE_KEYS[table], "order_id").agg(
         *[fn(name).alias(name) for name, fn in MERGE.items()]
     )
     # Sums widen the type; the stored type is kept so that states can merge again.
-    return merged.select(*[F.col(c).cast(kinds[c]).alias(c) for c in stored.columns])
+    return merged.select(*[F.col(c).cast(kinds[c]).alias(c) for c in state.columns])
+
+
+def merge_states(stored: DataFrame, new: DataFrame, table: str) -> DataFrame:
+    """State of old and new rows together."""
+    return merge_rows(stored.unionByName(new), table)
 
 
 def finish(state: DataFrame, table: str, run_ts: dt.datetime | None = None) -> DataFrame:

@@ -73,10 +73,9 @@ def together(calls: Mapping[str, Callable[[], T]]) -> dict[str, T]:
 
     Results come back in the order given; the first failure is raised.
     """
+    carry = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=8) as pool:
-        running = {
-            name: pool.submit(inheritable_thread_target(call)) for name, call in calls.items()
-        }
+        running = {name: pool.submit(carry(call)) for name, call in calls.items()}
         return {name: job.result() for name, job in running.items()}
 
 
