@@ -194,9 +194,8 @@ ORACLES["critical_null_report"] = over_raw(union([
     for t, columns in CRITICAL_FIELDS.items() for c in columns
 ]))
 
-MERGED = ["order_id", "product_id"] + [
-    c for t in ("order_items", "products", "reviews") for c in TABLE_COLUMNS[t]
-    if c not in ("order_id", "product_id")
+MERGED = TABLE_COLUMNS["order_items"] + TABLE_COLUMNS["products"][1:] + [
+    c for c in TABLE_COLUMNS["reviews"] if c != "order_id"
 ]
 
 
@@ -349,7 +348,7 @@ LANGUAGE = "CASE WHEN m IS NULL OR length(m) = 0 THEN NULL WHEN greatest({0}) =
     " ".join(f"WHEN l_{c} = greatest({', '.join(f'l_{x}' for x in texts.STOP_WORDS)}) THEN '{c}'"
              for c in sorted(texts.STOP_WORDS)),
 )
-EMOJI = f"len(regexp_extract_all(m, '{texts.EMOJI_PATTERN}'))"
+EMOJI = f"len(regexp_extract_all(m, '{texts.EMOJI_CLASS}'))"
 SCORED = TOKENS + ",\nscored AS (SELECT review_id, m, " + ", ".join(
     [f"{_hits(v)} AS h{i}" for i, v in enumerate(texts.OPINION_WORDS.values())]
     + [f"{_hits(v)} AS l_{c}" for c, v in texts.STOP_WORDS.items()]

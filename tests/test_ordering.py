@@ -39,7 +39,8 @@ def test_tiles_equal_ntile(skewed):
     settled = skewed.cache()
     rows = settled.count()
     tiles = ordering.tile_columns(
-        settled, {"up": ("v", False), "down": ("v", True)}, "id", ordering.tile_ends(rows, 4)
+        settled, {"up": ("v", False), "down": ("v", True)}, "id", rows,
+        ordering.tile_ends(rows, 4),
     )
     plain = settled.select(
         "id",
@@ -53,7 +54,7 @@ def test_tiles_equal_ntile(skewed):
 @pytest.mark.parametrize("rows", [0, 1, 2, 3, 4, 5, 6, 7, 9, 10, 11])
 def test_tile_sizes_differ_by_at_most_one(spark, rows):
     df = spark.range(rows).withColumn("v", F.lit(1)).cache()
-    tiles = ordering.tile_columns(df, {"t": ("v", False)}, "id", ordering.tile_ends(rows, 4))
+    tiles = ordering.tile_columns(df, {"t": ("v", False)}, "id", rows, ordering.tile_ends(rows, 4))
     plain = df.withColumn("t0", F.ntile(4).over(W.orderBy("v", "id"))).withColumns(tiles)
     assert plain.filter("t <> t0").isEmpty()
 

@@ -6,7 +6,7 @@ and its words are looked up in place, so nothing is shuffled or joined back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,7 +45,9 @@ EMOJI_RANGES = (
     (0x1F201, 0x1F251), (0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F7E0, 0x1F7EB),
     (0x1F90C, 0x1FAFF),
 )
-EMOJI_PATTERN = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in EMOJI_RANGES) + "]"
+EMOJI_CLASS = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in EMOJI_RANGES) + "]"
+# Plain letters fail the first half at once and are not tried against every range.
+EMOJI_PATTERN = f"[\\x{{A9}}-\\x{{1FAFF}}&&{EMOJI_CLASS}]"
 
 # Everything that is not a letter parts two words.
 WORD_BREAK = "[^\\p{L}]+"
@@ -71,8 +73,10 @@ def emoji_count(column: str) -> Column:
     return F.regexp_count(F.col(column), F.lit(EMOJI_PATTERN))
 
 
-def words(column: str) -> Column:
-    return F.split(F.lower(F.col(column)), WORD_BREAK)
+def known_words(column: str, vocabularies: Iterable[Sequence[str]]) -> Column:
+    """Words of the text that occur in any of the vocabularies, in order."""
+    known = sorted({w for words in vocabularies for w in words})
+    return F.filter(F.split(F.lower(F.col(column)), WORD_BREAK), lambda w: w.isin(known))
 
 
 def _hits(tokens: Column, vocabulary: Sequence[str]) -> Column:
@@ -92,7 +96,7 @@ def review_sentiment(df: DataFrame, column: str) -> DataFrame:
         return F.when(has_text(column), half_up(F.coalesce(value, F.lit(0.0)), 6))
 
     return (
-        df.withColumn("_tokens", words(column))
+        df.withColumn("_tokens", known_words(column, OPINION_WORDS.values()))
         .withColumns(hits)
         .withColumns({"sentiment_polarity": mean(0), "sentiment_subjectivity": mean(1)})
         .drop("_tokens", *hits)
@@ -108,7 +112,7 @@ def review_language(df: DataFrame, column: str) -> DataFrame:
     for code in sorted(STOP_WORDS):
         choice = choice.when(F.col(f"_l_{code}") == best, F.lit(code))
     return (
-        df.withColumn("_tokens", words(column))
+        df.withColumn("_tokens", known_words(column, STOP_WORDS.values()))
         .withColumns(hits)
         .withColumn("review_language", F.when(has_text(column), choice))
         .drop("_tokens", *hits)

@@ -34,7 +34,7 @@ def null_shares(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row: row count and the null count of each field."""
     return df.agg(
         F.count("*").alias("rows"),
-        *[count_where(F.col(c).isNull()).alias(c) for c in fields],
+        *[F.expr(f"count_if(`{c}` IS NULL)").alias(c) for c in fields],
     )
 
 
@@ -304,14 +304,13 @@ def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _null_rows(table: str, df: DataFrame) -> DataFrame:
-    counts = null_shares(df, df.columns)
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("null_count"))
-        for c in df.columns
-    ])
-    return counts.select(
-        F.lit(table).alias("table_name"), F.explode(entries).alias("e")
-    ).select("table_name", "e.*")
+    columns = [f"`{c}`" for c in df.columns]
+    return (
+        null_shares(df, df.columns)
+        .unpivot([], columns, "column_name", "null_count")
+        .withColumn("table_name", F.lit(table))
+        .select("table_name", "column_name", "null_count")
+    )
 
 
 def coercion_failures(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

@@ -50,31 +50,27 @@ def _rows_at(
     ranges: DataFrame, order: Sequence[Column], positions: Iterable[int]
 ) -> dict[int, Row]:
     wanted = sorted(set(positions))
-    starts = _range_starts(ranges)
-    hits: dict[int, list[int]] = {}
-    before: dict[int, int] = {}
-    for number, start, end in starts:
+    hits = []
+    for number, start, end in _range_starts(ranges):
         inside = [p for p in wanted if start < p <= end]
         if inside:
-            hits[number], before[number] = inside, start
+            hits.append((number, start, inside))
     if not hits:
         return {}
+    # At most one row per wanted position.
+    targets = ranges.sparkSession.createDataFrame(
+        hits, "_range int, _before long, _wanted array<long>"
+    )
     in_range = W.partitionBy("_range").orderBy(*order).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    offset = F.element_at(
-        F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("_range")
-    )
-    numbered = (
-        ranges.filter(F.col("_range").isin(list(hits)))
-        .withColumn("_end", offset + F.sum("_weight").over(in_range))
-        .withColumn("_start", F.col("_end") - F.col("_weight"))
-    )
-    covers = F.array(*[F.lit(p).cast("long") for p in wanted])
     found = (
-        numbered.withColumn(
+        ranges.join(F.broadcast(targets), "_range")
+        .withColumn("_end", F.col("_before") + F.sum("_weight").over(in_range))
+        .withColumn("_start", F.col("_end") - F.col("_weight"))
+        .withColumn(
             "_positions",
-            F.filter(covers, lambda p: (p > F.col("_start")) & (p <= F.col("_end"))),
+            F.filter("_wanted", lambda p: (p > F.col("_start")) & (p <= F.col("_end"))),
         )
         .filter(F.size("_positions") > 0)
         .collect()
@@ -154,11 +150,12 @@ def rank_bin_ends(rows: int, bins: int) -> list[int]:
 
 
 def tile_columns(
-    df: DataFrame, metrics: Mapping[str, tuple[str, bool]], tie: str, ends: Sequence[int]
+    df: DataFrame, metrics: Mapping[str, tuple[str, bool]], tie: str, rows: int,
+    ends: Sequence[int],
 ) -> dict[str, Column]:
     """Tile number 1.. of each row per metric: name -> (column, descending).
 
-    ``df`` is read more than once, so settle it first. All metrics are put in
+    ``df`` has ``rows`` rows and is read more than once, so settle it first. All metrics are put in
     order by one sort of (metric, value, tie), and the order is only needed at
     the rows that end a tile: a row's tile is the number of those rows it lies
     behind, plus 1. Nothing is joined back.
@@ -171,7 +168,6 @@ def tile_columns(
     }
     cells = F.array(*[F.struct(F.lit(n).alias("metric"), keys[n].alias("key")) for n in names])
     long = df.select(F.explode(cells).alias("cell"), F.col(tie)).select("cell.*", tie)
-    rows = df.count()
     found = rows_at(
         long, [F.col("metric"), F.col("key"), F.col(tie)],
         [i * rows + end for i in range(len(names)) for end in ends if 0 < end <= rows],

@@ -25,15 +25,15 @@ def profile_schema(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Type, filled and empty values of every column."""
     parts = []
     for name, df in tables.items():
-        entries = [
-            F.struct(
-                F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col("rows"), F.col(f.name).alias("null_count"),
-            )
-            for f in df.schema.fields
-        ]
-        parts.append(_long(null_shares(df, df.columns), entries))
+        kinds = F.create_map(*[F.lit(x) for pair in _types(df) for x in pair])
+        parts.append(
+            null_shares(df, df.columns)
+            .unpivot("rows", df.columns, "column_name", "null_count")
+            .withColumns({
+                "table_name": F.lit(name),
+                "data_type": F.element_at(kinds, F.col("column_name")),
+            })
+        )
     return _union(parts).select(
         "table_name", "column_name", "data_type",
         (F.col("rows") - F.col("null_count")).alias("non_null_count"), "null_count",
@@ -41,6 +41,10 @@ def profile_schema(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _types(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 def missing_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Only the columns that have empty values."""
     return profile_schema(tables).filter(F.col("null_count") > 0).select(
@@ -76,21 +80,35 @@ def critical_null_report(
     )
 
 
-def null_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of the empty-value indicators of every pair of columns.
+def null_correlation(
+    df: DataFrame, looked_up: Sequence[tuple[DataFrame, str]] = ()
+) -> DataFrame:
+    """Correlation of the empty-value indicators of every pair of columns, over
+    ``df`` left-joined with other tables on a shared key each.
 
-    Rows are first counted per pattern of empty columns, so the pairs are worked
-    out over few patterns and not over every row. A column that is always or
-    never empty has no correlation (null).
+    Every table is reduced to its keys and the numbers of its empty columns
+    before it is joined, so no text travels. Rows are then counted per pattern
+    of empty columns, and the pairs are worked out over few patterns. A column
+    that is always or never empty has no correlation (null).
     """
-    columns = list(columns or df.columns)
+    columns = list(df.columns)
+    keys = [key for _, key in looked_up]
     # Entry 0 is in every pattern, so pairing with it counts rows and single columns.
-    empty = [F.when(F.col(c).isNull(), F.lit(i)) for i, c in enumerate(columns, 1)]
-    patterns = (
-        df.select(F.array_compact(F.array(F.lit(0), *empty)).alias("empty"))
-        .groupBy("empty")
-        .agg(F.count("*").alias("n"))
-    )
+    base = [F.lit(0), *_empty_numbers(columns, 1)]
+    joined = df.select(*keys, F.array_compact(F.array(*base)).alias("empty"))
+    for other, key in looked_up:
+        names = [c for c in other.columns if c != key]
+        first = len(columns) + 1
+        # A missing row leaves all of its columns empty.
+        absent = F.array(*[F.lit(i) for i in range(first, first + len(names))])
+        part = other.select(
+            key, F.array_compact(F.array(*_empty_numbers(names, first))).alias("part")
+        )
+        joined = joined.join(part, key, "left").withColumn(
+            "empty", F.concat("empty", F.coalesce("part", absent))
+        ).drop("part")
+        columns += names
+    patterns = joined.groupBy("empty").agg(F.count("*").alias("n"))
     together = (
         patterns.select("n", "empty", F.explode("empty").alias("a"))
         .select("n", "a", F.explode("empty").alias("b"))
@@ -100,11 +118,10 @@ def null_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
     # At most one entry per pair of columns.
     counts = together.agg(F.map_from_entries(F.collect_list(F.struct("pair", "n"))).alias("m"))
-    pairs = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.lit(i).alias("i"), F.lit(j).alias("j"))
-        for (i, a), (j, b) in combinations(enumerate(columns, 1), 2)
-    ])
+    pairs = df.sparkSession.createDataFrame(
+        [(a, b, i, j) for (i, a), (j, b) in combinations(enumerate(columns, 1), 2)],
+        "column_a string, column_b string, i int, j int",
+    )
 
     def rows_with(a: Column, b: Column) -> Column:
         found = F.try_element_at("m", F.struct(a.alias("a"), b.alias("b")))
@@ -113,13 +130,13 @@ def null_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     zero = F.lit(0)
     rows, x, y, both = F.col("rows"), F.col("x"), F.col("y"), F.col("both")
     return (
-        counts.select("m", F.explode(pairs).alias("p"))
+        pairs.withColumn("m", counts.scalar())
         .select(
-            "p.column_a", "p.column_b",
+            "column_a", "column_b",
             rows_with(zero, zero).alias("rows"),
-            rows_with(zero, F.col("p.i")).alias("x"),
-            rows_with(zero, F.col("p.j")).alias("y"),
-            rows_with(F.col("p.i"), F.col("p.j")).alias("both"),
+            rows_with(zero, F.col("i")).alias("x"),
+            rows_with(zero, F.col("j")).alias("y"),
+            rows_with(F.col("i"), F.col("j")).alias("both"),
         )
         .select(
             "column_a", "column_b",
@@ -132,10 +149,9 @@ def null_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def items_with_products_and_reviews(
-    items: DataFrame, products: DataFrame, reviews: DataFrame
-) -> DataFrame:
-    return items.join(products, "product_id", "left").join(reviews, "order_id", "left")
+def _empty_numbers(columns: Sequence[str], first: int) -> list[Column]:
+    """Number of each column, counted from ``first``, where it is empty."""
+    return [F.when(F.col(c).isNull(), F.lit(i)) for i, c in enumerate(columns, first)]
 
 
 # The columns that identify a row, by table.

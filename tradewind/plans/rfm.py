@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -13,7 +14,7 @@ from tradewind.operators.ordering import (
 )
 from tradewind.plans.revenue import delivered_orders
 from tradewind.plans.views import as_of_date
-from tradewind.session import settle
+from tradewind.session import settle, together
 
 QUARTERS = (0.25, 0.5, 0.75)
 
@@ -94,12 +95,12 @@ def rfm_sql(fact: DataFrame, customers: DataFrame, as_of: dt.date | None = None)
             "frequency", "monetary",
         )
     )
-    ends = tile_ends(base.count(), 4)
+    rows = base.count()
     scored = base.withColumns(tile_columns(base, {
         "r_score": ("recency_days", True),
         "f_score": ("frequency", False),
         "m_score": ("monetary", False),
-    }, "customer_id", ends))
+    }, "customer_id", rows, tile_ends(rows, 4)))
     scores = F.struct("r_score", "f_score", "m_score")
     segment = None
     for exact, name in EXACT_SEGMENTS.items():
@@ -176,11 +177,18 @@ def _bins(column: str, edges: list[float | None]) -> Column:
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quarter scores 1..4: recency inverted, frequency by rank, value by quantile."""
     base = settle(base)
-    ends = rank_bin_ends(base.count(), 4)
-    edges = column_quantiles(base, ["recency_days", "monetary"], QUARTERS)
+    rows = base.count()
+    found = together({
+        "by_rank": partial(
+            tile_columns, base, {"f_score": ("frequency", False)}, "customer_id", rows,
+            rank_bin_ends(rows, 4),
+        ),
+        "edges": partial(column_quantiles, base, ["recency_days", "monetary"], QUARTERS),
+    })
+    edges = found["edges"]
     scored = base.withColumns({
         "r_score": F.lit(5) - _bins("recency_days", edges["recency_days"]),
-        **tile_columns(base, {"f_score": ("frequency", False)}, "customer_id", ends),
+        **found["by_rank"],
         "m_score": _bins("monetary", edges["monetary"]),
     })
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")

@@ -348,10 +348,12 @@ def critical_null_report(spark, folder):
 
 @query
 def null_correlation(spark, folder):
-    joined = profiling.items_with_products_and_reviews(
-        *[_raw(spark, folder, t) for t in ("order_items", "products", "reviews")]
+    items, products, reviews = (
+        _raw(spark, folder, t) for t in ("order_items", "products", "reviews")
+    )
+    return profiling.null_correlation(
+        items, [(products, "product_id"), (reviews, "order_id")]
     )
-    return profiling.null_correlation(joined)
 
 
 @query
@@ -721,8 +723,9 @@ def global_rank(spark, folder):
     ranked = ordering.with_global_rank(
         base, "total_orders", "customer_id", "rank", descending=True
     )
+    rows = base.count()
     tiles = ordering.tile_columns(
-        base, {"quarter": ("total_orders", False)}, "customer_id",
-        ordering.tile_ends(base.count(), 4),
+        base, {"quarter": ("total_orders", False)}, "customer_id", rows,
+        ordering.tile_ends(rows, 4),
     )
     return ranked.withColumns(tiles)
