@@ -152,8 +152,8 @@ GROUP BY c.customer_id, customer_city, customer_state
 ORDER BY SUM(total_value) DESC, c.customer_id LIMIT """
 put("top_customers", TOP + "10")
 put("api_top_customers", f"""best AS ({TOP}25)
-SELECT customer_id, customer_city, customer_state, total_orders, total_revenue, avg_item_value
-FROM best""")
+SELECT customer_id, customer_city AS city, customer_state AS state, total_orders, total_items,
+  total_revenue, avg_item_value FROM best""")
 MONTHS = f"""months AS (
   SELECT order_purchase_ym AS ym, SUM(total_value) AS revenue,
     COUNT(DISTINCT order_id) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers,
@@ -177,7 +177,8 @@ SELECT ym AS year_month, year, month, {dbl('revenue')}, order_count, unique_cust
   {growth('year_before')} AS yoy_growth_pct, {dbl('running', 'cumulative_revenue')}
 FROM lagged""")
 put("api_monthly_revenue", f"""{MONTHS}
-SELECT ym AS year_month, {dbl('revenue')}, order_count, unique_customers FROM months""")
+SELECT {YEAR} AS year, {MONTH} AS month, ym AS year_month, {dbl('revenue')},
+  order_count AS orders, unique_customers AS customers FROM months""")
 put("aov_analysis", f"""order_totals AS (
   SELECT order_id, customer_id, order_purchase_ym AS ym, SUM(total_value) AS v
   FROM delivered GROUP BY order_id, customer_id, order_purchase_ym),
@@ -254,7 +255,7 @@ FROM best"""
 
 put("top_products", _top_products("SUM(v) OVER ()"))
 put("top_products_share_of_all", _top_products("(SELECT SUM(v) FROM totals)"))
-put("api_top_products", f"""SELECT p.product_id, product_category_name, COUNT(*) AS items_sold,
+put("api_top_products", f"""SELECT p.product_id, product_category_name AS category, COUNT(*) AS items_sold,
   {dbl('SUM(total_value)', 'total_revenue')}, {ratio('SUM(price)', 'COUNT(price)')} AS avg_price
 FROM delivered f JOIN dim_products p ON f.product_id = p.product_id
 GROUP BY p.product_id, product_category_name

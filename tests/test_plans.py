@@ -82,3 +82,39 @@ def test_reference_filter_does_not_shuffle_the_fact(house):
 def test_only_bounded_tables_are_broadcast_by_hint(house):
     text = plan(views.v_monthly_trend(house.fact, house.dims["dim_time"]))
     assert "BroadcastHashJoin" in text
+
+
+HOT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+}
+
+
+def test_an_order_with_a_third_of_the_items_is_split_in_the_join(spark):
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5_000)
+    items = spark.range(60_000).select(
+        hot.alias("order_id"), F.col("id").cast("int").alias("order_item_id"),
+        F.xxhash64("id").cast("decimal(20,0)").alias("price"), F.lit(1).alias("freight_value"),
+    ).repartition(16)
+    at = F.lit("2023-01-01").cast("timestamp_ntz")
+    orders = spark.range(5_000).select(
+        F.col("id").alias("order_id"), (F.col("id") % 50).alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        *[at.alias(c) for c in star.ORDER_COLUMNS if c.endswith(("_at", "_date", "_timestamp"))],
+        *[F.lit(1).alias(c) for c in ("is_approved", "is_shipped", "is_delivered")],
+    )
+    for key, value in HOT.items():
+        spark.conf.set(key, value)
+    try:
+        totals = revenue.customer_totals(star.fact_order_items(orders, items))
+        rows = {r.customer_id: (r.total_orders, r.total_items) for r in totals.collect()}
+        assert "SortMergeJoin(skew=true)" in plan(totals)
+    finally:
+        for key in HOT:
+            spark.conf.unset(key)
+    expected = {r.customer_id: (r.o, r.n) for r in items.groupBy(
+        (F.col("order_id") % 50).alias("customer_id")
+    ).agg(F.countDistinct("order_id").alias("o"), F.count("*").alias("n")).collect()}
+    assert rows == expected

@@ -137,6 +137,17 @@ def test_layers_as_csv(spark, make, tmp_path):
     assert tables.read_back(spark, paths["fact_order_items"], fact, "csv").first().order_id == 1
 
 
+def test_csv_tables_come_back_with_their_types(spark, make, tmp_path):
+    import datetime as dt
+
+    df = make("k int, t timestamp_ntz, d date, m decimal(10,2), s string",
+              (1, dt.datetime(2023, 1, 2, 3, 4, 5), dt.date(2023, 1, 2), Decimal("1.50"), 'a "b", c'),
+              (2, None, None, None, None))
+    tables.replace_table(df, str(tmp_path / "t"), fmt="csv")
+    back = tables.read_back(spark, str(tmp_path / "t"), df, "csv")
+    assert back.dtypes == df.dtypes and sorted(back.collect()) == sorted(df.collect())
+
+
 def test_sample_is_the_first_rows_by_key(make):
     assert column(files.sample_rows(make("k int", (3,), (1,), (2,)), ["k"], 2), "k") == [1, 2]
 

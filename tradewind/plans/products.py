@@ -70,7 +70,7 @@ def api_top_products(fact: DataFrame, products: DataFrame, limit: int = 10) -> D
         .orderBy(F.desc("total_revenue"), "product_id")
         .limit(limit)
         .select(
-            "product_id", "product_category_name", "items_sold",
+            "product_id", F.col("product_category_name").alias("category"), "items_sold",
             F.col("total_revenue").cast("double").alias("total_revenue"), "avg_price",
         )
     )

@@ -55,7 +55,8 @@ def top_customers(fact: DataFrame, customers: DataFrame, limit: int = 10) -> Dat
 
 def api_top_customers(fact: DataFrame, customers: DataFrame, limit: int = 10) -> DataFrame:
     return top_customers(fact, customers, check_limit(limit)).select(
-        "customer_id", "customer_city", "customer_state", "total_orders",
+        "customer_id", F.col("customer_city").alias("city"), F.col("customer_state").alias("state"),
+        "total_orders", "total_items",
         F.col("total_revenue").cast("double").alias("total_revenue"),
         "avg_item_value",
     )
@@ -73,19 +74,25 @@ def monthly_totals(fact: DataFrame) -> DataFrame:
     )
 
 
+def year_and_month(column: str) -> list[Column]:
+    """Year and month number of a yyyy-MM text."""
+    return [
+        F.substring(column, 1, 4).cast("int").alias("year"),
+        F.substring(column, 6, 2).cast("int").alias("month"),
+    ]
+
+
 def api_monthly_revenue(fact: DataFrame) -> DataFrame:
     return monthly_totals(fact).select(
-        "year_month", F.col("revenue").cast("double").alias("revenue"), "order_count",
-        "unique_customers",
-    ).orderBy(F.desc("year_month"))
+        *year_and_month("year_month"), "year_month",
+        F.col("revenue").cast("double").alias("revenue"),
+        F.col("order_count").alias("orders"), F.col("unique_customers").alias("customers"),
+    ).orderBy("year", "month")
 
 
 def monthly_revenue_trend(fact: DataFrame) -> DataFrame:
     """Month over month, year over year and running revenue."""
-    months = monthly_totals(fact).withColumns({
-        "year": F.substring("year_month", 1, 4).cast("int"),
-        "month": F.substring("year_month", 6, 2).cast("int"),
-    })
+    months = monthly_totals(fact).select("*", *year_and_month("year_month"))
     # Windows over calendar months: a few rows per year of history.
     in_time, same_month = W.orderBy("year", "month"), W.partitionBy("month").orderBy("year")
     revenue = F.col("revenue")
@@ -128,8 +135,7 @@ def aov_analysis(fact: DataFrame) -> DataFrame:
     everything = W.partitionBy()
     return (
         per_month.select(
-            F.substring("order_purchase_ym", 1, 4).cast("int").alias("year"),
-            F.substring("order_purchase_ym", 6, 2).cast("int").alias("month"),
+            *year_and_month("order_purchase_ym"),
             "total_orders", "unique_customers",
             half_up(F.col("_mean"), 2).alias("aov"),
             half_up(F.col("_spread"), 2).alias("aov_stddev"),
@@ -152,48 +158,42 @@ def _lookup(values: dict, key: Column) -> Column:
 
 def payment_method(fact: DataFrame, payments: DataFrame) -> DataFrame:
     """Payments of delivered orders by type; every payment counts once."""
-    paid = _delivered_order_customers(fact).join(payments, "order_id")
-    return _by_payment_type(paid, F.lit(1))
+    return _by_payment_type(fact, payments, F.lit(1))
 
 
 def payment_method_fanout(fact: DataFrame, payments: DataFrame) -> DataFrame:
     """The same question with a payment counted once per item of its order.
 
-    The repeated rows are not made: each payment carries its number of items.
+    The repeated rows are not made: sums are multiplied by the number of items.
     """
-    paid = _delivered_order_customers(fact).join(payments, "order_id")
-    return _by_payment_type(paid, F.col("items"))
+    return _by_payment_type(fact, payments, F.col("items"))
 
 
-def _delivered_order_customers(fact: DataFrame) -> DataFrame:
+def _by_payment_type(fact: DataFrame, payments: DataFrame, times: Column) -> DataFrame:
     # An order has one customer, so grouping by order alone keeps the rows placed
-    # for the join that follows.
-    return delivered_orders(fact).groupBy("order_id").agg(
+    # for the join.
+    delivered = delivered_orders(fact).groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"), F.count("*").alias("items")
     )
-
-
-def _by_payment_type(paid: DataFrame, weight: Column) -> DataFrame:
-    weighted = paid.withColumns({
-        "_n": weight.cast("long"),
-        "_value": F.col("payment_value") * weight.cast("int"),
-        "_installments": F.col("payment_installments") * weight.cast("int"),
-    })
-    # An order may be paid in several parts of one type, so rows are first
-    # grouped by order; that also leaves one distinct count for the last step.
-    per_order = weighted.groupBy("payment_type", "customer_id", "order_id").agg(
-        F.sum("_n").alias("n"), F.sum("_value").alias("value"),
-        F.sum("_installments").alias("installments"),
-        F.sum(F.when(F.col("payment_value").isNotNull(), F.col("_n"))).alias("n_value"),
-        F.sum(F.when(F.col("payment_installments").isNotNull(), F.col("_n"))).alias("n_inst"),
+    # One row per order and type before the join: an order with very many
+    # payments is merged inside the map tasks, and orders need no distinct count.
+    per_order = payments.groupBy("order_id", "payment_type").agg(
+        F.count("*").alias("n"),
+        F.sum("payment_value").alias("value"),
+        F.count("payment_value").alias("n_value"),
+        F.sum("payment_installments").alias("installments"),
+        F.count("payment_installments").alias("n_installments"),
     )
-    per_type = per_order.groupBy("payment_type").agg(
+    paid = delivered.join(per_order, "order_id").withColumns({
+        c: F.col(c) * times for c in ("n", "value", "n_value", "installments", "n_installments")
+    })
+    per_type = paid.groupBy("payment_type").agg(
         F.count("order_id").alias("order_count"),
         F.sum("value").alias("total_payment_value"),
         ratio(F.sum("value"), F.sum("n_value"), 2).alias("avg_payment_value"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("n").alias("total_payment_records"),
-        ratio(F.sum("installments"), F.sum("n_inst"), 1).alias("avg_installments"),
+        ratio(F.sum("installments"), F.sum("n_installments"), 1).alias("avg_installments"),
     )
     # One row per payment type.
     total = F.sum("total_payment_value").over(W.partitionBy())
