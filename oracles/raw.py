@@ -45,10 +45,10 @@ ORACLES["write_layers"] = over_star(union([
 ]))
 
 UPDATES = """dim AS (SELECT customer_id, customer_city, customer_state FROM raw_customers),
-touched AS (SELECT * FROM dim WHERE customer_id % 10 = 0),
 updates AS (
-  SELECT customer_id, 'MOVED' AS customer_city, customer_state FROM touched
-  UNION ALL SELECT -1 - customer_id, customer_city, customer_state FROM touched)
+  SELECT customer_id, 'unknown' AS customer_city, customer_state FROM dim
+  WHERE customer_city IS NULL
+  UNION ALL SELECT -1 - seller_id, seller_city, seller_state FROM raw_sellers)
 """
 ORACLES["upsert_table"] = over_raw(UPDATES + """SELECT * FROM updates
 UNION ALL SELECT * FROM dim WHERE customer_id NOT IN (SELECT customer_id FROM updates)""")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from tradewind.functions.columns import count_where, half_up, parse_timestamp, ratio
 from tradewind.functions.text import text_features
 from tradewind.operators.ordering import column_quantiles
-from tradewind.schemas import DEFAULT_RULES, MAX_NULL_CRITICAL, CleaningRules
+from tradewind.schemas import DEFAULT_RULES, FILE_ORDER, MAX_NULL_CRITICAL, CleaningRules
 from tradewind.session import settle, stored, together
 
 log = logging.getLogger(__name__)
@@ -267,7 +267,9 @@ def clean_table(
     it, tables that need a range check are settled.
     """
     _raise_critical(table, _critical_faults(df, table, rules.critical, max_null))
-    df = dedupe_first(df, rules.key, order_by)
+    if order_by is None and FILE_ORDER in df.columns:
+        order_by = [FILE_ORDER]
+    df = dedupe_first(df, rules.key, order_by).drop(FILE_ORDER)
     df = coerce_timestamps(df, rules.timestamps)
     if {"mean", "median"} & set(rules.missing.values()):
         # Fills taken from the data read the deduplicated rows several times.
@@ -295,7 +297,14 @@ def clean_all(
         name: partial(clean_table, tables[name], name, rules[name], max_null, keep=keep)
         for name in tables if name in rules
     })
-    return {name: cleaned.get(name, df) for name, df in tables.items()}
+    return {
+        name: cleaned[name] if name in cleaned else _without_place(df)
+        for name, df in tables.items()
+    }
+
+
+def _without_place(df: DataFrame) -> DataFrame:
+    return df.drop(FILE_ORDER) if FILE_ORDER in df.columns else df
 
 
 def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:

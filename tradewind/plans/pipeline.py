@@ -15,6 +15,7 @@ from tradewind.operators.cleaning import clean_all, referential_filter
 from tradewind.operators.star import DEFAULT_SOURCE, dimensions, fact_order_items
 from tradewind.schemas import STAGED_TABLES, CleaningRules
 from tradewind.session import settle, together
+from tradewind.sources.files import read_tables
 from tradewind.sources.tables import FACT_PARTITION, read_back, replace_table
 
 log = logging.getLogger(__name__)
@@ -73,6 +74,7 @@ def run(
     before aggregates are built from it, so its joins run once. An aggregate
     that fails is reported and does not stop the run.
     """
+    run_ts = run_ts or dt.datetime.now()  # one load time for the whole run
     tables = clean(raw, folder, rules)
     fact, dims = star(tables, run_ts, source)
 
@@ -96,3 +98,13 @@ def run(
 
     together({name: partial(build, name) for name in STATE_KEYS})
     return house
+
+
+def run_files(
+    spark: SparkSession, source_folder: str, folder: str,
+    rules: Mapping[str, CleaningRules] | None = None, run_ts: dt.datetime | None = None,
+    source: str = DEFAULT_SOURCE,
+) -> Warehouse:
+    """The run from CSV files; of rows with the same key the first in file order stays."""
+    raw = read_tables(spark, source_folder, file_order=True)
+    return run(spark, raw, folder, rules, run_ts, source)

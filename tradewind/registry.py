@@ -101,14 +101,18 @@ def write_layers(spark, folder):
 
 
 def _dim_updates(spark, folder):
-    """Customers of every tenth key moved to a new city, and as many new ones."""
-    dim = house(spark, folder).dims["dim_customers"].select(
-        "customer_id", "customer_city", "customer_state"
+    """Customers without a city get one, and every seller becomes a customer."""
+    dims = house(spark, folder).dims
+    dim = dims["dim_customers"].select("customer_id", "customer_city", "customer_state")
+    repaired = dim.filter(F.col("customer_city").isNull()).withColumn(
+        "customer_city", F.lit("unknown")
     )
-    touched = dim.filter(F.col("customer_id") % 10 == 0)
-    moved = touched.withColumn("customer_city", F.lit("MOVED"))
-    new = touched.withColumn("customer_id", -1 - F.col("customer_id"))
-    return dim, moved.unionByName(new)
+    new = dims["dim_sellers"].select(
+        (-1 - F.col("seller_id")).alias("customer_id"),
+        F.col("seller_city").alias("customer_city"),
+        F.col("seller_state").alias("customer_state"),
+    )
+    return dim, repaired.unionByName(new)
 
 
 @query
@@ -568,12 +572,12 @@ def load_existing(spark, folder):
 
 @query
 def incremental_refresh(spark, folder):
-    """Two halves of the orders, one of them applied twice."""
+    """Two halves of the history, merged into the stored aggregates one by one."""
     fact, path = house(spark, folder).fact, scratch_path(spark, "increments")
     late = F.col("order_purchase_date") >= F.lit(dt.date(1998, 1, 1))
-    for number, batch in ((0, fact.filter(~late)), (1, fact.filter(late)), (1, fact.filter(late))):
-        refresh.apply_batch(batch, path, number)
-    return refresh.refreshed(spark, path, "agg_customer_metrics", RUN_TS)
+    return refresh.incremental_refresh(
+        spark, [fact.filter(~late), fact.filter(late)], path, "agg_customer_metrics", RUN_TS
+    )
 
 
 @query

@@ -60,6 +60,9 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 # Free text may hold line breaks, so only this file needs the multi-line reader.
 MULTILINE_TABLES = {"reviews"}
 
+# Place of a row in its source files, where the reader was asked to note it.
+FILE_ORDER = "_file_order"
+
 STAGED_TABLES = ("orders", "order_items", "customers", "products", "payments")
 
 PRIMARY_KEYS = {

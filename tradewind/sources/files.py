@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.functions.columns import percent
 from tradewind.operators.cleaning import null_shares
-from tradewind.schemas import MULTILINE_TABLES, RAW_SCHEMAS
+from tradewind.schemas import FILE_ORDER, MULTILINE_TABLES, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
 
@@ -48,18 +48,23 @@ def read_table(
 
 def read_tables(
     spark: SparkSession, folder: str, mode: str = "FAILFAST",
-    files: Mapping[str, str] | None = None,
+    files: Mapping[str, str] | None = None, file_order: bool = False,
 ) -> dict[str, DataFrame]:
-    """All nine raw tables; a missing file raises before anything is read."""
+    """All nine raw tables; a missing file raises before anything is read.
+
+    With ``file_order`` rows know their place in the files, and cleaning keeps
+    the first row of a key as it stands there.
+    """
     names = {t: f"{t}.csv" for t in RAW_SCHEMAS} | dict(files or {})
     paths = {t: f"{folder.rstrip('/')}/{n}" for t, n in names.items()}
     for path in paths.values():
         if not path_exists(spark, path):
             raise FileNotFoundError(f"CSV file not found: {path}")
-    return {t: read_table(spark, path, t, mode) for t, path in paths.items()}
+    tables = {t: read_table(spark, path, t, mode) for t, path in paths.items()}
+    return {t: with_file_order(df) for t, df in tables.items()} if file_order else tables
 
 
-def with_file_order(df: DataFrame, name: str = "_file_order") -> DataFrame:
+def with_file_order(df: DataFrame, name: str = FILE_ORDER) -> DataFrame:
     """Position of each row in its source files, for keep-first rules.
 
     Row ids grow within a split, and splits are told apart by file and offset,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.schemas import PRIMARY_KEYS, STAGED_TABLES
-from tradewind.session import together
+from tradewind.session import settle, together
 from tradewind.sources.files import path_exists
 
 RFM_EXPORT = (
@@ -80,6 +80,12 @@ def write_version(df: DataFrame, path: str) -> DataFrame:
     return read_current(spark, path)
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs more than once."""
+    if keys and not df.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise DataQualityError(f"updates repeat a key of {list(keys)}")
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the rows of ``updates`` inserted or, on a known key, replaced.
 
@@ -87,9 +93,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     """
     if not keys:
         return updates
-    repeated = updates.groupBy(*keys).count().filter("count > 1")
-    if not repeated.isEmpty():
-        raise DataQualityError(f"updates repeat a key of {list(keys)}")
+    require_unique(updates, keys)
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
@@ -98,8 +102,12 @@ def upsert_table(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Upsert into a versioned table, creating it on first use."""
+    updates = settle(updates)  # checked, matched and written
     current = load_existing(spark, path)
-    return write_version(updates if current is None else upsert(current, updates, keys), path)
+    if current is None:
+        require_unique(updates, keys)
+        return write_version(updates, path)
+    return write_version(upsert(current, updates, keys), path)
 
 
 # --- layers ----------------------------------------------------------------
