@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -77,3 +78,49 @@ def _labels(edges: DataFrame) -> DataFrame:
     centres = edges.select("v").distinct().select(F.col("v").alias("id"),
                                                   F.col("v").alias("component"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)
+
+
+# Bits of the largest filter that is sent to the tasks: 8 MB.
+LARGEST_FILTER = 1 << 26
+_PROBES = 4
+
+
+class Bloom:
+    """Which 64-bit hashes may belong to a set; of bounded size whatever the set.
+
+    Beyond the largest size it passes more strangers, so what it lets through is always
+    joined with the set itself afterwards.
+    """
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.mask = np.uint64(len(words) * 64 - 1)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes), dtype=bool)
+        for k in range(_PROBES):
+            place = (hashes >> np.uint64(9 * k)) * np.uint64(2 * k + 1) & self.mask
+            out &= (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))
+                    & np.uint64(1)).astype(bool)
+        return out
+
+
+def bloom(hashes: DataFrame, count: int) -> Bloom:
+    """Filter of the one long column of ``hashes``, of which there are about ``count``.
+
+    The bits are put together by the aggregation; the driver gets one row per 64 bits.
+    """
+    bits = max(1 << 10, min(LARGEST_FILTER, 1 << (16 * max(count, 1)).bit_length()))
+    name = hashes.columns[0]
+    probes = F.array(*(
+        (F.shiftrightunsigned(name, 9 * k) * F.lit(2 * k + 1)).bitwiseAND(F.lit(bits - 1))
+        for k in range(_PROBES)))
+    rows = (hashes.select(F.explode(probes).alias("place"))
+            .groupBy(F.shiftright("place", 6).alias("at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("word"))
+            .collect())
+    words = np.zeros(bits // 64, dtype=np.uint64)
+    if rows:
+        words[[r["at"] for r in rows]] = np.array([r["word"] for r in rows],
+                                                  dtype=np.int64).view(np.uint64)
+    return Bloom(words)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, packing, urls, warc
+from tradewind.llm import bpe, minhash, packing, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -41,6 +41,11 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("content", 256).alias("decoded_sha256"))
 
 
+@query("op4_minhash")
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op6_warc")
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")

@@ -55,3 +55,33 @@ d AS (
 SELECT page_id, host, path, rule, coalesce(by_rule,
   CASE WHEN {_hits(_STRICT)} > 0 OR {_hits(_SOFT)} >= 2 THEN 'block' ELSE 'allow' END) AS verdict
 FROM d"""
+
+
+# Words are runs of anything but the six ASCII white-space characters.
+ORACLES["op4_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+      lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM w),
+n AS (SELECT doc_id, len(shingles) AS n_shingles, list_sort(shingles) AS shingles FROM s),
+classes AS (
+  SELECT min(doc_id) AS first, any_value(n_shingles) AS n, shingles FROM n
+  WHERE n_shingles > 0 GROUP BY shingles),
+e AS (SELECT first, n, unnest(shingles) AS shingle FROM classes),
+links AS MATERIALIZED (
+  SELECT x.first AS a, y.first AS b FROM e x JOIN e y ON x.shingle = y.shingle
+    AND x.first <> y.first AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY x.first, y.first, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+of_class AS (
+  SELECT first, least(first, coalesce(min(b), first)) AS component_id
+  FROM classes LEFT JOIN reach ON first = a GROUP BY first)
+SELECT n.doc_id, n.n_shingles, coalesce(o.component_id, n.doc_id) AS component_id,
+  n.doc_id = coalesce(o.component_id, n.doc_id) AS kept
+FROM n LEFT JOIN classes c ON n.shingles = c.shingles LEFT JOIN of_class o ON c.first = o.first"""
