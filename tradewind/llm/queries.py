@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, minhash, packing, urls, warc
+from tradewind.llm import bpe, langid, minhash, packing, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -68,6 +68,16 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
                        .alias("refers_to"))
 
 
+@query("op7_language")
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = langid.trained(documents.where(third != 1))
+    found = langid.identified(documents, model)
+    return found.select("doc_id", F.coalesce(third == 1, F.lit(False)).alias("held_out"),
+                        F.col("lang").alias("lang_pred"), "score", "spans")
+
+
 @query("op8_url_filter")
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages"), URL_RULES).select(
