@@ -37,6 +37,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int,
+             most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows`` rows or ``most`` bytes."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        size += batch.nbytes
+        if n >= rows or size >= most:
+            yield pa.concat_batches(held)
+            held, n, size = [], 0, 0
+    if n:
+        yield pa.concat_batches(held)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable id of every id that occurs in ``links``: columns id, component.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, langid, minhash, packing, urls, warc
+from tradewind.llm import bpe, langid, minhash, packing, substrings, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -84,6 +84,20 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+@query("op9_substrings")
+def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document: its passages that an earlier document holds, and whose they are."""
+    documents = table(spark, folder, "documents")
+    found = substrings.repeats(documents)
+    own = documents.select("doc_id", F.xxhash64("text").alias("text_hash"))
+    return own.join(found, ["doc_id", "text_hash"], "left").select(
+        "doc_id", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_passages"),
+        F.coalesce(F.array_distinct("spans.of"), F.array().cast("array<long>"))
+        .alias("repeats_of"),
+        F.coalesce(F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(
+            ":", s["start"], s["end"], s["of"]))), F.lit("")).alias("passages"))
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(table(spark, folder, "documents"),
