@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Where executors have it elsewhere (installed, or by --py-files) this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with batches of bounded length."""
+    findable(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
     return df.mapInArrow(work, schema)
 

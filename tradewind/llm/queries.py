@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, langid, minhash, packing, substrings, urls, warc
+from tradewind.llm import bpe, langid, minhash, packing, pii, substrings, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -30,6 +30,17 @@ def query(name: str) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_pii")
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of the base spans; ``spans`` has the found ones, too."""
+    found = pii.personal_data(table(spark, folder, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long")
+              .alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii.in_order(F.col("base")), 256).alias("base_sha256"),
+                        pii.in_order(F.concat("base", "found")).alias("spans"))
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

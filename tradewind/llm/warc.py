@@ -32,6 +32,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
                                     In, InputPartition, IsNotNull, WriterCommitMessage)
 from pyspark.sql.types import StructType
 
+from tradewind.llm.frames import findable
+
 VERSION = "WARC/1.1"
 MANIFEST = "_manifest.json"
 MAX_FILE_BYTES = 64 << 20
@@ -212,6 +214,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    findable(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
