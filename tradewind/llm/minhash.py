@@ -5,16 +5,8 @@ the greatest hash of a set, so ``bands * rows`` values cost half as many hash
 evaluations. Sets with equal values in a whole band meet in a bucket. At similarity
 0.85 a pair misses all of 36 bands of 6 values once in 25 million pairs.
 
-How a bucket's links are found without all its pairs:
-
-1. Documents of equal sets are one class from the start.
-2. Every member is compared with the bucket's first one. What these links connect is
-   labelled; buckets within one component are done.
-3. What is left are pairs across components. Buckets of up to ``small`` members list
-   them. Larger ones are dealt into blocks, and pairs of blocks are compared inside tasks
-   by their incidence matrices; only links come out.
-
-So no partner is left out, and rows grow with members, not with the square of a bucket.
+Documents of equal sets are one class from the start; the links between classes come
+from ``buckets``, which leaves no partner out.
 
 Documents have the shingle set of ``words``; fewer words than a shingle are one shingle.
 Without words or text the set is empty: linked with nothing, its own component, kept.
@@ -31,12 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.frames import bloom, components, kept, mapped, slices
+from tradewind.llm.buckets import SMALL, block_pairs, connected, members_of
+from tradewind.llm.frames import bloom, kept, mapped, slices
 from tradewind.llm.words import SHINGLE, mixed, shingle_sets, words
 
 PERCENT = 85
 BANDS, ROWS = 36, 6
-SMALL = 64
 
 
 def multipliers(bands: int, rows: int) -> np.ndarray:
@@ -174,16 +166,10 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int, small: int) -> DataFrame:
-    """Links across components within large buckets (key, digest, component, size)."""
-    dealt = members.join(sets, "digest").select(
-        "key", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / small)).alias("block"),
-        "digest", "component", "shingles")
-    blocks = kept(dealt.groupBy("key", "block").agg(F.collect_list(F.struct(
-        "digest", "component", "shingles")).alias("own")), "blocks")
-    left = blocks.select("key", F.col("block").alias("block_a"), F.col("own").alias("own_a"))
-    right = blocks.select("key", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
-    both = left.join(right, "key").where("block_a <= block_b").select("own_a", "own_b")
+def block_links(members: DataFrame, sets: DataFrame, percent: int, length: int) -> DataFrame:
+    """Links across components within large buckets."""
+    held = members.join(sets.withColumnRenamed("digest", "node"), "node")
+    both = block_pairs(held, "key", "size", ["node", "component", "shingles"], length)
 
     def sets_of(own: list[dict]) -> list[np.ndarray]:
         return [np.frombuffer(x["shingles"], dtype=np.uint64) for x in own]
@@ -191,20 +177,19 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int, small: int) -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             a, b = batch.column("own_a")[0].as_py(), batch.column("own_b")[0].as_py()
-            part = {x["component"] for x in a} | {x["component"] for x in b}
             links = []
-            if len(part) > 1:
+            if len({x["component"] for x in a} | {x["component"] for x in b}) > 1:
                 sets_a, sets_b = sets_of(a), sets_of(b)
                 shared = overlaps(sets_a, sets_b)
                 total = np.add.outer([len(s) for s in sets_a], [len(s) for s in sets_b])
-                links = [(a[i]["digest"], b[j]["digest"])
+                links = [(a[i]["node"], b[j]["node"])
                          for i, j in np.argwhere(100 * shared >= percent * (total - shared))
                          if a[i]["component"] != b[j]["component"]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in links], pa.binary()),
                  pa.array([y for _, y in links], pa.binary())], names=["a", "b"])
 
-    return mapped(both, work, "a binary, b binary")
+    return mapped(both.select("own_a", "own_b"), work, "a binary, b binary")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,35 +200,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = kept(signed.where("n_shingles > 0").groupBy("digest").agg(
         F.min("id").alias("first_id"), F.max("n_shingles").alias("n"),
         F.min("keys").alias("keys")), "classes")
-    each = classes.select("digest", "n", F.explode("keys").alias("key"))
-    buckets = (each.groupBy("key").agg(F.count("*").alias("size"),
-                                       F.min(F.struct("digest", "n")).alias("hub"))
-               .where("size > 1"))
-    members = kept(each.join(buckets, "key"), "buckets")
-    sets = kept(full_sets(df, members, text_col, size), "sets")
-
-    stars = (members.where("digest <> hub.digest and " + _fits("n", "hub.n", percent))
-             .select(F.col("hub.digest").alias("a"), F.col("digest").alias("b")).distinct())
-    links = kept(confirmed(stars, sets, percent), "links")
-    parts = components(links)
-
-    labelled = members.join(parts.withColumnRenamed("id", "digest"), "digest", "left").select(
-        "key", "digest", "n", "size", "hub",
-        F.coalesce("component", "digest").alias("component"))
-    torn = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")
-                                       ).where("x <> y").select("key")
-    open_ = kept(labelled.join(torn, "key", "left_semi"), "open")
-    few = open_.where(F.col("size") <= small)
-    other = few.select("key", F.col("digest").alias("b"), F.col("n").alias("n_b"),
-                       F.col("component").alias("component_b"))
-    listed = (few.join(other, "key")
-              .where("digest < b and digest <> hub.digest and component <> component_b and "
-                     + _fits("n", "n_b", percent))
-              .select(F.col("digest").alias("a"), "b").distinct())
-    more = kept(confirmed(listed, sets, percent).unionByName(
-        block_links(open_.where(F.col("size") > small), sets, percent, small)), "links")
-    if not more.isEmpty():
-        parts = components(links.unionByName(more))
+    members = members_of(classes.select(F.col("digest").alias("node"), "n",
+                                        F.explode("keys").alias("key")))
+    sets = kept(full_sets(df, members.select(F.col("node").alias("digest")), text_col, size),
+                "sets")
+    parts = connected(members, lambda pairs: confirmed(pairs, sets, percent),
+                      lambda open_: block_links(open_, sets, percent, small),
+                      lambda a, b: _fits(a, b, percent), small)
 
     named = classes.select("digest", "first_id").join(
         parts.withColumnRenamed("id", "digest"), "digest", "left").select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, langid, minhash, packing, pii, substrings, urls, warc
+from tradewind.llm import bpe, embeddings, langid, minhash, packing, pii, substrings, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -57,6 +57,11 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op5_embeddings")
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op6_warc")
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")

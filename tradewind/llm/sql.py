@@ -85,3 +85,21 @@ of_class AS (
 SELECT n.doc_id, n.n_shingles, coalesce(o.component_id, n.doc_id) AS component_id,
   n.doc_id = coalesce(o.component_id, n.doc_id) AS kept
 FROM n LEFT JOIN classes c ON n.shingles = c.shingles LEFT JOIN of_class o ON c.first = o.first"""
+
+ORACLES["op5_embeddings"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.vec_id <> y.vec_id
+    AND len(x.e) = len(y.e) AND x.norm > 0 AND y.norm > 0
+    AND list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.95),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(low, v.vec_id))
+    AS component_id, v.vec_id <= coalesce(low, v.vec_id) AS kept
+FROM v LEFT JOIN lowest ON v.vec_id = lowest.a LEFT JOIN degree ON v.vec_id = degree.a"""
