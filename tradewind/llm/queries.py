@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, embeddings, langid, minhash, packing, pii, substrings, urls, warc
+from tradewind.llm import bpe, embeddings, fingerprint, langid, minhash, packing, pii, substrings, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -41,6 +41,13 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
                         pii.in_order(F.concat("base", "found")).alias("spans"))
 
 
+@query("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.compared(table(spark, folder, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        "near_next")
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
