@@ -1,10 +1,82 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Five stages, each over all its predecessor kept: documents without a language go, one
+document of each group of near-duplicates stays, passages that an earlier document holds
+are cut, personal data is masked, and what is left is packed. Every stage's rows are
+written as Parquet to the shared folder and read again by the next.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tradewind.llm import langid, minhash, packing, pii, substrings
+from tradewind.llm.frames import table
+from tradewind.session import configure, stored
+
+# A document is rejected if no language holds this share of its letters.
+LEAST_LANGUAGE = 0.25
+
+# Most stages have no form in SQL; they are tested against plain versions.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents, with the length of the text as it is now."""
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return docs.withColumn("n_chars", length).select(*columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; a missing ``lang`` becomes the one found."""
+    configure(spark)
+    model = langid.trained(docs)
+    known = langid.with_language(docs, model).where(
+        (F.col("found_lang") != langid.UNKNOWN) & (F.col("found_score") >= LEAST_LANGUAGE))
+    return known.withColumn("lang", F.coalesce("lang", "found_lang")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id, rows repeated once."""
+    configure(spark)
+    judged = stored(minhash.near_duplicates(docs), "judged")
+    stay = judged.where("kept or component_id is null").select(
+        F.col("doc_id").alias("stay_id")).distinct()
+    left = docs.join(stay, docs["doc_id"].eqNullSafe(stay["stay_id"]), "left_semi")
+    repeated = judged.groupBy("doc_id").count().where("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of earlier ones; those with nothing else go."""
+    configure(spark)
+    cut = substrings.without_repeats(docs, substrings.repeats(docs))
+    left = cut.where((F.col("n_words_cut") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return _sized(left, docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    configure(spark)
+    return _sized(pii.masked(docs, pii.personal_data(docs)), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    configure(spark)
+    pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packed(pieces.select("doc_id", "piece", "start", "length",
+                                        F.crc32("ids").alias("ids_crc32")))
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("passages", passages),
+          ("personal_data", personal_data), ("packing", pack)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

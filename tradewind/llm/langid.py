@@ -315,3 +315,22 @@ def _judged(model: Model, texts: list[str | None], penalty: float):
                                  "lang": model.languages[label[a]]})
     langs = [model.languages[c] if t else UNKNOWN for c, t in zip(chosen, total)]
     return langs, np.where(total > 0, score, 0.0).tolist(), spans
+
+
+def with_language(df: DataFrame, model: Model, text_col: str = "text",
+                  penalty: float = PENALTY) -> DataFrame:
+    """``df`` with ``found_lang`` and ``found_score`` of each whole text."""
+    names = [c for c in df.columns if c not in ("found_lang", "found_score")]
+    at = names.index(text_col)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            langs, scores, _ = _judged(shared.value, batch.column(at).to_pylist(), penalty)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=[*names, "found_lang", "found_score"])
+
+    own = df.select(*[F.col(f"`{c}`") for c in names])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    return mapped(own, work, f"{schema}, found_lang string, found_score double")
