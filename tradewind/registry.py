@@ -572,12 +572,12 @@ def load_existing(spark, folder):
 
 @query
 def incremental_refresh(spark, folder):
-    """Two halves of the history, merged into the stored aggregates one by one."""
+    """Two halves of the history, merged into the stored aggregates in calls of their own."""
     fact, path = house(spark, folder).fact, scratch_path(spark, "increments")
     late = F.col("order_purchase_date") >= F.lit(dt.date(1998, 1, 1))
-    return refresh.incremental_refresh(
-        spark, [fact.filter(~late), fact.filter(late)], path, "agg_customer_metrics", RUN_TS
-    )
+    table = "agg_customer_metrics"
+    refresh.incremental_refresh(spark, [fact.filter(~late)], path, table, RUN_TS)
+    return refresh.incremental_refresh(spark, [fact.filter(late)], path, table, RUN_TS)
 
 
 @query
@@ -585,9 +585,10 @@ def incremental_stream(spark, folder):
     fact, path = house(spark, folder).fact, scratch_path(spark, "stream")
     fact.write.parquet(f"{path}/in")
     refresh.incremental_stream(
-        spark, f"{path}/in", fact, f"{path}/state", f"{path}/checkpoint", files_per_batch=20
+        spark, f"{path}/in", fact, f"{path}/state", f"{path}/checkpoint", files_per_batch=20,
+        run_ts=RUN_TS,
     )
-    return refresh.refreshed(spark, f"{path}/state", "agg_product_metrics", RUN_TS)
+    return refresh.current_table(spark, f"{path}/state", "agg_product_metrics")
 
 
 # --- views and analytical queries ------------------------------------------

@@ -6,10 +6,10 @@ import logging
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewind.functions.columns import percent
-from tradewind.operators.cleaning import null_shares
+from tradewind.operators.cleaning import DataQualityError, null_shares
 from tradewind.schemas import FILE_ORDER, MULTILINE_TABLES, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
@@ -19,31 +19,74 @@ CORRUPT = "_corrupt_record"
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path names."""
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
+
+
+def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it exists."""
+    system, hadoop_path = _hadoop(spark, path)
+    system.delete(hadoop_path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names within a folder; none if it does not exist."""
+    system, hadoop_path = _hadoop(spark, path)
+    if not system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(hadoop_path)]
+
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, or of the first file of a folder."""
+    head = spark.read.option("header", False).option("escape", '"').option("quote", '"').csv(path)
+    first = head.limit(1).collect()
+    return [str(c).lstrip("\ufeff").strip() for c in first[0] if c is not None] if first else []
 
 
 def read_table(
-    spark: SparkSession, path: str, table: str, mode: str = "FAILFAST"
+    spark: SparkSession, path: str, table: str, mode: str = "FAILFAST",
+    one_line_records: bool = False,
 ) -> DataFrame:
-    """One raw CSV table with its declared schema.
-
-    FAILFAST stops at a malformed row. PERMISSIVE keeps it, padded with nulls,
-    and puts its text into ``_corrupt_record``.
+    """One raw CSV table with its declared schema, columns matched by their names.
+
+    The header decides where a column stands; further columns are left out, and a
+    declared one that the header lacks raises with its name. The files of a folder share
+    one header. FAILFAST stops at a malformed row in every action: counts parse all
+    columns, too. PERMISSIVE keeps such a row, padded with nulls, and puts its text into
+    ``_corrupt_record``. Tables with free text are read as records of several lines, a
+    file per task; ``one_line_records`` states that none has a line break, which makes
+    large files splittable.
     """
     schema = RAW_SCHEMAS[table]
+    header = read_header(spark, path)
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise DataQualityError(f"{path}: {table} lacks the columns {missing}; it has {header}")
+    kinds = {f.name: f for f in schema.fields}
+    in_file = T.StructType([kinds.get(c, T.StructField(f"_other_{k}", T.StringType()))
+                            for k, c in enumerate(header)])
     if mode.upper() == "PERMISSIVE":
-        schema = type(schema)(list(schema.fields)).add(CORRUPT, "string")
-    return (
-        spark.read.schema(schema)
+        in_file = in_file.add(CORRUPT, "string")
+    rows = (
+        spark.read.schema(in_file)
         .option("header", True)
+        .option("enforceSchema", True)
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
-        # A multi-line file cannot be split, so only free text pays for it.
-        .option("multiLine", table in MULTILINE_TABLES)
+        # Without pruning a malformed row is met whatever columns a query asks for.
+        .option("columnPruning", False)
+        .option("multiLine", table in MULTILINE_TABLES and not one_line_records)
         .csv(path)
     )
+    extra = [CORRUPT] if mode.upper() == "PERMISSIVE" else []
+    return rows.select(*schema.names, *extra)
 
 
 def read_tables(

@@ -8,9 +8,9 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.cleaning import DataQualityError
-from tradewind.schemas import PRIMARY_KEYS, STAGED_TABLES
-from tradewind.session import settle, together
-from tradewind.sources.files import path_exists
+from tradewind.schemas import STAGED_TABLES
+from tradewind.session import settle, stored, together
+from tradewind.sources.files import children, delete_path, path_exists
 
 RFM_EXPORT = (
     "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
@@ -34,10 +34,16 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def append_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """Add rows; with ``keys`` only rows whose key is not stored yet."""
+    """Add rows; with ``keys`` only rows whose key is not stored yet.
+
+    A key may occur once in ``df`` and hold no null; otherwise it raises.
+    """
     spark = df.sparkSession
-    if keys and path_exists(spark, path):
-        df = df.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+    if keys:
+        df = stored(df, "append")  # checked, matched and written
+        require_keys(df, keys)
+        if path_exists(spark, path):
+            df = df.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
     df.write.mode("append").parquet(path)
 
 
@@ -48,12 +54,8 @@ def append_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    numbers = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    numbers = sorted(int(n[2:]) for n in children(spark, path)
+                     if n.startswith("v=") and n[2:].isdigit())
     return [n for n in numbers if path_exists(spark, f"{path}/v={n}/_SUCCESS")]
 
 
@@ -70,30 +72,47 @@ def load_existing(spark: SparkSession, path: str) -> DataFrame | None:
     return read_current(spark, path) if _versions(spark, path) else None
 
 
-def write_version(df: DataFrame, path: str) -> DataFrame:
-    """Store the rows as the next version and read them back."""
+def previous_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The finished version before the latest, if it is still there."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(f"{path}/v={versions[-2]}") if len(versions) > 1 else None
+
+
+def write_version(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+    """Store the rows as the next version, drop all but the last ``keep``, read it back.
+
+    A reader that opened the version before may finish; older ones are gone.
+    """
     spark = df.sparkSession
     versions = _versions(spark, path)
     # A failed write leaves no marker, so its folder is overwritten here.
     number = (versions[-1] if versions else 0) + 1
     df.write.mode("overwrite").parquet(f"{path}/v={number}")
+    for old in [*versions, number][:-keep]:
+        delete_path(spark, f"{path}/v={old}")
     return read_current(spark, path)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key occurs more than once."""
-    if keys and not df.groupBy(*keys).count().filter("count > 1").isEmpty():
+def require_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs more than once or holds a null."""
+    if not keys:
+        return
+    empty = " or ".join(f"`{k}` is null" for k in keys)
+    if not df.where(empty).isEmpty():
+        raise DataQualityError(f"a key of {list(keys)} holds a null")
+    if not df.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise DataQualityError(f"updates repeat a key of {list(keys)}")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the rows of ``updates`` inserted or, on a known key, replaced.
 
-    A key may occur once in ``updates``; otherwise the result would be open.
+    A key may occur once in ``updates`` and hold no null; otherwise the result would be
+    open.
     """
     if not keys:
         return updates
-    require_unique(updates, keys)
+    require_keys(updates, keys)
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
@@ -105,7 +124,7 @@ def upsert_table(
     updates = settle(updates)  # checked, matched and written
     current = load_existing(spark, path)
     if current is None:
-        require_unique(updates, keys)
+        require_keys(updates, keys)
         return write_version(updates, path)
     return write_version(upsert(current, updates, keys), path)
 
@@ -130,10 +149,6 @@ def write_layers(
     return {place.split("/")[1]: f"{folder}/{place}" for place in calls}
 
 
-def primary_key(table: str) -> list[str]:
-    return PRIMARY_KEYS.get(table, [])
-
-
 def export_rfm(rfm: DataFrame, path: str, fmt: str = "csv") -> None:
     """The eleven named RFM columns."""
     replace_table(rfm.select(*RFM_EXPORT), path, fmt=fmt)
