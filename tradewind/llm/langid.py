@@ -295,12 +295,13 @@ def _judged(model: Model, texts: list[str | None], penalty: float):
     g = grams(texts, len(model.scores))
     by_word = model.word_scores(g)
     label = labels(by_word, g.text, penalty)
-    letters = np.bincount(g.text * k + label, weights=g.letters, minlength=n * k).reshape(n, k)
+    letters = np.bincount(g.text * k + label, weights=g.letters.astype(np.float64),
+                          minlength=n * k).astype(np.float64).reshape(n, k)
     chosen = letters.argmax(axis=1)
     total = letters.sum(axis=1)
     mine = label == chosen[g.text]
     sums = np.stack([np.bincount(g.text[mine], weights=row[mine], minlength=n)
-                     for row in by_word], axis=1)
+                     for row in by_word], axis=1).astype(np.float64)
     rows = np.arange(n)
     best = sums[rows, chosen]
     sums[rows, chosen] = -np.inf

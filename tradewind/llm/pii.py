@@ -332,13 +332,13 @@ def masked(df: DataFrame, spans: DataFrame, id_col: str = "doc_id",
     start together; the rest of the others is replaced with it.
     """
     names = df.columns
-    of_text = spans.select(F.col(id_col).alias("span_id"), F.col("text_hash").alias("span_hash"),
-                           F.concat("base", "found").alias("spans")).dropDuplicates(
-        ["span_id", "span_hash"]).where(F.size("spans") > 0)
-    hashed = df.withColumn("span_hash", F.xxhash64(F.col(text_col)))
-    joined = hashed.join(of_text, hashed[id_col].eqNullSafe(of_text["span_id"])
-                         & (hashed["span_hash"] == of_text["span_hash"]), "left").select(
-        *[F.col(f"`{c}`") for c in names], "spans")
+    of_text = spans.select(F.col(id_col).alias("_masked_span_id"), F.col("text_hash").alias("_masked_span_hash"),
+                           F.concat("base", "found").alias("_masked_spans")).dropDuplicates(
+        ["_masked_span_id", "_masked_span_hash"]).where(F.size("_masked_spans") > 0)
+    hashed = df.withColumn("_masked_span_hash", F.xxhash64(F.col(text_col)))
+    joined = hashed.join(of_text, hashed[id_col].eqNullSafe(of_text["_masked_span_id"])
+                         & (hashed["_masked_span_hash"] == of_text["_masked_span_hash"]), "left").select(
+        *[F.col(f"`{c}`") for c in names], "_masked_spans")
     at = names.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F
 
 from tradewind.llm.frames import bloom, gathered, kept, mapped, slices
@@ -348,12 +349,12 @@ def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id",
     Adds n_words_cut. White space before a cut goes with it.
     """
     names = df.columns
-    spans = found.select(F.col(id_col).alias("cut_id"), F.col("text_hash").alias("cut_hash"),
-                         F.col("spans").alias("cut_spans"))
-    texts = df.withColumn("cut_hash", F.xxhash64(F.col(text_col)))
-    joined = texts.join(spans, (F.col(id_col) == F.col("cut_id")) & (
-        texts["cut_hash"] == spans["cut_hash"]), "left").select(
-        *[F.col(f"`{c}`") for c in names], "cut_spans")
+    spans = found.select(F.col(id_col).alias("_repeats_cut_id"), F.col("text_hash").alias("_repeats_cut_hash"),
+                         F.col("spans").alias("_repeats_cut_spans"))
+    texts = df.withColumn("_repeats_cut_hash", F.xxhash64(F.col(text_col)))
+    joined = texts.join(spans, (F.col(id_col) == F.col("_repeats_cut_id")) & (
+        texts["_repeats_cut_hash"] == spans["_repeats_cut_hash"]), "left").select(
+        *[F.col(f"`{c}`") for c in names], "_repeats_cut_spans")
     at = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
