@@ -36,7 +36,7 @@ def folder(tmp_path):
 
 
 def test_files_to_warehouse(spark, folder, tmp_path):
-    house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"))
+    house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"), max_broken=0.5)
     fact = house.fact
     assert not house.failures
     assert column(fact, "order_id", "order_id") == ["O1", "O2"]  # unknown customer and seller left
@@ -84,6 +84,41 @@ def test_a_failing_aggregate_is_reported(spark, folder, tmp_path, monkeypatch):
         return real(fact, table, run_ts)
 
     monkeypatch.setattr(pipeline, "aggregate", sometimes)
-    house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"))
+    house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"), max_broken=0.5)
     assert house.failures == {"agg_product_metrics": "no luck"}
     assert set(house.aggregates) == {"agg_customer_metrics", "agg_monthly_revenue"}
+
+
+def test_a_bad_load_leaves_the_published_one(spark, folder, tmp_path):
+    out, head = str(tmp_path / "out"), ",".join(RAW_SCHEMAS["order_items"].names)
+
+    def load(*rows):
+        (folder / "order_items.csv").write_text("\n".join([head, *rows]) + "\n")
+        pipeline.run_files(spark, str(folder), out, max_broken=0.4)
+
+    def prices():
+        place = pipeline.published(spark, out)
+        return sorted(column(spark.read.parquet(f"{place}/staging/raw_order_items"), "price"))
+
+    load("O1,1,P1,S1,,5.00,1.00")
+    assert prices() == [Decimal("5.00")]
+    with pytest.raises(DataQualityError, match="price"):
+        load("O1,1,P1,S1,,-1.00,1.00")
+    with pytest.raises(DataQualityError, match="reference:seller_id: 1 of 2"):
+        load("O1,1,P1,S1,,7.00,1.00", "O2,1,P1,SX,,7.00,1.00")
+    assert prices() == [Decimal("5.00")]
+    # A repeated key counts once; every gate left its rows in the log.
+    load("O1,1,P1,S1,,6.00,1.00", "O1,1,P1,S1,,9.00,1.00")
+    assert prices() == [Decimal("6.00")]
+    log = spark.read.parquet(f"{out}/quality_log")
+    assert log.where("result = 'FAIL'").count() == 1
+    assert log.where("check_name = 'duplicates' and table_name = 'fact_order_items'").count() == 3
+
+
+def test_repeated_dimension_keys_do_not_multiply_rows(spark, folder, tmp_path):
+    for name in ("sellers", "category_translation"):
+        (folder / f"{name}.csv").write_text(
+            "\n".join([",".join(RAW_SCHEMAS[name].names), *ROWS[name] * 2]) + "\n")
+    house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"), max_broken=0.5)
+    assert house.dims["dim_products"].count() == 2 and house.dims["dim_sellers"].count() == 1
+    assert house.fact.count() == 2

@@ -16,6 +16,12 @@ def test_emoji_are_counted_by_character(make):
     assert column(out, "e", "n") == [0, 3, 1]
 
 
+def test_symbols_and_flag_letters_are_no_emoji(make):
+    df = make("n int, m string", (1, "\u2605" * 5), (2, "\u2713 \u2610"), (3, "\U0001F1E7\U0001F1F7"),
+              (4, "\U0001F44D\U0001F3FD"), (5, "0 # *"), (6, "\u2714 \u2B50"))
+    assert column(df.select("n", text.emoji_count("m").alias("e")), "e", "n") == [0, 0, 0, 2, 0, 2]
+
+
 def test_sentiment_is_the_mean_of_opinion_words(make):
     df = make("n int, m string", (1, "Great product, EXCELLENT!"), (2, "bad and terrible"),
               (3, "a table"), (4, None))

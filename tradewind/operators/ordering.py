@@ -179,8 +179,11 @@ def tile_columns(
         for end in ends:
             last = found.get(i * rows + end)
             if last is not None and 0 < end <= rows:
-                edge, edge_tie = F.lit(last["key"]), F.lit(last[tie]).cast(tie_type)
-                behind = (keys[n] > edge) | ((keys[n] == edge) & (F.col(tie) > edge_tie))
+                # Rows without a value come first, as in the sort.
+                edge = F.lit(last["key"]).cast("decimal(38,6)")
+                edge_tie = F.lit(last[tie]).cast(tie_type)
+                larger = F.coalesce(keys[n] > edge, keys[n].isNotNull() & edge.isNull())
+                behind = larger | (keys[n].eqNullSafe(edge) & (F.col(tie) > edge_tie))
                 tile = tile + F.when(behind, 1).otherwise(0)
         tiles[n] = tile
     return tiles

@@ -1,22 +1,32 @@
-"""The whole run: clean, fact, dimensions, reference check, aggregates, load."""
+"""The whole run: clean, fact, dimensions, checks, aggregates, publish.
+
+Every run writes to a folder of its own below ``runs``. Range checks and the load gate
+run on what is written there; their rows go to ``quality_log`` in any case. Only when
+nothing fails does ``published`` name the run, so a bad load never replaces a good one.
+The two runs published last are kept.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.aggregates import STATE_KEYS, aggregate
-from tradewind.operators.cleaning import clean_all, referential_filter
+from tradewind.operators.cleaning import DataQualityError, clean_all, referential_filter
+from tradewind.operators.quality import append_quality_log, load_gate
 from tradewind.operators.star import DEFAULT_SOURCE, dimensions, fact_order_items
-from tradewind.schemas import STAGED_TABLES, CleaningRules
-from tradewind.session import settle, together
-from tradewind.sources.files import read_tables
-from tradewind.sources.tables import FACT_PARTITION, read_back, replace_table
+from tradewind.schemas import MAX_FK_VIOLATIONS, STAGED_TABLES, CleaningRules
+from tradewind.session import configure, settle, together
+from tradewind.sources.files import children, delete_path, read_tables
+from tradewind.sources.tables import (
+    FACT_PARTITION, previous_version, read_back, read_current, replace_table, write_version,
+)
 
 log = logging.getLogger(__name__)
 
@@ -66,20 +76,25 @@ def star(
 def run(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str,
     rules: Mapping[str, CleaningRules] | None = None, run_ts: dt.datetime | None = None,
-    source: str = DEFAULT_SOURCE,
+    source: str = DEFAULT_SOURCE, max_broken: float = MAX_FK_VIOLATIONS,
 ) -> Warehouse:
-    """Raw tables to a loaded warehouse, every layer stored and read back.
+    """Raw tables to a published warehouse, every layer stored and read back.
 
-    Any broken rule of cleaning, fact or dimensions raises. The fact is stored
-    before aggregates are built from it, so its joins run once. An aggregate
-    that fails is reported and does not stop the run.
+    Any broken rule of cleaning, and any limit of the load gate that fails, raises and
+    leaves the published run as it was. ``max_broken`` is the share of rows whose
+    customer, product or seller may be unknown. The fact is stored before aggregates are
+    built from it, so its joins run once. An aggregate that fails is reported and does
+    not stop the run.
     """
+    configure(spark)
     run_ts = run_ts or dt.datetime.now()  # one load time for the whole run
-    tables = clean(raw, folder, rules)
+    name_of_run = uuid.uuid4().hex
+    place = f"{folder}/runs/{name_of_run}"
+    tables = clean(raw, place, rules)
     fact, dims = star(tables, run_ts, source)
 
     def keep(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{folder}/dwh/{name}"
+        path = f"{place}/dwh/{name}"
         replace_table(df, path, partition_by)
         return read_back(spark, path, df)
 
@@ -88,6 +103,7 @@ def run(
         **{name: partial(keep, name, df) for name, df in dims.items()},
     })
     house = Warehouse(tables, {name: stored[name] for name in dims}, stored["fact_order_items"])
+    _check_load(spark, house, folder, run_ts, max_broken)
 
     def build(name: str) -> None:
         try:
@@ -97,14 +113,47 @@ def run(
             house.failures[name] = str(error)
 
     together({name: partial(build, name) for name in STATE_KEYS})
+    _publish(spark, folder, name_of_run, run_ts)
     return house
 
 
+def _check_load(
+    spark: SparkSession, house: Warehouse, folder: str, run_ts: dt.datetime, max_broken: float
+) -> None:
+    """Log every limit of the gate and raise if one fails."""
+    rows = load_gate({**house.dims, "fact_order_items": house.fact}, house.tables, max_broken)
+    found = rows.collect()  # a row per table and check
+    at = F.lit(run_ts).cast("timestamp_ntz")
+    append_quality_log(
+        spark.createDataFrame(found, rows.schema).withColumn("check_timestamp", at).coalesce(1),
+        f"{folder}/quality_log",
+    )
+    failed = [f"{r.table_name} {r.check_name}: {r.failed} of {r.checked}"
+              for r in found if r.result == "FAIL"]
+    if failed:
+        raise DataQualityError("load gate: " + "; ".join(sorted(failed)))
+
+
+def _publish(spark: SparkSession, folder: str, name: str, run_ts: dt.datetime) -> None:
+    entry = spark.createDataFrame([(name, run_ts.isoformat())], "run string, run_ts string")
+    write_version(entry, f"{folder}/published")
+    before = previous_version(spark, f"{folder}/published")
+    used = {name} | ({before.first().run} if before is not None else set())
+    for other in children(spark, f"{folder}/runs"):
+        if other not in used:
+            delete_path(spark, f"{folder}/runs/{other}")
+
+
+def published(spark: SparkSession, folder: str) -> str:
+    """Folder of the run published last: ``staging`` and ``dwh`` lie below it."""
+    return f"{folder}/runs/{read_current(spark, f'{folder}/published').first().run}"
+
+
 def run_files(
     spark: SparkSession, source_folder: str, folder: str,
     rules: Mapping[str, CleaningRules] | None = None, run_ts: dt.datetime | None = None,
-    source: str = DEFAULT_SOURCE,
+    source: str = DEFAULT_SOURCE, max_broken: float = MAX_FK_VIOLATIONS,
 ) -> Warehouse:
     """The run from CSV files; of rows with the same key the first in file order stays."""
     raw = read_tables(spark, source_folder, file_order=True)
-    return run(spark, raw, folder, rules, run_ts, source)
+    return run(spark, raw, folder, rules, run_ts, source, max_broken)

@@ -18,16 +18,16 @@ from tradewind.session import settle, together
 
 QUARTERS = (0.25, 0.5, 0.75)
 
-# Segment names, best first, with the advice given for each.
+# Segment names (fixed values), best first, each with a suggestion of our own.
 SEGMENT_ADVICE = {
-    "Champions": "VIP Treatment - Retain and upsell",
-    "Loyal Customers": "Reward loyalty - Increase basket size",
-    "Potential Loyalists": "Nurture - Convert to loyal",
-    "New Customers": "Onboard - Encourage repeat purchase",
-    "At Risk": "Win back - Special offers",
-    "Need Attention": "Engage - Personalized campaigns",
-    "Lost": "Reactivate - Win back campaigns",
-    "Other": "Monitor - Observe behavior",
+    "Champions": "Thank them personally and show new lines first",
+    "Loyal Customers": "Give points for every order and suggest matching items",
+    "Potential Loyalists": "Write soon after a purchase and offer a membership",
+    "New Customers": "Explain the shop and give a reason for a second order",
+    "At Risk": "Ask what went wrong and offer something for a return",
+    "Need Attention": "Send reminders that fit what they bought before",
+    "Lost": "Try one strong offer, then stop writing",
+    "Other": "Keep watching until a pattern shows",
 }
 
 # Exact (r, f, m) quarter scores that name a segment.

@@ -158,6 +158,9 @@ DEFAULT_RULES: dict[str, CleaningRules] = {
         text=("review_comment_title", "review_comment_message"),
         ranges={"review_score": (1, 5)},
     ),
+    # A repeated key here would multiply products, sellers and their revenue.
+    "sellers": CleaningRules(key=("seller_id",)),
+    "category_translation": CleaningRules(key=("product_category_name",)),
 }
 
 # The six known order states.
