@@ -7,9 +7,10 @@ from itertools import combinations
 from oracles.prelude import (
     CLEAN, RAW, TABLE_COLUMNS, half_up, over_raw, over_star, percent, ratio, text,
 )
-from tradewind.functions import text as texts
-from tradewind.operators.profiling import CRITICAL_FIELDS, KEY_COLUMNS
-from tradewind.schemas import DEFAULT_RULES
+from oracles.values import (
+    CRITICAL, EMOJI_CLASS, KEYS, OPINION_WORDS, ORDER_TIMES, PROFILED_FIELDS, RANGES, REVIEW_TEXTS,
+    STOP_WORDS, WORD_BREAK,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -70,7 +71,7 @@ ORACLES["validate_critical"] = over_raw(union([
     f"SELECT '{t}' AS table_name, '{c}' AS field, COUNT(*) AS rows, {nulls(c)} AS null_count, "
     f"{half_up(f'(100.0 * {nulls(c)} / COUNT(*))', 4)} AS null_pct, "
     f"CAST({nulls(c)} <= 0.05 * COUNT(*) AS BIGINT) AS passed FROM raw_{t}"
-    for t, r in DEFAULT_RULES.items() for c in r.critical
+    for t, fields in CRITICAL.items() for c in fields
 ]))
 ORACLES["missing_flags"] = f"""WITH {RAW.strip()},{CLEAN}
 SELECT order_id, CAST(is_approved AS BIGINT) AS is_approved,
@@ -82,7 +83,7 @@ SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, product_id, sel
     AS freight_value
 FROM deduped_items"""
 ORACLES["coerce_timestamps"] = over_raw("SELECT order_id, " + ", ".join(
-    f"{text(f'TRY_CAST({c} AS TIMESTAMP)')} AS {c}" for c in DEFAULT_RULES["orders"].timestamps
+    f"{text(f'TRY_CAST({c} AS TIMESTAMP)')} AS {c}" for c in ORDER_TIMES
 ) + " FROM raw_orders")
 ORACLES["fill_approved_at"] = over_raw(f"""SELECT order_id,
   {text('''COALESCE(TRY_CAST(order_approved_at AS TIMESTAMP),
@@ -116,7 +117,7 @@ ORACLES["validate_ranges"] = over_raw(union([
     f"SELECT '{t}' AS table_name, '{c}' AS field, CAST({lo} AS DOUBLE) AS min_value, "
     f"CAST({hi} AS DOUBLE) AS max_value, "
     f"COUNT(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS violations FROM raw_{t}"
-    for t, r in DEFAULT_RULES.items() for c, (lo, hi) in r.ranges.items()
+    for t, ranges in RANGES.items() for c, (lo, hi) in ranges.items()
 ]))
 
 
@@ -128,7 +129,7 @@ def _words(c: str) -> str:
 
 ORACLES["text_features"] = over_raw("SELECT review_id, " + ", ".join(
     f"COALESCE(length({c}), 0) AS {c}_length, CAST({_words(c)} AS BIGINT) AS {c}_word_count"
-    for c in DEFAULT_RULES["reviews"].text
+    for c in REVIEW_TEXTS
 ) + " FROM raw_reviews")
 
 CLEANED = {
@@ -191,7 +192,7 @@ SELECT table_name, column_name, null_count, null_pct FROM profile WHERE null_cou
 ORACLES["critical_null_report"] = over_raw(union([
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, {nulls(c)} AS null_count, "
     f"CASE WHEN {nulls(c)} = 0 THEN 'No missing' ELSE 'Missing values' END AS status FROM raw_{t}"
-    for t, columns in CRITICAL_FIELDS.items() for c in columns
+    for t, columns in PROFILED_FIELDS.items() for c in columns
 ]))
 
 MERGED = TABLE_COLUMNS["order_items"] + TABLE_COLUMNS["products"][1:] + [
@@ -219,7 +220,7 @@ ORACLES["duplicate_report"] = over_raw(union([
     f"SELECT '{t}' AS table_name, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows, "
     f"CASE WHEN SUM(n - 1) = 0 THEN 'No duplicates' ELSE 'DUPLICATES FOUND' END AS status "
     f"FROM (SELECT COUNT(*) AS n FROM raw_{t} GROUP BY {', '.join(k)})"
-    for t, k in KEY_COLUMNS.items()
+    for t, k in KEYS.items()
 ]))
 
 
@@ -324,7 +325,7 @@ FROM raw_order_items""")
 
 TOKENS = f"""tokens AS (
   SELECT review_id, review_comment_message AS m,
-    string_split_regex(lower(review_comment_message), '{texts.WORD_BREAK}') AS w
+    string_split_regex(lower(review_comment_message), '{WORD_BREAK}') AS w
   FROM raw_reviews)"""
 
 
@@ -337,21 +338,21 @@ def _hits(words) -> str:
 
 
 def _weighted(part: int) -> str:
-    total = " + ".join(f"h{i}" for i in range(len(texts.OPINION_WORDS)))
-    value = " + ".join(f"h{i} * {s[part]}::DOUBLE" for i, s in enumerate(texts.OPINION_WORDS))
+    total = " + ".join(f"h{i}" for i in range(len(OPINION_WORDS)))
+    value = " + ".join(f"h{i} * {s[part]}::DOUBLE" for i, s in enumerate(OPINION_WORDS))
     mean = f"COALESCE(({value}) / NULLIF(({total})::DOUBLE, 0), 0.0)"
     return f"CASE WHEN length(m) > 0 THEN {half_up(mean, 6)} END"
 
 
 LANGUAGE = "CASE WHEN m IS NULL OR length(m) = 0 THEN NULL WHEN greatest({0}) = 0 THEN 'unknown' {1} END".format(
-    ", ".join(f"l_{c}" for c in texts.STOP_WORDS),
-    " ".join(f"WHEN l_{c} = greatest({', '.join(f'l_{x}' for x in texts.STOP_WORDS)}) THEN '{c}'"
-             for c in sorted(texts.STOP_WORDS)),
+    ", ".join(f"l_{c}" for c in STOP_WORDS),
+    " ".join(f"WHEN l_{c} = greatest({', '.join(f'l_{x}' for x in STOP_WORDS)}) THEN '{c}'"
+             for c in sorted(STOP_WORDS)),
 )
-EMOJI = f"len(regexp_extract_all(m, '{texts.EMOJI_CLASS}'))"
+EMOJI = f"len(regexp_extract_all(m, '{EMOJI_CLASS}'))"
 SCORED = TOKENS + ",\nscored AS (SELECT review_id, m, " + ", ".join(
-    [f"{_hits(v)} AS h{i}" for i, v in enumerate(texts.OPINION_WORDS.values())]
-    + [f"{_hits(v)} AS l_{c}" for c, v in texts.STOP_WORDS.items()]
+    [f"{_hits(v)} AS h{i}" for i, v in enumerate(OPINION_WORDS.values())]
+    + [f"{_hits(v)} AS l_{c}" for c, v in STOP_WORDS.items()]
 ) + f""" FROM tokens),
 features AS (SELECT review_id, {_weighted(0)} AS sentiment_polarity,
   {_weighted(1)} AS sentiment_subjectivity, {LANGUAGE} AS review_language,

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from oracles.prelude import half_up, over_star, percent, ratio, text
 from oracles.raw import nulls, union
-from tradewind.operators.quality import REQUIRED_COLUMNS
-from tradewind.plans.rfm import EXACT_SEGMENTS, RANGE_SEGMENTS, SEGMENT_ADVICE
+from oracles.values import EXACT_SEGMENTS, RANGE_SEGMENTS, REQUIRED_COLUMNS, SEGMENT_ADVICE
 
 ORACLES: dict[str, str] = {}
 
