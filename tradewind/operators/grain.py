@@ -23,14 +23,5 @@ def by_order(fact: DataFrame, *keys: str, **extra: Column) -> DataFrame:
     )
 
 
-def orders() -> Column:
-    """Distinct orders, on rows grouped by order within the current group."""
-    return F.count("order_id")
-
-
-def distinct_customers() -> Column:
-    return F.countDistinct("customer_id")
-
-
 def mean_item_value(digits: int | None = None) -> Column:
     return ratio(F.sum("value"), F.sum("items"), digits)

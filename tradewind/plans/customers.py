@@ -42,13 +42,14 @@ def cohort_retention(
     fact: DataFrame, as_of: dt.date | None = None, customer_key: str = "customer_id"
 ) -> DataFrame:
     """Share of each first-purchase month still buying n calendar months later."""
-    # One row per customer and month, so a customer's window holds months, not items.
+    # A customer's months are one small set, however many items there are.
     active = (
         delivered_orders(fact)
-        .select(customer_key, F.trunc("order_purchase_date", "MM").alias("month"))
-        .distinct()
+        .groupBy(customer_key)
+        .agg(F.collect_set(F.trunc("order_purchase_date", "MM")).alias("months"))
     )
-    dated = active.withColumn("cohort", F.min("month").over(W.partitionBy(customer_key)))
+    dated = active.select(customer_key, F.array_min("months").alias("cohort"),
+                          F.explode("months").alias("month"))
     if as_of is not None:
         dated = dated.filter(F.col("month") <= F.trunc(F.lit(as_of), "MM"))
     offset = month_number(F.col("month")) - month_number(F.col("cohort"))
@@ -93,5 +94,5 @@ def retention_60d(fact: DataFrame, days: int = 60) -> DataFrame:
 
 
 def order_counts_per_customer(orders: DataFrame, customer_key: str = "customer_id") -> DataFrame:
-    """Distinct orders of every customer, all statuses."""
-    return orders.groupBy(customer_key).agg(F.countDistinct("order_id").alias("orders"))
+    """Orders of every customer, all statuses; cleaning has made orders unique."""
+    return orders.groupBy(customer_key).agg(F.count("order_id").alias("orders"))

@@ -123,11 +123,13 @@ def revenue_concentration(fact: DataFrame, top_share: float = 0.2) -> DataFrame:
     n = customers.count()
     total = customers.agg(F.sum("total_revenue")).scalar()
     parts = [_top_customer_share(customers, max(int(n * top_share), 1), total)]
-    products = delivered_orders(fact).groupBy("product_id").agg(
-        F.sum("total_value").alias("total_revenue")
+    in_order = [F.desc("total_revenue"), F.asc("product_id")]
+    products = settle(
+        delivered_orders(fact).groupBy("product_id")
+        .agg(F.sum("total_value").alias("total_revenue")).orderBy(*in_order).limit(50)
     )
     for k in (10, 50):
-        best = products.orderBy(F.desc("total_revenue"), "product_id").limit(k)
+        best = products.orderBy(*in_order).limit(k)
         parts.append(best.agg(
             F.lit(f"top_{k}_products").alias("part"),
             F.count("*").alias("members"),

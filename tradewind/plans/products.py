@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tradewind.functions.columns import percent, ratio
 from tradewind.operators.grain import by_order, mean_item_value
 from tradewind.plans.revenue import check_limit, delivered_orders
+from tradewind.session import settle
 
 
 def _product_totals(fact: DataFrame) -> DataFrame:
@@ -40,6 +41,8 @@ def top_products(
     totals = _product_totals(fact).join(
         products.select("product_id", "product_category_name"), "product_id"
     )
+    if share_of == "all":
+        totals = settle(totals)  # read for the best and for the sum
     best = totals.orderBy(F.desc("total_revenue"), "product_id").limit(limit)
     # The windows below see the listed products only.
     everything = W.partitionBy()
@@ -79,16 +82,12 @@ def api_top_products(fact: DataFrame, products: DataFrame, limit: int = 10) -> D
 def category_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Delivered and shipped items per category with revenue rank and share."""
     wanted = fact.filter(F.col("order_status").isin("delivered", "shipped"))
-    per_product = by_order(
-        wanted, "customer_id", "product_id",
+    # The category comes first, so items are grouped once.
+    per_order = by_order(
+        wanted.join(products.select("product_id", "product_category_name"), "product_id"),
+        "product_category_name", "customer_id",
         delayed=F.sum("is_delayed"), delivered=F.sum("is_delivered"),
     )
-    categories = products.select("product_id", "product_category_name")
-    per_order = (
-        per_product.join(categories, "product_id")
-        .groupBy("product_category_name", "customer_id", "order_id")
-        .agg(*[F.sum(c).alias(c) for c in ("items", "value", "delayed", "delivered")])
-    )
     per_category = per_order.groupBy("product_category_name").agg(
         F.count("order_id").alias("order_count"),
         F.sum("items").alias("units_sold"),

@@ -49,7 +49,9 @@ def seller_performance(
 ) -> DataFrame:
     """Seller totals ranked by revenue and by delay, with a performance tier."""
     totals = settle(seller_totals(fact, sellers, min_orders, grain))
-    ranked = with_global_rank(totals, "total_revenue", "seller_id", "revenue_rank", descending=True)
+    ranked = settle(
+        with_global_rank(totals, "total_revenue", "seller_id", "revenue_rank", descending=True)
+    )
     ranked = with_global_rank(ranked, "delayed_rate", "seller_id", "performance_rank")
     rate = F.col("delayed_rate")
     return ranked.withColumn(

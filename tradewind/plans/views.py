@@ -75,8 +75,7 @@ def v_product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def v_monthly_trend(fact: DataFrame, time: DataFrame) -> DataFrame:
-    # The calendar has one row per day, so its size is bounded by the years covered.
-    days = F.broadcast(time.select("date_id", "year", "month", "month_name"))
+    days = time.select("date_id", "year", "month", "month_name")
     per_order = by_order(
         fact.filter(F.col("is_delivered") == 1), "customer_id", "order_purchase_date"
     )
