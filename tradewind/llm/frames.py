@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.session import stored
@@ -67,35 +68,79 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int,
         yield pa.concat_batches(held)
 
 
+# Links one task connects at once.
+LINKS_PER_TASK = 500_000
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable id of every id that occurs in ``links``: columns id, component.
 
-    Large-star and small-star rounds: every round sums up each node's neighbours to
-    their minimum and joins it back, so no neighbourhood is ever gathered in one
-    place. The links of each round are written to the shared folder; the last round
-    is the one that changes nothing.
+    Each task replaces the links it reads, a bounded number, by stars that connect the
+    same ids. If that took one task, the stars are the components. Otherwise large-star
+    and small-star rounds follow: a round sums up each node's neighbours to their minimum
+    and joins it back, so no neighbourhood is ever gathered in one place, and its links
+    are replaced by stars again. Every step is written to the shared folder.
     """
-    both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = kept(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                 .distinct(), "links")
+    edges = kept(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"), "links")
     while True:
+        tasks = -(-edges.count() // LINKS_PER_TASK)
+        edges = kept(_as_stars(edges, tasks), "links")
+        if tasks <= 1:
+            return _labels(edges)
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = around.groupBy("u").agg(F.min("v").alias("m"))
         low = low.select("u", F.least("u", "m").alias("m"))
         # Large star: larger neighbours are linked to the smallest one.
-        large = (around.where("v > u").join(low, "u").select(F.col("v").alias("u"),
-                                                              F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = (around.where("v > u").join(low, "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # Small star: smaller neighbours and the node itself are linked to the smallest.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small, "u")
-        after = kept(joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = kept(joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                      .unionByName(joined.select("u", F.col("m").alias("v")))
                      .where("u <> v").distinct(), "links")
-        # One star per component: nobody has two smaller neighbours, no centre has one.
-        if _is_stars(after):
-            return _labels(after)
-        edges = after
+        if _is_stars(edges):
+            return _labels(edges)
+
+
+def _as_stars(edges: DataFrame, tasks: int) -> DataFrame:
+    """Links in as many tasks, each task's replaced by stars of the same components."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in edges.schema.fields)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= 2 * LINKS_PER_TASK:
+                held, n = [_stars(held)], 0
+        if held:
+            yield _stars(held)
+
+    # Neither the ids of one component nor anything else is shuffled here.
+    return mapped(edges.coalesce(max(1, tasks)), work, schema)
+
+
+def _stars(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    whole = pa.Table.from_batches(batches).combine_chunks()
+    u, v = (whole.column(c).combine_chunks() for c in ("u", "v"))
+    both = pa.concat_arrays([u, v]) if len(u) else u
+    ids = pa.compute.unique(both)
+    ids = ids.take(pa.compute.sort_indices(ids))
+    codes = pa.compute.index_in(both, ids).to_numpy(False).astype(np.int64)
+    a, b = codes[:len(u)], codes[len(u):]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        label = label[label]
+        if (label == before).all() and (label[a] == label[b]).all():
+            break
+    far = np.flatnonzero(label != np.arange(len(ids)))
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(far)), ids.take(pa.array(label[far]))],
+                                      names=["u", "v"])
 
 
 def _is_stars(edges: DataFrame) -> bool:
