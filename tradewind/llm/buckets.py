@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.llm.frames import components, kept
 
@@ -35,8 +35,9 @@ def connected(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
     """Components (id, component) of the nodes that are linked within buckets.
 
     ``confirm`` keeps the linked ones of pairs (a, b). ``compare`` finds the links (a, b)
-    across components in large buckets (key, node, component, size). ``fits`` is a
-    condition on two nodes' ``n`` without which they cannot be linked.
+    across components in large buckets (key, node, component, size, and load: the sum of
+    the bucket's ``n``). ``fits`` is a condition on two nodes' ``n`` without which they
+    cannot be linked.
     """
     stars = (members.where("node <> hub.node and " + fits("n", "hub.n"))
              .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
@@ -44,9 +45,10 @@ def connected(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
     parts = components(links)
     labelled = members.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
         "key", "node", "n", "size", "hub", F.coalesce("component", "node").alias("component"))
-    torn = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")
-                                       ).where("x <> y").select("key")
-    open_ = kept(labelled.join(torn, "key", "left_semi"), "open")
+    torn = labelled.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.sum("n").alias("load")
+    ).where("x <> y").select("key", "load")
+    open_ = kept(labelled.join(torn, "key"), "open")
     few = open_.where(F.col("size") <= small)
     other = few.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"),
                        F.col("component").alias("component_b"))
@@ -58,18 +60,18 @@ def connected(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
     return parts if more.isEmpty() else components(links.unionByName(more))
 
 
-def block_pairs(rows: DataFrame, group: str, size: str, columns: list[str],
-                length: int) -> DataFrame:
-    """Pairs (own_a, own_b) of blocks of about ``length`` rows of each group, same included.
+def block_pairs(rows: DataFrame, group: str, columns: list[str],
+                blocks: Column) -> DataFrame:
+    """Pairs (own_a, own_b) of each group's blocks, a block with itself included.
 
-    A block is a list of structs of ``columns``, of which the first is the row's key;
-    ``same`` tells whether both are the one block.
+    ``blocks`` is the number of blocks of a row's group. A block is a list of structs of
+    ``columns``, of which the first is the row's key; ``same`` tells whether both are the
+    one block.
     """
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(columns[0]),
-                                            F.ceil(F.col(size) / length).cast("long")))
-    blocks = kept(dealt.groupBy(group, "block").agg(
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(columns[0]), blocks.cast("long")))
+    dealt = kept(dealt.groupBy(group, "block").agg(
         F.collect_list(F.struct(*columns)).alias("own")), "blocks")
-    left = blocks.select(group, F.col("block").alias("block_a"), F.col("own").alias("own_a"))
-    right = blocks.select(group, F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+    left = dealt.select(group, F.col("block").alias("block_a"), F.col("own").alias("own_a"))
+    right = dealt.select(group, F.col("block").alias("block_b"), F.col("own").alias("own_b"))
     return left.join(right, group).where("block_a <= block_b").select(
         "own_a", "own_b", (F.col("block_a") == F.col("block_b")).alias("same"))

@@ -167,7 +167,7 @@ def _products(batches: Iterator[pa.RecordBatch], threshold: float):
 def block_links(open_: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Links across components within large buckets."""
     held = open_.join(classes.select("node", "vector"), "node")
-    both = block_pairs(held, "key", "size", ["node", "component", "vector"], BLOCK)
+    both = block_pairs(held, "key", ["node", "component", "vector"], F.ceil(F.col("size") / BLOCK))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, good in _products(batches, threshold):
@@ -183,8 +183,8 @@ def block_links(open_: DataFrame, classes: DataFrame, threshold: float) -> DataF
 def link_counts(nodes: DataFrame, threshold: float) -> DataFrame:
     """For each node (node, component, vector, copies): vectors of other nodes linked to it."""
     sizes = nodes.groupBy("component").agg(F.count("*").alias("size"))
-    both = block_pairs(nodes.join(sizes, "component"), "component", "size",
-                       ["node", "copies", "vector"], BLOCK)
+    both = block_pairs(nodes.join(sizes, "component"), "component",
+                       ["node", "copies", "vector"], F.ceil(F.col("size") / BLOCK))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, good in _products(batches, threshold):

@@ -29,6 +29,8 @@ from tradewind.llm.words import SHINGLE, mixed, shingle_sets, words
 
 PERCENT = 85
 BANDS, ROWS = 36, 6
+# Sets, and shingles of all of them, that a block holds about.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 
 
 def multipliers(bands: int, rows: int) -> np.ndarray:
@@ -166,10 +168,11 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int, length: int) -> DataFrame:
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components within large buckets."""
     held = members.join(sets.withColumnRenamed("digest", "node"), "node")
-    both = block_pairs(held, "key", "size", ["node", "component", "shingles"], length)
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("load") / BLOCK_SHINGLES))
+    both = block_pairs(held, "key", ["node", "component", "shingles"], blocks)
 
     def sets_of(own: list[dict]) -> list[np.ndarray]:
         return [np.frombuffer(x["shingles"], dtype=np.uint64) for x in own]
@@ -205,7 +208,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = kept(full_sets(df, members.select(F.col("node").alias("digest")), text_col, size),
                 "sets")
     parts = connected(members, lambda pairs: confirmed(pairs, sets, percent),
-                      lambda open_: block_links(open_, sets, percent, small),
+                      lambda open_: block_links(open_, sets, percent),
                       lambda a, b: _fits(a, b, percent), small)
 
     named = classes.select("digest", "first_id").join(
