@@ -65,8 +65,8 @@ def check(rows, n, capacity):
     return len(bins)
 
 
-@pytest.mark.parametrize("group_size", [40, 5000])
-def test_nearly_as_few_as_the_bound(spark, group_size):
+@pytest.mark.parametrize("group_size, above", [(40, 1.03), (5000, 1.01)])
+def test_nearly_as_few_as_the_bound(spark, group_size, above):
     rnd = np.random.default_rng(8)
     lengths = rnd.integers(1, 100, 3000)
     lengths[::9] = 100
@@ -74,7 +74,7 @@ def test_nearly_as_few_as_the_bound(spark, group_size):
                                "length long, pack_group int")
     used = check(packing.packed(df, 100, group_size).collect(), 3000, 100)
     bound = packing.lower_bound(lengths, 100)
-    assert bound <= used <= bound * 1.01 + 2
+    assert bound <= used <= bound * above + 2
 
 
 def test_equal_rows_are_spread(spark):

@@ -3,10 +3,11 @@
 ``pieces`` cuts token sequences to the capacity, ``packed`` places pieces. Pieces as long
 as a bin fill one each. The rest is dealt into groups of about ``group_size`` pieces and
 packed there by best-fit decreasing. Dual feasible functions give each group a lower
-bound on its bins. A group that meets its bound is certified: its bins stay, but for its
-emptiest one, whose pieces are left over. A group with a gap keeps only its full bins.
-All leftover pieces are dealt anew, into fewer groups, and packed again; the last round
-is the one with a single group, or the one after ``rounds``.
+bound on its bins. A group that meets its bound is certified: its bins stay, but for those
+with more than a 64th of room, which other groups' pieces may fill. A group with a gap
+keeps only bins with less than a 256th. All leftover pieces are dealt anew, into fewer
+groups, and packed again; the last round is the one with a single group, or the one after
+``rounds``.
 
 Every round's rows are written to the shared folder before they are dealt, and dealt by
 a hash of their row numbers there, so equal rows spread like others and a lost task
@@ -35,6 +36,8 @@ from tradewind.llm.units import Encoder
 CAPACITY = 2048
 GROUP_SIZE = 2000
 ROUNDS = 8
+# A bin with more than this part of its capacity free is packed again.
+CLOSED = 64
 
 
 @lru_cache(maxsize=2)
@@ -207,11 +210,8 @@ def _packer(capacity: int, turn: int, last: bool, own: list[str]):
         bins, offsets, room = best_fit(lengths, capacity)
         left = np.zeros(len(room), dtype=bool)
         if not last:
-            if len(room) <= lower_bound(lengths, capacity):
-                emptiest = int(room.argmax())
-                left[emptiest] = room[emptiest] > 0
-            else:
-                left = room > 0
+            certified = len(room) <= lower_bound(lengths, capacity)
+            left = room > capacity // (CLOSED if certified else 4 * CLOSED)
         out = rows[own].copy()
         group = int(rows["pack_group"].iloc[0])
         out["sequence_id"] = (turn << 56) + (group << 16) + bins
