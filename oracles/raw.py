@@ -25,10 +25,28 @@ def nulls(column: str) -> str:
 
 # --- sources ---------------------------------------------------------------
 
-ORACLES["read_tables"] = over_raw(union([
-    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST({len(c)} AS BIGINT) AS n_columns "
-    f"FROM raw_{t}" for t, c in TABLE_COLUMNS.items()
-]))
+# Columns that are read as numbers; all others are text.
+NUMBERS = {
+    "order_item_id", "price", "freight_value", "product_name_lenght",
+    "product_description_lenght", "product_photos_qty", "product_weight_g", "product_length_cm",
+    "product_height_cm", "product_width_cm", "payment_sequential", "payment_installments",
+    "payment_value", "review_score", "geolocation_lat", "geolocation_lng",
+}
+
+
+def _content(table: str, column: str) -> str:
+    characters, total = "NULL", "NULL"
+    if column in NUMBERS:
+        total = half_up(f"SUM(CAST({column} AS DOUBLE))", 2)
+    else:
+        characters = f"SUM(length(CAST({column} AS VARCHAR)))"
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, COUNT(*) AS n_rows, "
+            f"COUNT({column}) AS n_present, CAST({characters} AS BIGINT) AS n_characters, "
+            f"CAST({total} AS DOUBLE) AS total FROM raw_{table}")
+
+
+ORACLES["read_tables"] = over_raw(union(
+    [_content(t, c) for t, columns in TABLE_COLUMNS.items() for c in columns]))
 
 LAYERS = {
     "raw_orders": ("clean_orders", 14), "raw_order_items": ("clean_items", 9),

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # As on a cluster: the session names the shared folder.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tradewind-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

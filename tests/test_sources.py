@@ -155,3 +155,44 @@ def test_sample_is_the_first_rows_by_key(make):
 def test_dataset_info(make):
     info = files.dataset_info({"t": make("a int, b int", (1, None), (None, None))}).first()
     assert (info.n_rows, info.n_columns, info.null_percentage) == (2, 2, 75.0)
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_state,extra,seller_id,seller_city,seller_zip_code_prefix\nRJ,x,s1,rio,01\n")
+    row = files.read_table(spark, str(path), "sellers").first()
+    assert (row.seller_id, row.seller_state, row.seller_zip_code_prefix) == ("s1", "RJ", "01")
+    assert "extra" not in row.asDict()
+    path.write_text("seller,seller_zip_code_prefix,seller_city,seller_state\ns1,01,rio,RJ\n")
+    with pytest.raises(DataQualityError, match="seller_id"):
+        files.read_table(spark, str(path), "sellers")
+
+
+def test_malformed_rows_raise_in_counts_too(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01,rio,RJ\ns2,01\n")
+    df = files.read_table(spark, str(path), "sellers")
+    for action in (df.count, files.table_sizes({"sellers": df}).collect,
+                   files.table_contents({"sellers": df}).collect):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            action()
+
+
+def test_appended_and_merged_keys_are_checked(spark, make, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in ([(1, "a"), (1, "b")], [(None, "c")]):
+        df = make("k int, v string", *rows)
+        with pytest.raises(DataQualityError):
+            tables.append_table(df, path, ["k"])
+        with pytest.raises(DataQualityError):
+            tables.upsert(make("k int, v string", (1, "x")), df, ["k"])
+    tables.append_table(make("k int, v string", (1, "a")), path, ["k"])
+    tables.append_table(make("k int, v string", (1, "z"), (2, "b")), path, ["k"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_two_versions_stay(spark, make, tmp_path):
+    for n in range(4):
+        tables.write_version(make("k int", (n,)), str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v=3", "v=4"]
+    assert tables.previous_version(spark, str(tmp_path / "t")).first().k == 2

@@ -51,3 +51,10 @@ def test_rows_without_text_carry_the_sentinel(make):
     assert column(out, "sentiment_polarity", "review_id") == [0.7, -999.0, -999.0]
     assert column(out, "emoji_count", "review_id") == [0, -999, -999]
     assert column(out, "review_language", "review_id")[1:] == [None, None]
+
+
+def test_language_against_labelled_documents(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = text.review_language(documents, "text")
+    right = found.where("lang = review_language").count()
+    assert right >= 0.95 * documents.count()

@@ -88,7 +88,7 @@ def read_tables(spark, folder):
     target = scratch_path(spark, "csv")
     for name, df in retail.raw_tables(spark, folder).items():
         tables.replace_table(df, f"{target}/{name}.csv", fmt="csv")
-    return files.table_sizes(files.read_tables(spark, target))
+    return files.table_contents(files.read_tables(spark, target))
 
 
 @query

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tradewind.functions.columns import percent
+from tradewind.functions.columns import half_up, percent
 from tradewind.operators.cleaning import DataQualityError, null_shares
 from tradewind.schemas import FILE_ORDER, MULTILINE_TABLES, RAW_SCHEMAS
 
@@ -130,6 +130,27 @@ def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
+def table_contents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """What every column of every table holds: values, their sum or their characters."""
+    parts = []
+    for name, df in tables.items():
+        sums = []
+        for f in df.schema.fields:
+            c = F.col(f"`{f.name}`")
+            text = isinstance(f.dataType, T.StringType)
+            sums.append(F.struct(
+                F.lit(f.name).alias("column_name"), F.count("*").alias("n_rows"),
+                F.count(c).alias("n_present"),
+                (F.sum(F.length(c)) if text else F.lit(None)).cast("long").alias("n_characters"),
+                (F.lit(None) if text else half_up(F.sum(c.cast("double")), 2)).cast("double")
+                .alias("total"),
+            ))
+        parts.append(df.agg(F.array(*sums).alias("columns")).select(
+            F.lit(name).alias("table_name"), F.explode("columns").alias("c")
+        ).select("table_name", "c.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dataset_info(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns and share of null cells of every table."""
     parts = []
