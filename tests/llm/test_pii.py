@@ -1,11 +1,13 @@
 """Base spans against plain expressions; contextual spans by planted examples."""
 
+import hashlib
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from tradewind.llm import pii
+from tradewind.llm.queries import QUERIES
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -87,3 +89,20 @@ def test_no_rows_and_no_seeds(make):
     assert [(r.base, r.found) for r in pii.personal_data(df).collect()] == [([], [])] * 2
     assert pii.personal_data(df.limit(0)).count() == 0
     assert pii.masked(df.limit(0), pii.personal_data(df.limit(0))).count() == 0
+
+
+def test_query_counts_and_digests(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op1_pii"](spark, folder).collect()}
+    seen = 0
+    for doc, text in texts:
+        spans = plain(text or "")
+        joined = ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
+        row = got[doc]
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [
+            sum(s[2] == k for s in spans) for k in pii.KINDS]
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(row.spans.split(","))
+        seen += len(spans)
+    assert seen > 10

@@ -326,7 +326,9 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                 own = np.frombuffer(own.as_buffer(), dtype=np.uint32)
                 found = [(a, b, part["shift"]) for part in given for a, b in equal_runs(
                     own, part["start"], np.frombuffer(part["words"], dtype=np.uint32))]
-                spans.append([{"start": a, "end": b} for a, b in chained(found, least, percent)])
+                # Repeated words fit at many shifts; what they cover is told once.
+                spans.append([{"start": a, "end": b}
+                              for a, b in _merged(chained(found, least, percent))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("other"), batch.column("text_hash"),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()),
