@@ -7,6 +7,9 @@ passes over the payload of a record that is not wanted without reading it. Paylo
 are read and decoded only where option ``payload`` is ``text`` (the default); with
 ``none`` the column is null.
 
+Records are gzip members of their own (option ``compression`` ``none``: plain records),
+whose header tells the member's length, so a packed payload is passed over as well.
+
 Each task writes files of its own name, and a file starts anew beyond
 ``max_file_bytes``. The commit lists the files of the tasks that succeeded in a
 manifest, and readers look only there, so what a lost executor left behind is never
@@ -22,7 +25,9 @@ import datetime as dt
 import io
 import json
 import re
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -37,6 +42,8 @@ from tradewind.llm.frames import findable
 VERSION = "WARC/1.1"
 MANIFEST = "_manifest.json"
 MAX_FILE_BYTES = 64 << 20
+READ_BYTES = 1 << 14
+LEVEL = 3
 PACK_BYTES = 32 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SMALLEST_REVISIT = 100
@@ -73,6 +80,97 @@ def record_bytes(fields: dict, payload: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
+def member(record: bytes) -> bytes:
+    """A record as a gzip member whose header tells the member's length.
+
+    The extra field ``sl`` holds the compressed and the plain length, so that a reader can
+    pass over the member once it has seen the record's headers.
+    """
+    packer = zlib.compressobj(LEVEL, zlib.DEFLATED, -15)
+    body = packer.compress(record) + packer.flush()
+    total = 10 + 2 + 12 + len(body) + 8
+    head = struct.pack("<BBBBIBB", 0x1F, 0x8B, 8, 4, 0, 0, 255)
+    extra = struct.pack("<H2sHII", 12, b"sl", 8, total, len(record) & 0xFFFFFFFF)
+    return head + extra + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
+
+
+class PlainRecords:
+    """Records that are not compressed."""
+
+    def __init__(self, source):
+        self.source = source
+
+    def headers(self) -> dict[str, str] | None:
+        found = read_headers(self.source)
+        self.left = int(found["content-length"]) + 4 if found else 0
+        return found
+
+    def payload(self) -> bytes:
+        content = self.source.read(self.left)
+        self.left = 0
+        return content[:-4]
+
+    def next(self) -> None:
+        self.source.seek(self.left, 1)
+
+
+class PackedRecords:
+    """Records in gzip members of their own; a payload is unpacked only when asked for."""
+
+    def __init__(self, source):
+        self.source = source
+
+    def _more(self) -> bool:
+        if self.unpacker.eof:
+            return False
+        packed = self.unpacker.unconsumed_tail or self.source.read(READ_BYTES)
+        if not packed:
+            raise ValueError("the archive ends within a record")
+        self.plain += self.unpacker.decompress(packed, READ_BYTES)
+        return True
+
+    def headers(self) -> dict[str, str] | None:
+        self.start = self.source.tell()
+        head = self.source.read(12)
+        if not head:
+            return None
+        if head[:3] != b"\x1f\x8b\x08":
+            raise ValueError("no gzip member starts here")
+        # Only the fields this writer sets are needed to know the length beforehand.
+        extra = self.source.read(struct.unpack("<H", head[10:12])[0]) if head[3] & 4 else b""
+        self.length = struct.unpack("<I", extra[4:8])[0] if extra[:2] == b"sl" else None
+        if self.length is None:
+            self.source.seek(self.start)
+        self.unpacker = zlib.decompressobj(-15 if self.length else 31)
+        self.plain = b""
+        while (end := self.plain.find(b"\r\n\r\n")) < 0 and self._more():
+            pass
+        found = read_headers(io.BytesIO(self.plain[:end + 4]))
+        self.plain = self.plain[end + 4:]
+        self.size = int(found["content-length"])
+        return found
+
+    def payload(self) -> bytes:
+        while len(self.plain) < self.size and self._more():
+            pass
+        return self.plain[:self.size]
+
+    def next(self) -> None:
+        if self.length:
+            self.source.seek(self.start + self.length)
+            return
+        while not self.unpacker.eof:
+            self.plain = b""
+            self._more()
+        self.source.seek(-len(self.unpacker.unused_data), 1)
+
+
+def records_of(source) -> PlainRecords | PackedRecords:
+    start = source.read(2)
+    source.seek(0)
+    return PackedRecords(source) if start == b"\x1f\x8b" else PlainRecords(source)
+
+
 def read_headers(stream) -> dict[str, str] | None:
     """Headers of the record that starts here, by lower-case name; None at the end."""
     line = stream.readline()
@@ -100,8 +198,9 @@ class Pack(InputPartition):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, path: str, schema: StructType, max_bytes: int):
+    def __init__(self, path: str, schema: StructType, max_bytes: int, packed: bool):
         self.path, self.names, self.max_bytes = path.rstrip("/"), schema.names, max_bytes
+        self.packed = packed
         unknown = set(self.names) - set(HEADERS) - {"payload"}
         if unknown:
             raise ValueError(f"no WARC columns: {sorted(unknown)}")
@@ -116,11 +215,16 @@ class WarcWriter(DataSourceWriter):
                           if c not in ("payload", "content_length")}
                 payload = (row["payload"] or "").encode() if "payload" in self.names else b""
                 record = record_bytes(fields, payload)
+                if self.packed:
+                    record = member(record)
                 if out is None or size + len(record) > self.max_bytes and size:
                     if out is not None:
                         out.close()
-                    files.append([f"{uuid.uuid4().hex}.warc", 0])
-                    out, size = system.open_output_stream(f"{root}/{files[-1][0]}"), 0
+                    suffix = "warc.gz" if self.packed else "warc"
+                    files.append([f"{uuid.uuid4().hex}.{suffix}", 0])
+                    # The members are packed already.
+                    out = system.open_output_stream(f"{root}/{files[-1][0]}", compression=None)
+                    size = 0
                 out.write(record)
                 size += len(record)
                 files[-1][1] = size
@@ -147,16 +251,19 @@ class WarcReader(DataSourceReader):
         self.path, self.names, self.payload = path.rstrip("/"), schema.names, payload
         self.wanted: dict[str, set] = {}
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+    def pushFilters(self, filters: list[Filter]) -> list[Filter]:
         """Equality and membership on header columns are decided here."""
+        rest = []
         for f in filters:
             column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
             values = ({f.value} if isinstance(f, EqualTo) else set(f.value)
                       if isinstance(f, In) else None)
             if column in HEADERS and column not in NUMBERS and values is not None:
                 self.wanted[column] = self.wanted.get(column, values) & values
-            elif not (isinstance(f, IsNotNull) and column in self.wanted):
-                yield f
+            else:
+                rest.append(f)
+        return [f for f in rest
+                if not (isinstance(f, IsNotNull) and f.attribute[0] in self.wanted)]
 
     def partitions(self) -> Sequence[InputPartition]:
         system, root = filesystem(self.path)
@@ -178,23 +285,16 @@ class WarcReader(DataSourceReader):
                 yield from self.records(io.BufferedReader(source, 1 << 16))
 
     def records(self, source) -> Iterator[tuple]:
-        while True:
-            headers = read_headers(source)
-            if headers is None:
-                return
-            length = int(headers["content-length"])
+        records = records_of(source)
+        while (headers := records.headers()) is not None:
             row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
-            fits = all(row[c] in values for c, values in self.wanted.items())
-            if fits and self.payload == "text":
-                row["payload"] = source.read(length).decode("utf-8", "replace")
-                source.seek(4, 1)
-            else:
-                row["payload"] = None
-                source.seek(length + 4, 1)
-            if fits:
+            if all(row[c] in values for c, values in self.wanted.items()):
+                row["payload"] = (records.payload().decode("utf-8", "replace")
+                                  if self.payload == "text" else None)
                 for c in NUMBERS:
                     row[c] = None if row[c] is None else int(row[c])
                 yield tuple(row[c] for c in self.names)
+            records.next()
 
 
 class WarcSource(DataSource):
@@ -210,7 +310,8 @@ class WarcSource(DataSource):
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], schema,
-                          int(self.options.get("max_file_bytes", MAX_FILE_BYTES)))
+                          int(self.options.get("max_file_bytes", MAX_FILE_BYTES)),
+                          self.options.get("compression", "gzip") == "gzip")
 
 
 def register(spark: SparkSession) -> None:
@@ -224,10 +325,11 @@ def read(spark: SparkSession, path: str, payload: str = "text") -> DataFrame:
     return spark.read.format("warc").option("payload", payload).load(path)
 
 
-def write(df: DataFrame, path: str, max_file_bytes: int = MAX_FILE_BYTES) -> None:
+def write(df: DataFrame, path: str, max_file_bytes: int = MAX_FILE_BYTES,
+          compression: str = "gzip") -> None:
     register(df.sparkSession)
-    (df.write.format("warc").option("max_file_bytes", max_file_bytes).mode("append")
-     .option("path", path).save())
+    (df.write.format("warc").option("max_file_bytes", max_file_bytes)
+     .option("compression", compression).mode("append").option("path", path).save())
 
 
 def as_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
