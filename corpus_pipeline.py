@@ -17,6 +17,8 @@ from tradewind.session import configure, stored
 
 # A document is rejected if no language holds this share of its letters.
 LEAST_LANGUAGE = 0.25
+# Documents are near-duplicates from this similarity of their shingle sets on.
+NEAR_PERCENT = 80
 
 # Most stages have no form in SQL; they are tested against plain versions.
 ORACLE_SQL = None
@@ -40,7 +42,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, rows repeated once."""
     configure(spark)
-    judged = stored(minhash.near_duplicates(docs), "judged")
+    judged = stored(minhash.near_duplicates(docs, percent=NEAR_PERCENT), "judged")
     stay = judged.where("kept or component_id is null").select(
         F.col("doc_id").alias("stay_id")).distinct()
     left = docs.join(stay, docs["doc_id"].eqNullSafe(stay["stay_id"]), "left_semi")
