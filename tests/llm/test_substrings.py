@@ -102,3 +102,50 @@ def test_a_passage_in_every_document(make):
     df = make("doc_id long, text string", *rows).repartition(8)
     got = substrings.repeats(df).collect()
     assert len(got) == 299 and all((r.spans[0].start, r.spans[0].end) == (0, 60) for r in got)
+
+
+def planted_in(make, groups):
+    """Frame of texts that hold the given passages in order, groups apart; ids by trial."""
+    rnd = random.Random(12)
+    rows = []
+    for trial, passages in enumerate(groups):
+        for k, passage in enumerate(passages):
+            before, after = ([f"f{rnd.random()}" for _ in range(rnd.randint(0, 30))] for _ in "ab")
+            rows.append((10 * trial + k, before, passage, after))
+    df = make("doc_id long, text string", *[(k, " ".join([*a, *p, *b])) for k, a, p, b in rows])
+    places = {k: (len(a), len(a) + len(p)) for k, a, p, _ in rows}
+    return df.repartition(8), places
+
+
+def missed(found, places, wanted):
+    """Pairs (later, earlier) of which no span covers the whole passage of the later one."""
+    got = {r.doc_id: r.spans for r in found.collect()}
+    return [(k, of) for k, of in wanted if not any(
+        s.of == of and s.start <= places[k][0] and s.end >= places[k][1] for s in got.get(k, []))]
+
+
+def shares(a, b):
+    a, b = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def edited(rnd, passage, t, edits):
+    out = list(passage)
+    for n in range(edits):
+        at = (n + 1) * len(out) // (edits + 1) + rnd.randint(-3, 3)
+        out[at:at + rnd.choice([0, 1, 1])] = rnd.choice([[], [f"e{t}x{n}"], [f"e{t}x{n}"]])
+    return out
+
+
+def test_edited_passages(make):
+    rnd = random.Random(7)
+    groups = []
+    while len(groups) < 300:
+        t = len(groups)
+        long = t % 3 == 0
+        p = [f"n{t}x{i}" for i in range(rnd.randint(92, 110) if long else rnd.randint(50, 70))]
+        q = edited(rnd, p, t, 2 if long else 1)
+        if q != p and len(q) >= 50 and shares(p, q) >= 0.8:
+            groups.append([p, q])
+    df, places = planted_in(make, groups)
+    assert missed(substrings.repeats(df), places, [(10 * t + 1, 10 * t) for t in range(300)]) == []

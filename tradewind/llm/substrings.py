@@ -1,25 +1,21 @@
 """Passages that repeat across documents, by compact windows.
 
-A text is its sequence of five-word shingles. Under each of several hash functions a
-compact window (left, centre, right) stands for all subsequences that hold the centre
-and whose least hash is the centre's; only windows as long as the shortest passage
-count. Centres are the arguments of sliding minima, and their windows come from the
-Cartesian tree of these minima, built with a stack.
-
-Windows share a signature when hash function, least shingle and the words around it
-agree. Windows of a signature are joined to the first of them, by document id, not to
-each other; equal signatures within one batch are joined there before anything is
-shuffled, so a passage in a third of all documents costs a row per batch. Two windows
-count when their intervals around the centres share enough places. All hits of two
-documents, over all hash functions, are then verified on the words themselves: runs of
-equal words are chained while the chain's shingles keep the similarity, and chains of
+A text is its sequence of runs of twelve words. Under a hash function a compact window
+(left, centre, right) stands for all subsequences that hold the centre and whose least
+hash is the centre's. Centres are the arguments of sliding minima, and their windows come
+from the Cartesian tree of these minima, built with a stack.
+
+A passage of 50 words that keeps 0.8 of its shingles has one edit, two of 90 words and so
+on, so its longest verbatim run has 25 words. Windows are as long as such a run has
+twelve-word runs. So both documents have the centre that the run holds, for certain.
+
+Equal centres are joined to the first of them, by document id, not to each other; those
+within one batch are joined there before anything is shuffled, so a passage in a third of
+all documents costs a row per batch. All hits of two documents are verified on the words
+themselves: the words beside a hit are aligned by the shingles they share, at whatever
+shift, and the runs are chained while the chain's shingles keep the similarity. Chains of
 ``least`` words or more are repeats of the earlier document.
 
-A verbatim passage has at least one window under every hash function in both documents;
-its signature differs only if the centre lies in the last words, where what follows the
-passage enters. So a passage of just 50 words escapes all five functions about once in
-ten thousand.
-
 Defined results: null, empty and short texts have no windows and no repeats, nor have
 rows without an id. Repeats within one document do not count. Ids are meant to be
 unique: rows that share an id count as one document, whose text is the one with the
@@ -35,19 +31,18 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.frames import bloom, gathered, kept, mapped, slices
+from tradewind.llm.frames import Bloom, bloom, gathered, kept, mapped, slices
 from tradewind.llm.words import SHINGLE, Words, mixed, runs, utf8, words
 
 LEAST = 50
-HASHES = 5
 PERCENT = 80
-CONTEXT = 12
-# Words beside a centre that are compared: neighbouring centres are closer.
+# Words of a run whose hash is a signature.
+RUN = 12
+# Words beside a hit that are compared: neighbouring centres are closer.
 REACH = 64
 ROWS_PER_BATCH = 2048
 
-_RNG = np.random.default_rng(977)
-_FACTORS = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _sliding(best, values: np.ndarray, width: int) -> np.ndarray:
@@ -106,38 +101,33 @@ def _smaller_beside(heights: list[int], places: list[int]) -> tuple[np.ndarray,
     return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
-def signatures(w: Words, least: int, hashes: int):
-    """Windows of all texts: key, text, centre, places to its left and to its right."""
+def seeds(w: Words, least: int):
+    """Centres of all texts, by text and place: key, text, place."""
+    run = min(RUN, least // 2)
     counts = np.diff(w.first)
     long = np.flatnonzero(counts >= least)
-    parts: list[tuple] = []
     if not len(long):
-        return tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
-    width = least - SHINGLE + 1
-    shingle, context = runs(w.hashes, SHINGLE), runs(w.hashes, CONTEXT)
-    n = counts[long] - SHINGLE + 1
+        return tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64))
+    n = counts[long] - run + 1
     starts = np.concatenate([[0], np.cumsum(n)])
     text = np.repeat(long, n)
     inner = np.arange(starts[-1]) - np.repeat(starts[:-1], n)
-    word = w.first[text] + inner
-    # The words from the centre on; near a text's end the last words and the way to them.
-    ahead = np.minimum(word, w.first[text + 1] - CONTEXT)
-    around = context[ahead] ^ ((word - ahead).astype(np.uint64) * _FACTORS[-1])
-    values = shingle[word]
-    for k in range(hashes):
-        hashed = np.maximum(mixed(values * _FACTORS[k]), np.uint64(1))
-        centre, left, right = compact_windows(hashed, starts, width)
-        key = mixed(around[centre] + np.uint64(k) * _FACTORS[-2])
-        parts.append((key, text[centre], inner[centre], centre - left, right - centre))
-    return tuple(np.concatenate(column) for column in zip(*parts))
-
-
-def hits(df: DataFrame, id_col: str, text_col: str, least: int, hashes: int) -> DataFrame:
-    """id, an earlier id, and where both share a signature over enough places."""
+    hashed = np.maximum(mixed(runs(w.hashes, run)[w.first[text] + inner] * _FACTOR), np.uint64(1))
+    centre = np.sort(compact_windows(hashed, starts, least // 2 - run + 1)[0])
+    return hashed[centre], text[centre], inner[centre]
+
+
+def hits(df: DataFrame, id_col: str, text_col: str, least: int,
+         live: Bloom | None = None) -> DataFrame:
+    """id, an earlier id, and where both share a key (place, shift, key).
+
+    Keys are those of centres, or, of the centres that ``live`` lets through, those of the
+    passages around them.
+    """
     kind = df.schema[id_col].dataType.simpleString()
-    width = least - SHINGLE + 1
     plain = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         "id is not null")
+    shared = None if live is None else df.sparkSession.sparkContext.broadcast(live)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, ROWS_PER_BATCH):
@@ -145,36 +135,37 @@ def hits(df: DataFrame, id_col: str, text_col: str, least: int, hashes: int) ->
             batch = batch.take(pa.compute.sort_indices(batch.column("id")))
             ids = batch.column("id")
             number = np.unique(ids.dictionary_encode().indices.to_numpy(), return_inverse=True)[1]
-            key, text, place, left, right = signatures(words(batch.column("text")), least, hashes)
+            w = words(batch.column("text"))
+            key, text, place = seeds(w, least)
+            if shared is not None:
+                chosen = shared.value.may_hold(key)
+                if not chosen.any():
+                    continue
+                key, text, place = passage_keys(w, least, key[chosen], text[chosen], place[chosen])
             order = np.lexsort((place, text, key))
-            key, text, place, left, right = (x[order] for x in (key, text, place, left, right))
+            key, text, place = (x[order] for x in (key, text, place))
             if not len(key):
                 continue
             fresh = np.r_[True, key[1:] != key[:-1]]
             head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-            enough = (np.minimum(left, left[head]) + np.minimum(right, right[head]) + 1 >= width)
             differs = number[text] != number[text[head]]
-            pair = ~fresh & enough & differs
             own = ids.take(pa.array(text))
-            other = pa.compute.if_else(pa.array(pair), ids.take(pa.array(text[head])),
+            other = pa.compute.if_else(pa.array(differs), ids.take(pa.array(text[head])),
                                        pa.scalar(None, ids.type))
             rows = pa.RecordBatch.from_arrays(
                 # Pairs found here need no meeting place any more and go anywhere.
-                [pa.array(np.where(pair, key ^ mixed(np.arange(len(key), dtype=np.uint64)), key)
-                          .view(np.int64)), own, pa.array(place, pa.int32()),
-                 pa.array(np.minimum(left, 2**31 - 1), pa.int32()),
-                 pa.array(np.minimum(right, 2**31 - 1), pa.int32()), other,
-                 pa.array(place - place[head], pa.int32())],
-                names=["key", "id", "place", "left", "right", "other", "shift"])
-            # A window too narrow for the first of its key may suit another batch's.
+                [pa.array(np.where(differs, mixed(np.arange(len(key), dtype=np.uint64)), np.uint64(0))
+                          .view(np.int64)), pa.array(key.view(np.int64)), own,
+                 pa.array(place, pa.int32()), other, pa.array(place - place[head], pa.int32())],
+                names=["spread", "key", "id", "place", "other", "shift"])
             rows = rows.filter(pa.array(fresh | differs))
             for at in range(0, rows.num_rows, 1 << 16):
                 yield rows.slice(at, 1 << 16)
 
-    spread = mapped(plain, local, f"key long, id {kind}, place int, left int, right int, "
-                                  f"other {kind}, shift int")
-    sorted_ = spread.repartition("key").sortWithinPartitions("key", F.col("other").isNotNull(),
-                                                             "id", "place")
+    met = mapped(plain, local, f"spread long, key long, id {kind}, place int, other {kind}, "
+                               "shift int")
+    sorted_ = met.repartition("key", "spread").sortWithinPartitions(
+        "key", F.col("other").isNotNull(), "id", "place")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -184,26 +175,26 @@ def hits(df: DataFrame, id_col: str, text_col: str, least: int, hashes: int) ->
             key = batch.column("key").to_numpy()
             fresh = np.r_[True, key[1:] != key[:-1]]
             head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-            place, left, right = (batch.column(c).to_numpy().astype(np.int64)
-                                  for c in ("place", "left", "right"))
+            place = batch.column("place").to_numpy().astype(np.int64)
             ids = batch.column("id")
             heads = ids.take(pa.array(head))
             given = pa.compute.is_valid(batch.column("other")).to_numpy(False)
             differs = pa.compute.not_equal(ids, heads).to_numpy(False)
-            enough = np.minimum(left, left[head]) + np.minimum(right, right[head]) + 1 >= width
-            meets = ~fresh & ~given & differs & enough
+            meets = ~fresh & ~given & differs
             if last is not None:
                 given[0] = False  # told with the batch before
             shift = np.where(given, batch.column("shift").to_numpy(), place - place[head])
             out = pa.RecordBatch.from_arrays(
                 [ids, pa.compute.coalesce(batch.column("other"), heads),
-                 pa.StructArray.from_arrays([pa.array(place, pa.int32()),
-                                             pa.array(shift, pa.int32())], ["place", "shift"])],
+                 pa.StructArray.from_arrays(
+                     [pa.array(place, pa.int32()), pa.array(shift, pa.int32()),
+                      batch.column("key")], ["place", "shift", "key"])],
                 names=["id", "other", "hit"])
             yield out.filter(pa.array(given | meets))
             last = batch.slice(int(head[-1]), 1)
 
-    return mapped(sorted_, joined, f"id {kind}, other {kind}, hit struct<place:int,shift:int>")
+    return mapped(sorted_, joined,
+                  f"id {kind}, other {kind}, hit struct<place:int,shift:int,key:long>")
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -226,33 +217,60 @@ def equal_runs(own: np.ndarray, start: int, other: np.ndarray) -> list[tuple[int
             if b - a >= SHINGLE]
 
 
+def aligned_runs(own: np.ndarray, start: int, other: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs (start, end, shift) of equal words at whatever shift, ``other`` being laid beside
+    ``own[start:]`` and ``REACH`` words to both sides."""
+    first = max(0, start - REACH)
+    own = own[first:start + len(other) + REACH]
+    a, b = (runs(x.astype(np.uint64), SHINGLE) for x in (own, other))
+    order = np.argsort(b, kind="stable")
+    low, high = (np.searchsorted(b[order], a, side=side) for side in ("left", "right"))
+    n = high - low
+    i = np.repeat(np.arange(len(a)), n)
+    j = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+    by_shift = np.lexsort((i, i - j))
+    i, shift = i[by_shift], (i - j)[by_shift]
+    if not len(i):
+        return []
+    fresh = np.r_[True, (shift[1:] != shift[:-1]) | (i[1:] != i[:-1] + 1)]
+    ends = np.r_[np.flatnonzero(fresh)[1:] - 1, len(i) - 1]
+    return list(zip((i[fresh] + first).tolist(), (i[ends] + first + SHINGLE).tolist(),
+                    (shift[fresh] + first - start).tolist()))
+
+
 def chained(found: list[tuple[int, int, int]], least: int, percent: int) -> list[tuple[int, int]]:
-    """Passages from runs (start, end, shift): neighbours join while the shingles allow.
+    """Passages from runs (start, end, shift): runs in order join while the shingles allow.
 
     A chain of ``n`` and ``m`` shingles in the two documents, ``s`` of them shared, goes on
-    while 100 s >= percent (n + m - s).
+    while 100 s >= percent (n + m - s). A run joins the chain, of the last ones of each
+    shift, that shares most with it.
     """
     out: list[tuple[int, int]] = []
-    chain: list[int] | None = None
-    for start, end, shift in sorted(set(found)):
-        if chain is not None:
+    open_: dict[int, list[int]] = {}
+    pieces: dict[int, list[tuple[int, int]]] = {}
+    for start, end, shift in found:
+        pieces.setdefault(shift, []).append((start, end))
+    whole = sorted((a, b, shift) for shift, own in pieces.items() for a, b in _merged(own))
+    for start, end, shift in whole:
+        best = None
+        for other_shift, chain in list(open_.items()):
             first, last, o_first, o_last, shared = chain
-            a = max(start, last - SHINGLE + 1 if shift == chain_shift else last)
-            if end <= last:
+            if start - last > max(REACH, last - first):
+                out.append((first, last))
+                del open_[other_shift]
                 continue
+            # Both documents' words of a run come after those of the chain.
+            a = max(start, last, o_last + shift)
             gain = end - a - SHINGLE + 1
             n, m = end - first - SHINGLE + 1, end - shift - o_first - SHINGLE + 1
-            if start - shift >= o_last - SHINGLE and gain > 0 and (
-                    100 * (shared + gain) >= percent * (n + m - shared - gain)):
-                chain = [first, end, o_first, end - shift, shared + gain]
-                chain_shift = shift
-                continue
-            out.append((first, last))
-        chain = [start, end, start - shift, end - shift, end - start - SHINGLE + 1]
-        chain_shift = shift
-    if chain is not None:
-        out.append((chain[0], chain[1]))
-    return [(a, b) for a, b in out if b - a >= least]
+            if gain > 0 and 100 * (shared + gain) >= percent * (n + m - shared - gain) and (
+                    best is None or shared + gain > best[4]):
+                best = [first, end, o_first, end - shift, shared + gain]
+        if shift in open_:
+            out.append((open_[shift][0], open_[shift][1]))
+        open_[shift] = best or [start, end, start - shift, end - shift, end - start - SHINGLE + 1]
+    out += [(first, last) for first, last, *_ in open_.values()]
+    return _merged([(a, b) for a, b in out if b - a >= least])
 
 
 def _words_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -280,11 +298,36 @@ def _words_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-            hashes: int = HASHES, percent: int = PERCENT) -> DataFrame:
+            percent: int = PERCENT) -> DataFrame:
     """id, text_hash and spans (start, end in words, of: an earlier id), if there are any."""
+    met = hits(df, id_col, text_col, least)
+    checked = kept(verified(df, met, id_col, text_col, least, percent), "checked")
+    each = checked.select("id", "text_hash", "other", F.explode("spans").alias("span"))
+    # Both passes may tell parts of one passage of a pair.
+    told = each.groupBy("id", "text_hash", "other").agg(F.sort_array(F.collect_set("span"))
+                                                        .alias("spans"))
+    each = told.select("id", "text_hash", "other", F.explode(_joined_spans("spans")).alias("span"))
+    return each.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct(
+        F.col("span.start").alias("start"), F.col("span.end").alias("end"),
+        F.col("other").alias("of")))).alias("spans")).withColumnRenamed("id", id_col)
+
+
+def _joined_spans(spans: str):
+    """Sorted spans, those that touch made one."""
+    kind = "array<struct<start:int,end:int>>"
+    return F.expr(
+        f"aggregate({spans}, cast(array() as {kind}), (done, s) -> "
+        "if(size(done) > 0 and s.start <= element_at(done, -1).end, "
+        "concat(slice(done, 1, size(done) - 1), array(named_struct('start', "
+        "element_at(done, -1).start, 'end', greatest(s.end, element_at(done, -1).end)))), "
+        "concat(done, array(s))))")
+
+
+def verified(df: DataFrame, met: DataFrame, id_col: str, text_col: str, least: int,
+             percent: int) -> DataFrame:
+    """id, other, text_hash, spans and keys (open: no span holds the place) of pairs with hits."""
     kind = df.schema[id_col].dataType.simpleString()
-    met = kept(hits(df, id_col, text_col, least, hashes).groupBy("id", "other").agg(
-        F.collect_set("hit").alias("hits")), "hits")
+    met = kept(met.groupBy("id", "other").agg(F.collect_set("hit").alias("hits")), "hits")
     everyone = met.select("id").unionByName(met.select(F.col("other").alias("id")))
     texts = kept(_words_of(df, everyone, id_col, text_col), "words")
 
@@ -309,39 +352,47 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                                     "words": own[a - shift:max(b - shift, 0)].tobytes()})
                 parts.append(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("other"), pa.array(parts, part_type)],
-                names=["id", "other", "parts"])
+                [batch.column("id"), batch.column("other"), batch.column("hits"),
+                 pa.array(parts, part_type)], names=["id", "other", "hits", "parts"])
 
     part_type = pa.list_(pa.struct([("start", pa.int32()), ("shift", pa.int32()),
                                     ("words", pa.binary())]))
     parts = mapped(of_other.select("id", "other", "hits", "words"), cut,
-                   f"id {kind}, other {kind}, "
+                   f"id {kind}, other {kind}, hits array<struct<place:int,shift:int,key:long>>, "
                    "parts array<struct<start:int,shift:int,words:binary>>")
     both = parts.join(texts.select("id", "own.text_hash", "own.words"), "id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            spans = []
-            for given, own in zip(batch.column("parts").to_pylist(), batch.column("words")):
+            spans, keys = [], []
+            for given, met_, own in zip(batch.column("parts").to_pylist(),
+                                        batch.column("hits").to_pylist(), batch.column("words")):
                 own = np.frombuffer(own.as_buffer(), dtype=np.uint32)
-                found = [(a, b, part["shift"]) for part in given for a, b in equal_runs(
-                    own, part["start"], np.frombuffer(part["words"], dtype=np.uint32))]
+                found = []
+                for part in given:
+                    start, shift = part["start"], part["shift"]
+                    other = np.frombuffer(part["words"], dtype=np.uint32)
+                    equal = equal_runs(own, start, other)
+                    if equal == [(start, start + len(other))]:
+                        found.append((*equal[0], shift))
+                    else:
+                        found += [(a, b, shift + more)
+                                  for a, b, more in aligned_runs(own, start, other)]
                 # Repeated words fit at many shifts; what they cover is told once.
-                spans.append([{"start": a, "end": b}
-                              for a, b in _merged(chained(found, least, percent))])
+                told = chained(found, least, percent)
+                spans.append([{"start": a, "end": b} for a, b in told])
+                keys.append([{"key": hit["key"], "open": not any(
+                    a <= hit["place"] < b for a, b in told)} for hit in met_])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("other"), batch.column("text_hash"),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()),
-                                                     ("end", pa.int32())])))],
-                names=["id", "other", "text_hash", "spans"])
+                                                     ("end", pa.int32())]))),
+                 pa.array(keys, pa.list_(pa.struct([("key", pa.int64()), ("open", pa.bool_())])))],
+                names=["id", "other", "text_hash", "spans", "keys"])
 
-    checked = mapped(both.select("id", "other", "text_hash", "parts", "words"), verify,
-                     f"id {kind}, other {kind}, text_hash long, "
-                     "spans array<struct<start:int,end:int>>")
-    each = checked.select("id", "text_hash", "other", F.explode("spans").alias("span"))
-    return each.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct(
-        F.col("span.start").alias("start"), F.col("span.end").alias("end"),
-        F.col("other").alias("of")))).alias("spans")).withColumnRenamed("id", id_col)
+    return mapped(both.select("id", "other", "text_hash", "hits", "parts", "words"), verify,
+                  f"id {kind}, other {kind}, text_hash long, "
+                  "spans array<struct<start:int,end:int>>, keys array<struct<key:long,open:boolean>>")
 
 
 def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id",
