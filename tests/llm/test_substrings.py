@@ -124,6 +124,17 @@ def missed(found, places, wanted):
         s.of == of and s.start <= places[k][0] and s.end >= places[k][1] for s in got.get(k, []))]
 
 
+def test_repeats_of_later_documents_whose_first_holder_shares_less(make):
+    groups = []
+    for t in range(100):
+        p = [f"s{t}x{i}" for i in range(60)]
+        groups.append([p[:45], p[15:], p[8:53], p, p])
+    df, places = planted_in(make, groups)
+    found = substrings.repeats(df)
+    assert missed(found, places, [(10 * t + 4, 10 * t + 3) for t in range(100)]) == []
+    assert {r.doc_id for r in found.collect()} == {10 * t + 4 for t in range(100)}
+
+
 def shares(a, b):
     a, b = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (a, b))
     return len(a & b) / len(a | b)
@@ -149,3 +160,13 @@ def test_edited_passages(make):
             groups.append([p, q])
     df, places = planted_in(make, groups)
     assert missed(substrings.repeats(df), places, [(10 * t + 1, 10 * t) for t in range(300)]) == []
+
+
+def test_edited_passages_whose_first_holder_shares_less(make):
+    groups = []
+    for t in range(60):
+        p = [f"r{t}x{i}" for i in range(60)]
+        groups.append([p[:45], p, [*p[:30], "other", *p[30 + t % 2:]]])
+    df, places = planted_in(make, groups)
+    found = substrings.repeats(df)
+    assert missed(found, places, [(10 * t + 2, 10 * t + 1) for t in range(60)]) == []

@@ -16,6 +16,14 @@ themselves: the words beside a hit are aligned by the shingles they share, at wh
 shift, and the runs are chained while the chain's shingles keep the similarity. Chains of
 ``least`` words or more are repeats of the earlier document.
 
+The first holder of a centre may share too little around it. Such centres are met again in
+a second pass, by whole passages: each run of ``least`` words around them goes to its own
+first holder, and so do the two ends of a passage with an edit between them that adds or
+drops ``SLACK`` words at most. Both are linear in the number of words. So every verbatim
+run of ``least`` words around an unconfirmed centre is met, whoever else shares less.
+Edited passages are certain only where the first holder of their centre or of their ends
+is one of them.
+
 Defined results: null, empty and short texts have no windows and no repeats, nor have
 rows without an id. Repeats within one document do not count. Ids are meant to be
 unique: rows that share an id count as one document, whose text is the one with the
@@ -40,6 +48,8 @@ PERCENT = 80
 RUN = 12
 # Words beside a hit that are compared: neighbouring centres are closer.
 REACH = 64
+# Words that an edit may add to a passage for it to be met again by its ends.
+SLACK = 2
 ROWS_PER_BATCH = 2048
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -117,6 +127,34 @@ def seeds(w: Words, least: int):
     return hashed[centre], text[centre], inner[centre]
 
 
+def passage_keys(w: Words, least: int, key: np.ndarray, text: np.ndarray, place: np.ndarray):
+    """Keys of whole passages that hold one of the given centres: key, text, place.
+
+    Each run of ``least`` words has one. So has half a run with the shingle at the far end
+    of a passage, for passages up to ``SLACK`` words longer: an edit lies between them.
+    """
+    run, half = min(RUN, least // 2), least // 2
+    low, high = w.first[text], w.first[text + 1]
+    first = np.maximum(low, low + place + run - least - SLACK)
+    marks = np.zeros(len(w.hashes) + 1, np.int64)
+    np.add.at(marks, first, 1)
+    np.add.at(marks, low + place + 1, -1)
+    word = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
+    text = np.searchsorted(w.first, word, side="right") - 1
+    whole, part, shingle = (runs(w.hashes, n) for n in (least, half, SHINGLE))
+    parts = []
+    for slack in range(SLACK + 1):
+        fits = word + least + slack <= w.first[text + 1]
+        at, own = word[fits], text[fits]
+        last = at + least + slack
+        if not slack:
+            parts.append((whole[at], own, at))
+        parts.append((mixed(part[at] ^ mixed(shingle[last - SHINGLE] * _FACTOR)), own, at))
+        parts.append((mixed(shingle[at] ^ mixed(part[last - half] * _FACTOR)), own, last - half))
+    key, text, word = (np.concatenate(column) for column in zip(*parts))
+    return key, text, word - w.first[text]
+
+
 def hits(df: DataFrame, id_col: str, text_col: str, least: int,
          live: Bloom | None = None) -> DataFrame:
     """id, an earlier id, and where both share a key (place, shift, key).
@@ -302,6 +340,14 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     """id, text_hash and spans (start, end in words, of: an earlier id), if there are any."""
     met = hits(df, id_col, text_col, least)
     checked = kept(verified(df, met, id_col, text_col, least, percent), "checked")
+    # Centres that the first holder's passage does not cover may have another partner.
+    live = kept(checked.select("id", F.explode("keys").alias("k")).groupBy("k.key").agg(
+        F.max("k.open").alias("open"), F.min("id").alias("a"), F.max("id").alias("b"))
+        .where("open and a <> b").select("key"), "live")
+    n = live.count()
+    if n:
+        more = hits(df, id_col, text_col, least, bloom(live, n))
+        checked = checked.unionByName(verified(df, more, id_col, text_col, least, percent))
     each = checked.select("id", "text_hash", "other", F.explode("spans").alias("span"))
     # Both passes may tell parts of one passage of a pair.
     told = each.groupBy("id", "text_hash", "other").agg(F.sort_array(F.collect_set("span"))
