@@ -110,3 +110,14 @@ def test_best_fit():
     bins, offsets, room = packing.best_fit(np.array([3, 7, 5, 5, 2]), 10)
     assert room.tolist() == [0, 0, 8] and bins.tolist() == [0, 0, 1, 1, 2]
     assert offsets.tolist() == [7, 0, 0, 5, 0]
+
+
+def test_added_tokens_are_one_id_as_the_library_loads_them(make):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "plain", None,
+             "", "<|endoftext|", "the  <|endoftext|>  of"]
+    rows = packing.pieces(make("doc_id long, text string", *enumerate(texts)), PATH).collect()
+    for r in rows:
+        ids = tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == [*ids, 0], texts[r.doc_id]
+    assert len(rows) == len(texts)

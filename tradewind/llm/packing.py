@@ -20,6 +20,7 @@ table gives no rows; repeated rows are packed as rows of their own.
 from __future__ import annotations
 
 import math
+import re
 from array import array
 from collections.abc import Iterator
 from fractions import Fraction
@@ -61,6 +62,34 @@ def encoder(path: str) -> Encoder:
     return Encoder(lambda new: [array("I", ids_of(u)).tobytes() for u in new])
 
 
+@lru_cache(maxsize=2)
+def as_loaded(path: str) -> _WithAdded:
+    """As ``encoder``, but the file's added tokens in a text are one id each."""
+    return _WithAdded(path)
+
+
+class _WithAdded:
+    """Texts that hold an added token go to the library whole, others to ``encoder``."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.plain, self.library = encoder(path), Tokenizer.from_file(path)
+        added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        held = [n for n, t in enumerate(texts) if t and self.added and self.added.search(t)]
+        rest = list(texts)
+        for n in held:
+            rest[n] = None
+        out = self.plain.encode(rest)
+        for n in held:
+            ids = self.library.encode(texts[n], add_special_tokens=False).ids
+            out[n] = array("I", ids).tobytes()
+        return out
+
+
 def _bytes_of_letters() -> dict[str, int]:
     """Byte-level files write printable Latin-1 bytes as themselves, others from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -86,7 +115,7 @@ def pieces(df: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY,
     end = array("I", [end_id]).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = as_loaded(path)
         for batch in slices(batches, 512):
             row, piece, start, length, ids = [], [], [], [], []
             for n, tokens in enumerate(own.encode(batch.column("text").to_pylist())):
