@@ -106,3 +106,14 @@ def test_query_counts_and_digests(spark):
         assert set(filter(None, joined.split(","))) <= set(row.spans.split(","))
         seen += len(spans)
     assert seen > 10
+
+
+def test_unknown_numbers_of_many_groups_are_found_whole(make):
+    """Only the words on both sides repeat, and every filler has five groups or more."""
+    rows = [(k, f"zq{k} at +33 1 23 45 67 {k:02d} thanks a{k}") for k in range(10, 30)]
+    rows += [(50, "other at 01 23 45 67 89 thanks b"), (51, "other at 01 23 45 67 89 10 11 thanks b")]
+    df = make("doc_id long, text string", *rows)
+    found = pii.personal_data(df)
+    cut = {r.doc_id: r.text for r in pii.masked(df, found).collect()}
+    assert cut[50] == "other at [PHONE] thanks b" and cut[51] == "other at [PHONE] thanks b"
+    assert cut[10] == "zq10 at [PHONE] thanks a10"

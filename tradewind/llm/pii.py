@@ -7,7 +7,8 @@ again, where it also meets fillers that no expression knows. Patterns and filler
 graph, scored in rounds: a pattern by the share of its fillers that are of a kind, an
 unknown filler by the patterns it stands in. Unknown fillers that look like identifiers
 (a digit or @, five characters or more) become spans of the kind when pattern and filler
-both end above the threshold. Base spans always stay.
+both end above the threshold. A filler runs to the end of the identifier-like words,
+however many. Base spans always stay.
 
 Ordinary words that fill a pattern count against it, so a pattern of common words, which
 happens to surround seeds, finds nothing.
@@ -27,14 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tradewind.llm.frames import Bloom, bloom, kept, mapped, slices
-from tradewind.llm.words import Words, mixed, utf8, words
+from tradewind.llm.words import _BACK as BACK, _STEP as STEP, _powers as powers, Words, mixed, utf8, words
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST_SEEDS = 3
 ROUNDS = 3
 THRESHOLD = 0.8
-# An unknown filler ends after this many identifier-like words.
-FILLER_WORDS = 4
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -154,12 +153,13 @@ def seeds(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _fillers(w: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """One hash of the words from first to last, of at most a few words."""
-    total = np.zeros(len(first), dtype=np.uint64)
-    for k in range(int((last - first).max(initial=-1)) + 1):
-        inner = first + k <= last
-        total[inner] = mixed(total[inner] * _RIGHT + w.hashes[first[inner] + k])
-    return total.view(np.int64)
+    """One hash of the words from first to last, by sums over all words before."""
+    n, end = len(w.hashes), last + 1
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(w.hashes * powers(BACK, n), out=total[1:])
+    lift = powers(STEP, n + 1)
+    return mixed((total[end] - total[first]) * lift[end]
+                 + (end - first).astype(np.uint64)).view(np.int64)
 
 
 def occurrences(df: DataFrame, may: Bloom, id_col: str, text_col: str) -> DataFrame:
@@ -194,7 +194,7 @@ def occurrences(df: DataFrame, may: Bloom, id_col: str, text_col: str) -> DataFr
             run_end = stop[np.searchsorted(stop, np.arange(n))]
             run_end = np.where(marked[run_end], run_end, run_end - 1)
             first = np.arange(n)
-            last = np.where(marked, np.minimum(run_end, first + FILLER_WORDS - 1), first)
+            last = np.where(marked, run_end, first)
             two, around = _patterns(*_neighbours(w, first, last, text))
             rows = []
             for pattern in (two, around):
