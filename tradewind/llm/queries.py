@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, embeddings, fingerprint, langid, minhash, packing, pii, substrings, urls, warc
+from tradewind.llm import bpe, embeddings, fingerprint, langid, merkle, minhash, packing, pii, substrings, urls, warc
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -129,3 +129,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
                          public_tokenizers.path("byte_bpe_50k.json"))
     cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.packed(cut)
+
+
+@query("op13_manifest")
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; a fifth of them is folded from a tampered text."""
+    documents = table(spark, folder, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.leaf(*map(F.col, columns[:-1]), merkle.lowered(F.col("text")))
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    judged = merkle.checked(merkle.manifest(
+        documents.withColumn("changed_leaf", F.when(chosen, tampered)), columns, "doc_id", "source"))
+    return judged.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                         "verified")

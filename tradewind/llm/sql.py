@@ -103,3 +103,71 @@ degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(low, v.vec_id))
     AS component_id, v.vec_id <= coalesce(low, v.vec_id) AS kept
 FROM v LEFT JOIN lowest ON v.vec_id = lowest.a LEFT JOIN degree ON v.vec_id = degree.a"""
+
+
+def _tree(base: str, name: str, levels: int) -> str:
+    """Levels of the trees over ``base`` (part, i, d): nodes with their siblings."""
+    out, nodes = [], base
+    for k in range(levels):
+        out.append(f"""{name}{k} AS (
+  SELECT part, i, d, count(*) OVER (PARTITION BY part) AS n,
+    coalesce(string_agg(d, '') OVER (PARTITION BY part, i // 16 ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(d, '') OVER (PARTITION BY part, i // 16 ORDER BY i
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {nodes}),
+{name}{k}_up AS (
+  SELECT part, i // 16 AS i, CASE WHEN max(n) = 1 THEN min(d)
+    ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}{k} GROUP BY part, i // 16)""")
+        nodes = f"{name}{k}_up"
+    return ",\n".join(out)
+
+
+def _fold(name: str, levels: int, key: str, at: str) -> str:
+    """Follow a node up: its siblings so far and what it folds to."""
+    out, rows = [], f"{name}_start"
+    for k in range(levels):
+        out.append(f"""{name}_f{k} AS (
+  SELECT r.* REPLACE (
+    CASE WHEN x.n = 1 THEN r.node ELSE sha256(x.before || r.node || x.after) END AS node,
+    CASE WHEN x.n = 1 THEN r.proof ELSE r.proof || x.before || x.after END AS proof)
+  FROM {rows} r JOIN {name}{k} x ON x.part IS NOT DISTINCT FROM {key}
+    AND x.i = r.{at} // {16 ** k})""")
+        rows = f"{name}_f{k}"
+    return ",\n".join(out)
+
+
+# Four bits a level: six levels hold 16 million leaves of a source.
+_LEVELS = 6
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+# The polynomial of CRC-32, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda d, e: xor(d >> 1, (d & 1) * 3988292384))), 4294967295::BIGINT)"""
+
+ORACLES["op13_manifest"] = f"""
+WITH l AS (
+  SELECT doc_id, source, sha256({_FIELDS} || {_FIELD.format('text')}) AS leaf,
+    CASE WHEN {_CRC32} % 5 = 0 THEN sha256({_FIELDS} || {_FIELD.format(
+      "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS other
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM l),
+base AS (SELECT source AS part, place AS i, leaf AS d FROM leaves),
+{_tree('base', 'low', _LEVELS)},
+subroots AS (
+  SELECT part AS source, d AS subroot, row_number() OVER (ORDER BY part NULLS FIRST) - 1 AS of
+  FROM low{_LEVELS - 1}_up),
+upper AS (SELECT 0 AS part, of AS i, subroot AS d FROM subroots),
+{_tree('upper', 'top', _LEVELS)},
+low_start AS (
+  SELECT l.*, s.of, s.subroot, coalesce(other, leaf) AS node, '' AS proof
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+{_fold('low', _LEVELS, 'r.source', 'place')},
+top_start AS (SELECT * FROM low_f{_LEVELS - 1}),
+{_fold('top', _LEVELS, '0', 'of')}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root,
+  node = root AS verified
+FROM top_f{_LEVELS - 1}, (SELECT d AS root FROM top{_LEVELS - 1}_up)"""
