@@ -36,6 +36,17 @@ _SLOTS = [f"slot{k}" for k in range(FANOUT)]
 _PATH = "array<struct<before: string, after: string>>"
 
 
+def _joined(slots: list[str]) -> str:
+    return f"concat_ws('', {', '.join(f'{name}.digest' for name in slots)})"
+
+
+# A parent's children: place, child, and the siblings on both sides.
+_CHILDREN = "filter(array({}), c -> c.child is not null)".format(", ".join(
+    f"struct({k}L as slot, {name} as child, struct({_joined(_SLOTS[:k])} as before, "
+    f"{_joined(_SLOTS[k + 1:])} as after) as step)" for k, name in enumerate(_SLOTS)
+).replace("concat_ws('', )", "''"))
+
+
 def digest(*parts: Column) -> Column:
     """Lower-case hex SHA-256 of the parts, one after the other; nulls are left out."""
     return F.sha2(F.concat_ws("", *parts).cast("binary"), 256)
@@ -100,13 +111,12 @@ def grown(nodes: DataFrame) -> Tree:
     largest = nodes.agg(F.max("n").alias("n")).head()["n"] or 0
     levels, tops = [], [lone.select("part", F.col("child.digest").alias("top"))]
     while largest > 1:
-        slot = F.pmod("at", F.lit(FANOUT))
         level = kept(nodes.where("n > 1").groupBy(
             "part", "n", F.floor(F.col("at") / FANOUT).alias("at")).agg(*(
-                F.max(F.when(slot == k, F.col("child"))).alias(name)
+                F.expr(f"max(child) filter (where at % {FANOUT} = {k})").alias(name)
                 for k, name in enumerate(_SLOTS))), "level")
         levels.append(level)
-        whole = digest(*(F.col(f"{name}.digest") for name in _SLOTS))
+        whole = F.expr(f"sha2(cast({_joined(_SLOTS)} as binary), 256)")
         nodes = level.select("part", F.ceil(F.col("n") / FANOUT).alias("n"), "at",
                              F.struct(whole.alias("digest")).alias("child"))
         tops.append(nodes.where("n = 1").select("part", F.col("child.digest").alias("top")))
@@ -126,14 +136,7 @@ def proven(tree: Tree, above: DataFrame) -> DataFrame:
         if below is not None:
             more = level.where(F.col("n") > FANOUT).join(below, ["part", "at"])
             parents = parents.unionByName(more)
-        digests = [F.col(f"{name}.digest") for name in _SLOTS]
-        children = F.array(*(F.struct(
-            F.lit(k).cast("long").alias("slot"), F.col(name).alias("child"),
-            F.struct(F.concat_ws("", *digests[:k]).alias("before"),
-                     F.concat_ws("", *digests[k + 1:]).alias("after")).alias("step"))
-            for k, name in enumerate(_SLOTS)))
-        present = F.filter(children, lambda c: c["child"].isNotNull())
-        below = parents.select("part", "at", "path", *extra, F.explode(present).alias("c")).select(
+        below = parents.select("part", "at", "path", *extra, F.expr(f"explode({_CHILDREN})").alias("c")).select(
             "part", (F.col("at") * FANOUT + F.col("c.slot")).alias("at"),
             F.concat(F.array("c.step"), "path").cast(_PATH).alias("path"), *extra,
             F.col("c.child").alias("child"))

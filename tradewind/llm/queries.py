@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bpe, embeddings, fingerprint, langid, merkle, minhash, packing, pii, substrings, urls, warc
+from tradewind.llm import (bpe, codes, embeddings, fingerprint, knn, langid, merkle, minhash, packing,
+                           pii, substrings, urls, warc)
 from tradewind.llm.frames import table
 from tradewind.session import configure, scratch_path
 
@@ -131,6 +132,17 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(cut)
 
 
+@query("op11_codes")
+def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compressed(table(spark, folder, "embeddings"))
+
+
+@query("op12_topk")
+def op12_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten rows with the highest inner product, for every hundredth vector."""
+    return knn.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op13_manifest")
 def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Proofs of all documents; a fifth of them is folded from a tampered text."""

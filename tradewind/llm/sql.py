@@ -171,3 +171,61 @@ top_start AS (SELECT * FROM low_f{_LEVELS - 1}),
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root,
   node = root AS verified
 FROM top_f{_LEVELS - 1}, (SELECT d AS root FROM top{_LEVELS - 1}_up)"""
+
+
+def _assigned(number: int) -> str:
+    return f"""near{number} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, min({{'far': far, 'entry': entry}}) AS best FROM (
+    SELECT p.vec_id, p.label, p.part, p.x, c.entry, list_sum(list_transform(range(1, len(x) + 1),
+      lambda i: (x[i] - c.e[i]) * (x[i] - c.e[i])))::BIGINT AS far
+    FROM cut p JOIN books{number} c ON p.part = c.part) GROUP BY ALL)"""
+
+
+def _improved(number: int) -> str:
+    # Components are shifted to be positive, so that // rounds down.
+    return f"""means{number} AS (
+  SELECT part, entry, list(mean ORDER BY i) AS e FROM (
+    SELECT part, best.entry AS entry, i,
+      ((sum(x[i] + 1000000000000) // count(*)) - 1000000000000)::BIGINT AS mean
+    FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM near{number}) GROUP BY ALL)
+  GROUP BY part, entry),
+books{number + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.e, b.e) AS e
+  FROM books{number} b LEFT JOIN means{number} m USING (part, entry))"""
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLES["op11_codes"] = f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE {_FINITE}),
+cut AS MATERIALIZED (
+  SELECT vec_id, label, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] AS x
+  FROM (SELECT *, unnest(range(16)) AS part FROM v)),
+books0 AS MATERIALIZED (
+  SELECT part, x AS e, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM cut
+  QUALIFY entry < 64),
+{_assigned(0)},
+{_improved(0)},
+{_assigned(1)},
+{_improved(1)},
+{_assigned(2)},
+told AS (
+  SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+  FROM books2),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code,
+    sum(best.far)::BIGINT AS error FROM near2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  codebooks_sha256 FROM coded, told"""
+
+ORACLES["op12_topk"] = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE {_FINITE}),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id % 100 = 0 AND d.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+  AS rank, vec_id, score FROM s QUALIFY rank <= 10"""
