@@ -57,7 +57,8 @@ def test_stages(spark):
            for name, (_, after) in seen.items()}
     first = {r.doc_id for r in seen["language"][0].select("doc_id").collect()}
     assert first - ids["language"] == {10**6, 10**6 + 1}
-    near = minhash.near_duplicates(seen["near_duplicates"][0])
+    near = minhash.near_duplicates(seen["near_duplicates"][0],
+                                   percent=corpus_pipeline.NEAR_PERCENT)
     assert ids["near_duplicates"] == {r.doc_id for r in near.where("kept").collect()}
     assert substrings.repeats(seen["passages"][1]).count() <= substrings.repeats(
         seen["passages"][0]).count() // 4

@@ -28,15 +28,6 @@ def test_compact_windows():
         assert set(zip(*(x.tolist() for x in got))) == expected
 
 
-def test_chains():
-    chain = substrings.chained
-    assert chain([(0, 60, 5)], 50, 80) == [(0, 60)]
-    assert chain([(0, 49, 5)], 50, 80) == []
-    assert chain([(0, 40, 5), (41, 90, 5)], 50, 80) == [(0, 90)]       # one word differs
-    assert chain([(0, 40, 5), (40, 90, 4)], 50, 80) == [(0, 90)]       # one word is missing
-    assert chain([(0, 10, 5), (80, 90, 5)], 50, 80) == []
-
-
 def corpus(seed):
     rnd = random.Random(seed)
 
@@ -170,3 +161,85 @@ def test_edited_passages_whose_first_holder_shares_less(make):
     df, places = planted_in(make, groups)
     found = substrings.repeats(df)
     assert missed(found, places, [(10 * t + 2, 10 * t + 1) for t in range(60)]) == []
+
+
+def test_edits_of_one_to_four_words_with_halves_quoted_before(make):
+    """Every edit that leaves 0.8 of the shingles, alone and after quotes of both halves."""
+    rnd, groups, wanted = random.Random(3), [], []
+    while len(groups) < 300:
+        t, n, size = len(groups), rnd.randint(90, 160), rnd.randint(1, 4)
+        p = [f"e{t}x{i}" for i in range(n)]
+        at, kind = rnd.randint(20, n - 20), rnd.choice(["insert", "delete", "replace"])
+        new = [] if kind == "delete" else [f"new{t}x{i}" for i in range(size)]
+        q = [*p[:at], *new, *p[at if kind == "insert" else at + size:]]
+        if shares(p, q) < 0.8 or len(q) < 50:
+            continue
+        quotes = [p[:45], p[-45:]] if t % 2 else []
+        groups.append([*quotes, p, q])
+        wanted.append((10 * t + len(quotes) + 1, 10 * t + len(quotes)))
+    df, places = planted_in(make, groups)
+    assert len(missed(substrings.repeats(df), places, wanted)) <= 3
+
+
+def all_passages(a, b, least=50, percent=80):
+    """Words of ``b`` in passages that share enough with one of ``a``: every pair of stretches
+    of ``least`` words, without hashes, windows or seeds."""
+    covered = set()
+    sets = [({tuple(x[i + k:i + k + 5]) for k in range(least - 4)}, i)
+            for x in (a,) for i in range(len(a) - least + 1)]
+    for j in range(len(b) - least + 1):
+        own = {tuple(b[j + k:j + k + 5]) for k in range(least - 4)}
+        if any(100 * len(own & s) >= percent * len(own | s) for s, _ in sets):
+            covered |= set(range(j, j + least))
+    return covered
+
+
+def test_against_all_pairs_of_passages(make):
+    """Documents of common lines, quotes and edited quotes, each against all earlier ones."""
+    rnd = random.Random(21)
+    line = [f"line{i}" for i in range(25)]
+    shared = [[f"s{k}x{i}" for i in range(70)] for k in range(4)]
+    docs = []
+    for d in range(36):
+        words = [f"u{d}x{i}" for i in range(rnd.randint(10, 40))] + line
+        if d % 3 == 0:
+            quote = list(shared[rnd.randrange(4)])
+            if d % 2:
+                quote[rnd.randint(25, 45)] = f"edit{d}"
+            words += quote[:rnd.choice([40, 60, 70])]
+        docs.append(words + [f"v{d}x{i}" for i in range(rnd.randint(5, 40))])
+    df = make("doc_id long, text string", *enumerate(" ".join(d) for d in docs)).repartition(5)
+    got = {r.doc_id: r.spans for r in substrings.repeats(df).collect()}
+    for d, words in enumerate(docs):
+        plain = set().union(*(all_passages(docs[e], words) for e in range(d)))
+        spans = got.get(d, [])
+        assert bool(plain) == bool(spans)
+        # Passages end with equal words; stretches of a fixed length reach a little beyond.
+        assert len(plain - {w for s in spans for w in range(s.start, s.end)}) <= 20
+        for s in spans:
+            own, other = words[s.start:s.end], docs[s.of]
+            assert s.of < d and max(
+                shares(own, other[at:at + n]) for n in range(len(own) - 8, len(own) + 9)
+                for at in range(len(other) - 49) if other[at] == own[0]) >= 0.8
+
+
+def test_a_passage_twice_in_one_document(make):
+    words = [f"t{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "x", "y", *words]))]
+    for parts in (1, 2):
+        df = make("doc_id long, text string", *rows).repartition(parts, "doc_id")
+        got = substrings.repeats(df).collect()
+        assert [(r.doc_id, [(s.start, s.end, s.of) for s in r.spans]) for r in got] == [
+            (2, [(0, 60, 1), (62, 122, 1)])]
+
+
+def test_long_texts(make):
+    rnd = random.Random(4)
+    passage = " ".join(f"z{i}" for i in range(80))
+    long = " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(200_000))
+    same = " ".join(["same words again and again"] * 20_000)
+    rows = [(1, f"{long} {passage}"), (2, f"x {passage} y"), (3, same), (4, same), (5, f"{passage} {long}")]
+    got = {r.doc_id: r.spans for r in substrings.repeats(make("doc_id long, text string", *rows)).collect()}
+    assert [(s.start, s.end, s.of) for s in got[2]] == [(1, 81, 1)] and set(got) >= {2, 4, 5}
+    assert max(s.end - s.start for s in got[5]) >= 200_000
+    assert max(s.end for s in got[4]) - min(s.start for s in got[4]) == 100_000

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.session import stored
 
-# Rows handed to a Python worker at once: bounds its memory when texts are very long.
-ROWS_AT_ONCE = 512
+# Rows and bytes handed to a Python worker at once: bounds its memory when texts are long.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 512, "4m"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,7 +37,9 @@ def findable(spark: SparkSession) -> None:
 def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with batches of bounded length."""
     findable(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
     return df.mapInArrow(work, schema)
 
 

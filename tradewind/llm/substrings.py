@@ -1,33 +1,36 @@
-"""Passages that repeat across documents, by compact windows.
-
-A text is its sequence of runs of twelve words. Under a hash function a compact window
-(left, centre, right) stands for all subsequences that hold the centre and whose least
-hash is the centre's. Centres are the arguments of sliding minima, and their windows come
-from the Cartesian tree of these minima, built with a stack.
-
-A passage of 50 words that keeps 0.8 of its shingles has one edit, two of 90 words and so
-on, so its longest verbatim run has 25 words. Windows are as long as such a run has
-twelve-word runs. So both documents have the centre that the run holds, for certain.
-
-Equal centres are joined to the first of them, by document id, not to each other; those
-within one batch are joined there before anything is shuffled, so a passage in a third of
-all documents costs a row per batch. All hits of two documents are verified on the words
-themselves: the words beside a hit are aligned by the shingles they share, at whatever
-shift, and the runs are chained while the chain's shingles keep the similarity. Chains of
-``least`` words or more are repeats of the earlier document.
-
-The first holder of a centre may share too little around it. Such centres are met again in
-a second pass, by whole passages: each run of ``least`` words around them goes to its own
-first holder, and so do the two ends of a passage with an edit between them that adds or
-drops ``SLACK`` words at most. Both are linear in the number of words. So every verbatim
-run of ``least`` words around an unconfirmed centre is met, whoever else shares less.
-Edited passages are certain only where the first holder of their centre or of their ends
-is one of them.
+"""Passages that repeat across documents, by compact windows under several hash functions.
+
+A text is its sequence of five-word shingles. Under a hash function a compact window
+(left, centre, right) stands for all subsequences between left and right that hold the
+centre, whose hash is the least of each of them. The windows that are as long as a passage
+of ``least`` words come from the Cartesian tree of the hashes: centres are the arguments of
+sliding minima, and a stack gives the nearest smaller values beside them.
+
+Two passages that share 0.8 of their shingles have the same least hash under a function
+with a chance of 0.8. So windows meet by (function, least hash): the first holder, by
+document id, meets all others; holders in one batch meet there before anything is
+shuffled, so a passage in a third of all documents costs a row per batch. A pair of
+documents is proposed if windows of ``ENOUGH`` functions overlap in a whole passage.
+
+Proposed pairs are verified on the words. A hit grows to the longest run of equal words by
+binary search over prefix hashes, for all hits of a batch at once; runs go on over edits
+of up to ``GAP`` words while the passages share ``percent`` of their shingles. Passages of
+``least`` words or more are repeats of the earlier document. First holders are streamed
+past their partners, those with many in several places, and never copied to each.
+
+A first holder may share too little around its centre. So windows that no verified passage
+covers meet again in rounds, without the first holders they have met, and by finer keys:
+windows of two functions, then four, then all, are intersected, and those long enough for
+a passage are joined by all their least hashes. A common line thus parts from its
+neighbourhoods after few rounds. Rounds end when no two such windows meet.
 
 Defined results: null, empty and short texts have no windows and no repeats, nor have
 rows without an id. Repeats within one document do not count. Ids are meant to be
 unique: rows that share an id count as one document, whose text is the one with the
 least hash, and only rows with that text get its spans. Other columns are not passed on.
+A window that a verified passage covers looks for no other partner, so words beyond that
+passage's ends, fewer than a window apart, may stay. Long texts are worked through alone,
+in memory proportional to the longest one.
 """
 
 from __future__ import annotations
@@ -39,20 +42,27 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.frames import Bloom, bloom, gathered, kept, mapped, slices
+from tradewind.llm.frames import bloom, gathered, kept, mapped, slices
 from tradewind.llm.words import SHINGLE, Words, mixed, runs, utf8, words
 
 LEAST = 50
 PERCENT = 80
-# Words of a run whose hash is a signature.
-RUN = 12
-# Words beside a hit that are compared: neighbouring centres are closer.
-REACH = 64
-# Words that an edit may add to a passage for it to be met again by its ends.
-SLACK = 2
-ROWS_PER_BATCH = 2048
-
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+FUNCTIONS = 6
+# Functions whose windows must overlap for two documents to be compared.
+ENOUGH = 2
+# Words beyond the outermost hits that are compared.
+REACH = 128
+# Words of an edit between two equal runs of one passage.
+GAP = 8
+# Partners that one copy of a first holder meets.
+PARTNERS = 1000
+# Text worked on at once.
+TEXT_BYTES = 1 << 20
+
+_RNG = np.random.default_rng(9)
+_FACTORS = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
 def _sliding(best, values: np.ndarray, width: int) -> np.ndarray:
@@ -111,97 +121,127 @@ def _smaller_beside(heights: list[int], places: list[int]) -> tuple[np.ndarray,
     return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
-def seeds(w: Words, least: int):
-    """Centres of all texts, by text and place: key, text, place."""
-    run = min(RUN, least // 2)
-    counts = np.diff(w.first)
-    long = np.flatnonzero(counts >= least)
-    if not len(long):
-        return tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64))
-    n = counts[long] - run + 1
-    starts = np.concatenate([[0], np.cumsum(n)])
-    text = np.repeat(long, n)
-    inner = np.arange(starts[-1]) - np.repeat(starts[:-1], n)
-    hashed = np.maximum(mixed(runs(w.hashes, run)[w.first[text] + inner] * _FACTOR), np.uint64(1))
-    centre = np.sort(compact_windows(hashed, starts, least // 2 - run + 1)[0])
-    return hashed[centre], text[centre], inner[centre]
+class Windows:
+    """Windows of several texts under one function, by text and centre.
 
+    ``left``, ``centre`` and ``right`` count shingles from the start of ``values``; a
+    text's own are got by taking its ``first`` off.
+    """
 
-def passage_keys(w: Words, least: int, key: np.ndarray, text: np.ndarray, place: np.ndarray):
-    """Keys of whole passages that hold one of the given centres: key, text, place.
-
-    Each run of ``least`` words has one. So has half a run with the shingle at the far end
-    of a passage, for passages up to ``SLACK`` words longer: an edit lies between them.
+    def __init__(self, shingles: np.ndarray, starts: np.ndarray, width: int, function: int):
+        hashed = np.maximum(mixed(shingles * _FACTORS[function]), np.uint64(1))
+        found = compact_windows(hashed, starts, width)
+        order = np.argsort(found[0], kind="stable")
+        self.centre, self.left, self.right = (x[order] for x in found)
+        self.key = mixed(hashed[self.centre] + _FACTORS[function])
+
+    def chosen(self, which: np.ndarray) -> "Windows":
+        out = object.__new__(Windows)
+        for name in ("key", "centre", "left", "right"):
+            setattr(out, name, getattr(self, name)[which])
+        return out
+
+    def intersected(self, other: "Windows", width: int) -> "Windows":
+        """Common parts that hold both centres and are long enough."""
+        low = np.searchsorted(other.centre, self.left)
+        high = np.searchsorted(other.centre, self.right, side="right")
+        n = np.maximum(high - low, 0)
+        mine = np.repeat(np.arange(len(n)), n)
+        theirs = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        out = self.chosen(mine)
+        out.left = np.maximum(out.left, other.left[theirs])
+        out.right = np.minimum(out.right, other.right[theirs])
+        out.key = mixed(out.key ^ mixed(other.key[theirs] * _STEP))
+        holds = (out.left <= np.minimum(self.centre[mine], other.centre[theirs])) & (
+            out.right >= np.maximum(self.centre[mine], other.centre[theirs])) & (
+            out.right - out.left + 1 >= width)
+        return out.chosen(holds)
+
+
+def windows_of(w: Words, least: int, functions: int, joint: int,
+               open_: list | None = None) -> dict[str, np.ndarray]:
+    """Windows of all texts: key, text, function, place, left and right (in its shingles).
+
+    Windows of ``joint`` functions each are intersected; of the first one only those
+    with an ``open_`` number (function * 2**40 + place) in the text's list.
     """
-    run, half = min(RUN, least // 2), least // 2
-    low, high = w.first[text], w.first[text + 1]
-    first = np.maximum(low, low + place + run - least - SLACK)
-    marks = np.zeros(len(w.hashes) + 1, np.int64)
-    np.add.at(marks, first, 1)
-    np.add.at(marks, low + place + 1, -1)
-    word = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
-    text = np.searchsorted(w.first, word, side="right") - 1
-    whole, part, shingle = (runs(w.hashes, n) for n in (least, half, SHINGLE))
-    parts = []
-    for slack in range(SLACK + 1):
-        fits = word + least + slack <= w.first[text + 1]
-        at, own = word[fits], text[fits]
-        last = at + least + slack
-        if not slack:
-            parts.append((whole[at], own, at))
-        parts.append((mixed(part[at] ^ mixed(shingle[last - SHINGLE] * _FACTOR)), own, at))
-        parts.append((mixed(shingle[at] ^ mixed(part[last - half] * _FACTOR)), own, last - half))
-    key, text, word = (np.concatenate(column) for column in zip(*parts))
-    return key, text, word - w.first[text]
-
-
-def hits(df: DataFrame, id_col: str, text_col: str, least: int,
-         live: Bloom | None = None) -> DataFrame:
-    """id, an earlier id, and where both share a key (place, shift, key).
-
-    Keys are those of centres, or, of the centres that ``live`` lets through, those of the
-    passages around them.
+    width = least - SHINGLE + 1
+    counts = np.diff(w.first)
+    long = np.flatnonzero(counts >= least)
+    n = counts[long] - SHINGLE + 1
+    starts = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+    text = np.repeat(long, n)
+    own = np.arange(starts[-1]) - np.repeat(starts[:-1], n)
+    shingles = runs(w.hashes, SHINGLE)[w.first[text] + own] if len(long) else np.empty(0, np.uint64)
+    each = [Windows(shingles, starts, width, f) for f in range(functions)]
+    out = {name: [] for name in ("key", "text", "function", "place", "left", "right")}
+    wanted = None
+    if open_ is not None:
+        offset = {int(t): int(a) for t, a in zip(long, starts)}
+        wanted = [np.array(sorted(offset[t] + (x & (1 << 40) - 1) for t, xs in enumerate(open_)
+                                  if t in offset for x in xs if x >> 40 == f), np.int64)
+                  for f in range(functions)]
+    for f, found in enumerate(each):
+        if wanted is not None:
+            found = found.chosen(np.isin(found.centre, wanted[f]))
+        for more in range(1, joint):
+            found = found.intersected(each[(f + more) % functions], width)
+        at = np.searchsorted(starts, found.centre, side="right") - 1
+        out["key"].append(found.key)
+        out["text"].append(long[at])
+        out["function"].append(np.full(len(at), f))
+        for name, place in (("place", found.centre), ("left", found.left), ("right", found.right)):
+            out[name].append(place - starts[at])
+    return {name: np.concatenate(x) for name, x in out.items()}
+
+
+_HIT = "struct<place:int,left:int,right:int,function:int,shift:int>"
+
+
+def hits(df: DataFrame, id_col: str, text_col: str, least: int, functions: int, joint: int,
+         open_: DataFrame | None = None) -> DataFrame:
+    """id, an earlier id, and a hit: a window that both have, at ``place`` and ``place - shift``.
+
+    ``open_`` (id, places) names the windows that take part; None is all.
     """
     kind = df.schema[id_col].dataType.simpleString()
     plain = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         "id is not null")
-    shared = None if live is None else df.sparkSession.sparkContext.broadcast(live)
+    all_take_part = open_ is None
+    if not all_take_part:
+        plain = plain.join(open_, "id")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, ROWS_PER_BATCH):
+        for batch in gathered(batches, 1 << 16, TEXT_BYTES):
             # Texts in order of their ids, so that the first of a key is the earliest.
             batch = batch.take(pa.compute.sort_indices(batch.column("id")))
             ids = batch.column("id")
             number = np.unique(ids.dictionary_encode().indices.to_numpy(), return_inverse=True)[1]
-            w = words(batch.column("text"))
-            key, text, place = seeds(w, least)
-            if shared is not None:
-                chosen = shared.value.may_hold(key)
-                if not chosen.any():
-                    continue
-                key, text, place = passage_keys(w, least, key[chosen], text[chosen], place[chosen])
-            order = np.lexsort((place, text, key))
-            key, text, place = (x[order] for x in (key, text, place))
-            if not len(key):
+            found = windows_of(words(batch.column("text")), least, functions, joint,
+                               None if all_take_part else batch.column("places").to_pylist())
+            order = np.lexsort((found["place"], found["text"], found["key"]))
+            if not len(order):
                 continue
+            found = {name: x[order] for name, x in found.items()}
+            key, text, place = found["key"], found["text"], found["place"]
             fresh = np.r_[True, key[1:] != key[:-1]]
             head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
             differs = number[text] != number[text[head]]
-            own = ids.take(pa.array(text))
             other = pa.compute.if_else(pa.array(differs), ids.take(pa.array(text[head])),
                                        pa.scalar(None, ids.type))
+            # Pairs found here need no meeting place any more and go anywhere.
+            spread = np.where(differs, mixed(np.arange(len(key), dtype=np.uint64)), np.uint64(0))
             rows = pa.RecordBatch.from_arrays(
-                # Pairs found here need no meeting place any more and go anywhere.
-                [pa.array(np.where(differs, mixed(np.arange(len(key), dtype=np.uint64)), np.uint64(0))
-                          .view(np.int64)), pa.array(key.view(np.int64)), own,
-                 pa.array(place, pa.int32()), other, pa.array(place - place[head], pa.int32())],
-                names=["spread", "key", "id", "place", "other", "shift"])
-            rows = rows.filter(pa.array(fresh | differs))
-            for at in range(0, rows.num_rows, 1 << 16):
-                yield rows.slice(at, 1 << 16)
-
-    met = mapped(plain, local, f"spread long, key long, id {kind}, place int, other {kind}, "
-                               "shift int")
+                [pa.array(spread.view(np.int64)), pa.array(key.view(np.int64)),
+                 ids.take(pa.array(text)), other, pa.array(place - place[head], pa.int32()),
+                 *(pa.array(found[c], pa.int32()) for c in ("place", "left", "right", "function"))],
+                names=["spread", "key", "id", "other", "shift", "place", "left", "right",
+                       "function"])
+            for at in range(0, rows.num_rows, 1 << 15):
+                yield rows.slice(at, 1 << 15)
+
+    met = mapped(plain, local, f"spread long, key long, id {kind}, other {kind}, shift int, "
+                               "place int, left int, right int, function int")
     sorted_ = met.repartition("key", "spread").sortWithinPartitions(
         "key", F.col("other").isNotNull(), "id", "place")
 
@@ -222,17 +262,117 @@ def hits(df: DataFrame, id_col: str, text_col: str, least: int,
             if last is not None:
                 given[0] = False  # told with the batch before
             shift = np.where(given, batch.column("shift").to_numpy(), place - place[head])
+            hit = [*(batch.column(c) for c in ("place", "left", "right", "function")),
+                   pa.array(shift, pa.int32())]
             out = pa.RecordBatch.from_arrays(
-                [ids, pa.compute.coalesce(batch.column("other"), heads),
-                 pa.StructArray.from_arrays(
-                     [pa.array(place, pa.int32()), pa.array(shift, pa.int32()),
-                      batch.column("key")], ["place", "shift", "key"])],
+                [ids, pa.compute.coalesce(batch.column("other"), heads), pa.StructArray.from_arrays(
+                    hit, ["place", "left", "right", "function", "shift"])],
                 names=["id", "other", "hit"])
             yield out.filter(pa.array(given | meets))
             last = batch.slice(int(head[-1]), 1)
 
-    return mapped(sorted_, joined,
-                  f"id {kind}, other {kind}, hit struct<place:int,shift:int,key:long>")
+    return mapped(sorted_, joined, f"id {kind}, other {kind}, hit {_HIT}")
+
+
+class Ladder:
+    """Words of several texts whose stretches can be compared by prefix hashes."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        self.first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        whole = np.concatenate([np.empty(0, np.uint32), *parts]).astype(np.uint64)
+        n = len(whole)
+        back = np.full(n, _BACK, np.uint64)
+        back[:1] = 1
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mixed(whole + np.uint64(1)) * np.multiply.accumulate(back), out=self.sums[1:])
+        lift = np.full(n + 1, _STEP, np.uint64)
+        lift[:1] = 1
+        self.lift = np.multiply.accumulate(lift)
+
+    def stretch(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Hash of ``length`` words from ``start`` on, wherever they stand."""
+        return (self.sums[start + length] - self.sums[start]) * self.lift[start]
+
+
+def common(a: Ladder, i: np.ndarray, b: Ladder, j: np.ndarray, most: np.ndarray,
+           back: bool = False) -> np.ndarray:
+    """Equal words from ``i`` and ``j`` on (or before them, ``back``), at most ``most``."""
+    out = np.zeros(len(i), np.int64)
+    step = 1 << int(most.max(initial=0)).bit_length()
+    while step:
+        ok = np.flatnonzero(out + step <= most)
+        go = out[ok]
+        x, y = (i[ok] - go - step, j[ok] - go - step) if back else (i[ok] + go, j[ok] + go)
+        size = np.full(len(ok), step)
+        out[ok[a.stretch(x, size) == b.stretch(y, size)]] += step
+        step >>= 1
+    return out
+
+
+# Words left out on both sides of an edit, smallest edits first.
+_EDITS = sorted(((x, y) for x in range(GAP + 1) for y in range(GAP + 1) if x or y),
+                key=lambda e: (max(e), sum(e), e))
+
+
+def passages(own: Ladder, other: Ladder, which: np.ndarray, partner: np.ndarray, i: np.ndarray,
+             j: np.ndarray, least: int, percent: int) -> tuple[np.ndarray, ...]:
+    """Passages (which, start, end) around hits at word ``i`` of ``own`` and ``j`` of ``other``.
+
+    ``which`` and ``partner`` are the texts the hits lie in.
+    """
+    low, high = own.first[which], own.first[which + 1]
+    olow, ohigh = other.first[partner], other.first[partner + 1]
+    fits = (i >= low) & (j >= olow) & (i + SHINGLE <= high) & (j + SHINGLE <= ohigh)
+    which, i, j, low, high, olow, ohigh = (x[fits] for x in (which, i, j, low, high, olow, ohigh))
+    after = common(own, i, other, j, np.minimum(high - i, ohigh - j))
+    before = common(own, i, other, j, np.minimum(i - low, j - olow), back=True)
+    start, end, ostart, oend = i - before, i + after, j - before, j + after
+    # Hits of one run tell it once; chance hits have no run.
+    _, once = np.unique(np.stack([which, start, ostart]), axis=1, return_index=True)
+    once = once[(after >= SHINGLE)[once]]
+    which, start, end, ostart, oend, low, high, olow, ohigh = (
+        x[once] for x in (which, start, end, ostart, oend, low, high, olow, ohigh))
+    shared = end - start - SHINGLE + 1
+    five = np.int64(SHINGLE)
+    active = {True: np.arange(len(which)), False: np.arange(len(which))}
+    while len(active[True]) or len(active[False]):
+        for forward in (True, False):
+            at = active[forward]
+            found = np.zeros(len(at), bool)
+            x, y = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+            rest = np.arange(len(at))
+            for dx, dy in _EDITS:
+                k = at[rest]
+                if forward:
+                    u, v = end[k] + dx, oend[k] + dy
+                    inside = (u + five <= high[k]) & (v + five <= ohigh[k])
+                else:
+                    u, v = start[k] - dx - five, ostart[k] - dy - five
+                    inside = (u >= low[k]) & (v >= olow[k])
+                inside = np.flatnonzero(inside)
+                size = np.full(len(inside), five)
+                good = inside[own.stretch(u[inside], size) == other.stretch(v[inside], size)]
+                found[rest[good]], x[rest[good]], y[rest[good]] = True, u[good], v[good]
+                rest = np.delete(rest, good)
+                if not len(rest):
+                    break
+            at, x, y = at[found], x[found], y[found]
+            if forward:
+                more = common(own, x, other, y, np.minimum(high[at] - x, ohigh[at] - y))
+                new = (start[at], x + more, ostart[at], y + more)
+            else:
+                x, y = x + five, y + five
+                more = common(own, x, other, y, np.minimum(x - low[at], y - olow[at]), back=True)
+                new = (x - more, end[at], y - more, oend[at])
+            both = shared[at] + more - SHINGLE + 1
+            n, m = new[1] - new[0] - SHINGLE + 1, new[3] - new[2] - SHINGLE + 1
+            ok = 100 * both >= percent * (n + m - both)
+            at = at[ok]
+            start[at], end[at], ostart[at], oend[at] = (x[ok] for x in new)
+            shared[at] = both[ok]
+            active[forward] = at
+    whole = (end - start >= least) & (oend - ostart >= least)
+    return which[whole], start[whole] - low[whole], end[whole] - low[whole]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -245,72 +385,6 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def equal_runs(own: np.ndarray, start: int, other: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of at least a shingle of equal words, ``other`` laid beside ``own[start:]``."""
-    n = min(len(other), len(own) - start)
-    equal = np.zeros(n + 2, dtype=np.int8)
-    equal[1:-1] = own[start:start + n] == other[:n]
-    edges = np.flatnonzero(np.diff(equal))
-    return [(start + a, start + b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())
-            if b - a >= SHINGLE]
-
-
-def aligned_runs(own: np.ndarray, start: int, other: np.ndarray) -> list[tuple[int, int, int]]:
-    """Runs (start, end, shift) of equal words at whatever shift, ``other`` being laid beside
-    ``own[start:]`` and ``REACH`` words to both sides."""
-    first = max(0, start - REACH)
-    own = own[first:start + len(other) + REACH]
-    a, b = (runs(x.astype(np.uint64), SHINGLE) for x in (own, other))
-    order = np.argsort(b, kind="stable")
-    low, high = (np.searchsorted(b[order], a, side=side) for side in ("left", "right"))
-    n = high - low
-    i = np.repeat(np.arange(len(a)), n)
-    j = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
-    by_shift = np.lexsort((i, i - j))
-    i, shift = i[by_shift], (i - j)[by_shift]
-    if not len(i):
-        return []
-    fresh = np.r_[True, (shift[1:] != shift[:-1]) | (i[1:] != i[:-1] + 1)]
-    ends = np.r_[np.flatnonzero(fresh)[1:] - 1, len(i) - 1]
-    return list(zip((i[fresh] + first).tolist(), (i[ends] + first + SHINGLE).tolist(),
-                    (shift[fresh] + first - start).tolist()))
-
-
-def chained(found: list[tuple[int, int, int]], least: int, percent: int) -> list[tuple[int, int]]:
-    """Passages from runs (start, end, shift): runs in order join while the shingles allow.
-
-    A chain of ``n`` and ``m`` shingles in the two documents, ``s`` of them shared, goes on
-    while 100 s >= percent (n + m - s). A run joins the chain, of the last ones of each
-    shift, that shares most with it.
-    """
-    out: list[tuple[int, int]] = []
-    open_: dict[int, list[int]] = {}
-    pieces: dict[int, list[tuple[int, int]]] = {}
-    for start, end, shift in found:
-        pieces.setdefault(shift, []).append((start, end))
-    whole = sorted((a, b, shift) for shift, own in pieces.items() for a, b in _merged(own))
-    for start, end, shift in whole:
-        best = None
-        for other_shift, chain in list(open_.items()):
-            first, last, o_first, o_last, shared = chain
-            if start - last > max(REACH, last - first):
-                out.append((first, last))
-                del open_[other_shift]
-                continue
-            # Both documents' words of a run come after those of the chain.
-            a = max(start, last, o_last + shift)
-            gain = end - a - SHINGLE + 1
-            n, m = end - first - SHINGLE + 1, end - shift - o_first - SHINGLE + 1
-            if gain > 0 and 100 * (shared + gain) >= percent * (n + m - shared - gain) and (
-                    best is None or shared + gain > best[4]):
-                best = [first, end, o_first, end - shift, shared + gain]
-        if shift in open_:
-            out.append((open_[shift][0], open_[shift][1]))
-        open_[shift] = best or [start, end, start - shift, end - shift, end - start - SHINGLE + 1]
-    out += [(first, last) for first, last, *_ in open_.values()]
-    return _merged([(a, b) for a, b in out if b - a >= least])
-
-
 def _words_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, word hashes (32 bits each) and a hash of the text, of the ids in ``wanted``."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -320,7 +394,7 @@ def _words_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
         "id", "text", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("text_hash"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
+        for batch in gathered(batches, 1 << 16, TEXT_BYTES):
             chosen = may.value.may_hold(batch.column("h").to_numpy().view(np.uint64))
             batch = batch.filter(pa.array(chosen))
             w = words(batch.column("text"))
@@ -335,21 +409,113 @@ def _words_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
     return found.groupBy("id").agg(F.min(F.struct("text_hash", "words")).alias("own"))
 
 
+_SPANS = "array<struct<start:int,end:int>>"
+_PLACES = "array<struct<place:int,shift:int>>"
+
+
+def verified(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str, least: int,
+             percent: int) -> DataFrame:
+    """id, text_hash, other and spans of pairs (id, other, hits)."""
+    kind = df.schema[id_col].dataType.simpleString()
+    everyone = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id")))
+    texts = kept(_words_of(df, everyone, id_col, text_col), "words")
+    copies = pairs.groupBy("other").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("copies"))
+    copies = kept(copies, "copies")
+    empty = F.array().cast(_PLACES)
+    firsts = copies.join(texts, copies["other"] == texts["id"]).select(
+        "other", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
+        F.lit(None).cast(kind).alias("id"), F.lit(0).cast("long").alias("text_hash"),
+        F.col("own.words").alias("words"), F.lit(0).alias("from"), empty.alias("hits"))
+    begin = F.greatest(F.array_min("hits.place") - REACH, F.lit(0))
+    end = F.array_max("hits.place") + REACH
+    partners = pairs.join(copies, "other").join(texts, "id").select(
+        "other", F.pmod(F.hash("id"), F.col("copies")).alias("copy"), "id", "own.text_hash",
+        # Only the words between the outermost hits and a reach beyond.
+        F.col("own.words").substr(begin * 4 + 1, (end - begin) * 4).alias("words"),
+        begin.alias("from"), F.expr("transform(hits, h -> named_struct('place', h.place, 'shift', "
+                                    "h.shift))").alias("hits"))
+    streamed = firsts.unionByName(partners).repartition("other", "copy").sortWithinPartitions(
+        "other", "copy", F.col("id").isNotNull())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = None  # the first holder that was streamed last
+        for batch in gathered(batches, 512, 4 << 20):
+            firsts, own, rows, seeds = [], [], [], []
+            if current is not None:
+                firsts.append(current)
+            is_first = (~pa.compute.is_valid(batch.column("id")).to_numpy(False)).tolist()
+            starts = batch.column("from").to_pylist()
+            lists = batch.column("hits")
+            places, shifts = (lists.flatten().field(c).to_numpy(False).astype(np.int64)
+                              for c in ("place", "shift"))
+            edges = np.concatenate([[0], np.cumsum(
+                pa.compute.list_value_length(lists).to_numpy(False))]).astype(np.int64)
+            for n, data in enumerate(batch.column("words")):
+                held = np.frombuffer(data.as_buffer(), np.uint32)
+                if is_first[n]:
+                    current = held
+                    firsts.append(held)
+                    continue
+                place, shift = places[edges[n]:edges[n + 1]], shifts[edges[n]:edges[n + 1]]
+                size = np.ones(len(place), np.int64)
+                seeds.append((size * len(own), size * (len(firsts) - 1), place - starts[n],
+                              place - shift))
+                own.append(held)
+                rows.append(n)
+            if not rows:
+                continue
+            a, b = Ladder(own), Ladder(firsts)
+            which, partner, i, j = (np.concatenate(x) for x in zip(*seeds))
+            # Hits lie by their texts; a stretch that was cut starts at ``from``.
+            which, start, end = passages(a, b, which, partner, i + a.first[which],
+                                         j + b.first[partner], least, percent)
+            spans: list[list] = [[] for _ in rows]
+            for k, x, y in zip(which.tolist(), start.tolist(), end.tolist()):
+                spans[k].append((x + starts[rows[k]], y + starts[rows[k]]))
+            taken = pa.array([n for n, own_ in zip(rows, spans) if own_], pa.int64())
+            out = [[{"start": x, "end": y} for x, y in _merged(own_)] for own_ in spans if own_]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(taken) for c in ("id", "text_hash", "other")),
+                 pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                names=["id", "text_hash", "other", "spans"])
+
+    return mapped(streamed.select("other", "id", "text_hash", "words", "from", "hits"), work,
+                  f"id {kind}, text_hash long, other {kind}, spans {_SPANS}")
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-            percent: int = PERCENT) -> DataFrame:
+            percent: int = PERCENT, functions: int = FUNCTIONS) -> DataFrame:
     """id, text_hash and spans (start, end in words, of: an earlier id), if there are any."""
-    met = hits(df, id_col, text_col, least)
-    checked = kept(verified(df, met, id_col, text_col, least, percent), "checked")
-    # Centres that the first holder's passage does not cover may have another partner.
-    live = kept(checked.select("id", F.explode("keys").alias("k")).groupBy("k.key").agg(
-        F.max("k.open").alias("open"), F.min("id").alias("a"), F.max("id").alias("b"))
-        .where("open and a <> b").select("key"), "live")
-    n = live.count()
-    if n:
-        more = hits(df, id_col, text_col, least, bloom(live, n))
-        checked = checked.unionByName(verified(df, more, id_col, text_col, least, percent))
-    each = checked.select("id", "text_hash", "other", F.explode("spans").alias("span"))
-    # Both passes may tell parts of one passage of a pair.
+    width, joint, open_, found = least - SHINGLE + 1, 1, None, []
+    while True:
+        met = hits(df, id_col, text_col, least, functions, joint, open_)
+        pairs = kept(met.groupBy("id", "other").agg(F.collect_list("hit").alias("hits")), "pairs")
+        if found and pairs.isEmpty():
+            break
+        proposed = pairs
+        if joint < ENOUGH:
+            # Windows of two functions that overlap in a passage.
+            proposed = pairs.where(F.expr(
+                "exists(hits, a -> exists(hits, b -> a.function < b.function and "
+                f"least(a.right, b.right) - greatest(a.left, b.left) + 1 >= {width}))"))
+        found.append(kept(verified(df, proposed, id_col, text_col, least, percent), "found"))
+        # What no passage of the document covers may have another partner.
+        covered = found[-1].groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        uncovered = "filter(hits, h -> not exists(spans, s -> h.place >= s.start and h.place < s.end))"
+        left = pairs.join(covered, "id", "left").withColumn(
+            "spans", F.coalesce("spans", F.array().cast(_SPANS))).select(
+            "id", F.explode(F.expr(uncovered)).alias("hit"))
+        open_ = kept(left.groupBy("id").agg(F.collect_set(
+            F.col("hit.function").cast("long") * F.lit(1 << 40) + F.col("hit.place")).alias("places")),
+            "open")
+        if open_.isEmpty():
+            break
+        joint = min(2 * joint, functions)
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    each = whole.select("id", "text_hash", "other", F.explode("spans").alias("span"))
+    # Several rounds may tell parts of one passage of a pair.
     told = each.groupBy("id", "text_hash", "other").agg(F.sort_array(F.collect_set("span"))
                                                         .alias("spans"))
     each = told.select("id", "text_hash", "other", F.explode(_joined_spans("spans")).alias("span"))
@@ -369,78 +535,6 @@ def _joined_spans(spans: str):
         "concat(done, array(s))))")
 
 
-def verified(df: DataFrame, met: DataFrame, id_col: str, text_col: str, least: int,
-             percent: int) -> DataFrame:
-    """id, other, text_hash, spans and keys (open: no span holds the place) of pairs with hits."""
-    kind = df.schema[id_col].dataType.simpleString()
-    met = kept(met.groupBy("id", "other").agg(F.collect_set("hit").alias("hits")), "hits")
-    everyone = met.select("id").unionByName(met.select(F.col("other").alias("id")))
-    texts = kept(_words_of(df, everyone, id_col, text_col), "words")
-
-    of_other = met.join(texts.select(F.col("id").alias("other"), F.col("own.words").alias("words")),
-                        "other")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The other's words beside the hits, by their place in the first document."""
-        for batch in slices(batches, 64):
-            parts = []
-            for given, own in zip(batch.column("hits").to_pylist(), batch.column("words")):
-                own = np.frombuffer(own.as_buffer(), dtype=np.uint32)
-                by_shift: dict[int, list] = {}
-                for hit in given:
-                    by_shift.setdefault(hit["shift"], []).append(
-                        (hit["place"] - REACH, hit["place"] + REACH))
-                row = []
-                for shift, spans in by_shift.items():
-                    for a, b in _merged(spans):
-                        a = max(a, shift, 0)
-                        row.append({"start": a, "shift": shift,
-                                    "words": own[a - shift:max(b - shift, 0)].tobytes()})
-                parts.append(row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("other"), batch.column("hits"),
-                 pa.array(parts, part_type)], names=["id", "other", "hits", "parts"])
-
-    part_type = pa.list_(pa.struct([("start", pa.int32()), ("shift", pa.int32()),
-                                    ("words", pa.binary())]))
-    parts = mapped(of_other.select("id", "other", "hits", "words"), cut,
-                   f"id {kind}, other {kind}, hits array<struct<place:int,shift:int,key:long>>, "
-                   "parts array<struct<start:int,shift:int,words:binary>>")
-    both = parts.join(texts.select("id", "own.text_hash", "own.words"), "id")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            spans, keys = [], []
-            for given, met_, own in zip(batch.column("parts").to_pylist(),
-                                        batch.column("hits").to_pylist(), batch.column("words")):
-                own = np.frombuffer(own.as_buffer(), dtype=np.uint32)
-                found = []
-                for part in given:
-                    start, shift = part["start"], part["shift"]
-                    other = np.frombuffer(part["words"], dtype=np.uint32)
-                    equal = equal_runs(own, start, other)
-                    if equal == [(start, start + len(other))]:
-                        found.append((*equal[0], shift))
-                    else:
-                        found += [(a, b, shift + more)
-                                  for a, b, more in aligned_runs(own, start, other)]
-                # Repeated words fit at many shifts; what they cover is told once.
-                told = chained(found, least, percent)
-                spans.append([{"start": a, "end": b} for a, b in told])
-                keys.append([{"key": hit["key"], "open": not any(
-                    a <= hit["place"] < b for a, b in told)} for hit in met_])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("other"), batch.column("text_hash"),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()),
-                                                     ("end", pa.int32())]))),
-                 pa.array(keys, pa.list_(pa.struct([("key", pa.int64()), ("open", pa.bool_())])))],
-                names=["id", "other", "text_hash", "spans", "keys"])
-
-    return mapped(both.select("id", "other", "text_hash", "hits", "parts", "words"), verify,
-                  f"id {kind}, other {kind}, text_hash long, "
-                  "spans array<struct<start:int,end:int>>, keys array<struct<key:long,open:boolean>>")
-
-
 def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``df`` with the spans of ``repeats`` cut out of the texts; first copies stay.
