@@ -18,7 +18,7 @@ def test_compact_windows():
         for a, b in zip(starts[:-1], starts[1:]):
             for i in range(a, b):
                 x = y = i
-                while x - 1 >= a and values[x - 1] >= values[i]:
+                while x - 1 >= a and values[x - 1] > values[i]:
                     x -= 1
                 while y + 1 < b and values[y + 1] >= values[i]:
                     y += 1
@@ -243,3 +243,24 @@ def test_long_texts(make):
     assert [(s.start, s.end, s.of) for s in got[2]] == [(1, 81, 1)] and set(got) >= {2, 4, 5}
     assert max(s.end - s.start for s in got[5]) >= 200_000
     assert max(s.end for s in got[4]) - min(s.start for s in got[4]) == 100_000
+
+
+def test_common_windows():
+    """Every subsequence is in one common window, whose key tells all its least hashes."""
+    rng = np.random.default_rng(6)
+    for trial in range(12):
+        values = rng.integers(1, 8 if trial % 3 == 0 else 2**60, 60).astype(np.uint64)
+        starts, width = np.array([0, 25, 60]), 6
+        each = [substrings.Windows.of(values, starts, width, f) for f in range(3)]
+        found = each[0].intersected(each[1], width).intersected(each[2], width)
+        keys = {}
+        for a, b in zip(starts[:-1], starts[1:]):
+            for i in range(a, b - width + 1):
+                for j in range(i + width - 1, b):
+                    inside = np.flatnonzero((found.left <= i) & (i <= found.low)
+                                            & (found.high <= j) & (j <= found.right))
+                    assert len(inside) == 1
+                    least = tuple(int(substrings.mixed(values[i:j + 1] * substrings._FACTORS[f]).min())
+                                  for f in range(3))
+                    assert keys.setdefault(int(found.key[inside[0]]), least) == least
+        assert len(set(keys.values())) == len(keys)

@@ -20,9 +20,10 @@ past their partners, those with many in several places, and never copied to each
 
 A first holder may share too little around its centre. So windows that no verified passage
 covers meet again in rounds, without the first holders they have met, and by finer keys:
-windows of two functions, then four, then all, are intersected, and those long enough for
-a passage are joined by all their least hashes. A common line thus parts from its
-neighbourhoods after few rounds. Rounds end when no two such windows meet.
+windows of two functions, then three, then all, are intersected, and those long enough
+for a passage are joined by all their least hashes. A common line thus parts from its
+neighbourhoods after few rounds. Rounds end when no two such windows meet. A verbatim
+passage has every key; an edited one fewer of them the finer they are.
 
 Defined results: null, empty and short texts have no windows and no repeats, nor have
 rows without an id. Repeats within one document do not count. Ids are meant to be
@@ -106,7 +107,8 @@ def compact_windows(values: np.ndarray, starts: np.ndarray, width: int):
 
 
 def _smaller_beside(heights: list[int], places: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Place of the nearest smaller height before and after each; both ends are zeros."""
+    """Place of the nearest height before each that is no larger, and of the nearest smaller one
+    after it; both ends are zeros."""
     n = len(heights)
     left, right = [0] * n, [0] * n
     stack: list[int] = []
@@ -115,55 +117,76 @@ def _smaller_beside(heights: list[int], places: list[int]) -> tuple[np.ndarray,
         while stack and heights[stack[-1]] > height:
             right[stack.pop()] = places[k]
         j = stack[-1] if stack else k
-        # An equal height before shares its limit.
-        left[k] = left[j] if stack and heights[j] == height else places[j]
+        # Of equal heights the first one counts, so every subsequence has one window.
+        left[k] = places[j]
         stack.append(k)
     return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
 class Windows:
-    """Windows of several texts under one function, by text and centre.
+    """Windows of several texts under one function, or common ones under several.
 
-    ``left``, ``centre`` and ``right`` count shingles from the start of ``values``; a
-    text's own are got by taking its ``first`` off.
+    A window stands for the subsequences that start between ``left`` and ``low`` and end
+    between ``high`` and ``right``; ``low`` and ``high`` are its first and last centre.
+    Places count shingles over all texts; ``centre`` is that of the first function.
     """
 
-    def __init__(self, shingles: np.ndarray, starts: np.ndarray, width: int, function: int):
+    _COLUMNS = ("key", "centre", "left", "low", "high", "right")
+
+    def __init__(self, **columns: np.ndarray):
+        for name in self._COLUMNS:
+            setattr(self, name, columns[name])
+
+    @classmethod
+    def of(cls, shingles: np.ndarray, starts: np.ndarray, width: int, function: int) -> "Windows":
         hashed = np.maximum(mixed(shingles * _FACTORS[function]), np.uint64(1))
-        found = compact_windows(hashed, starts, width)
-        order = np.argsort(found[0], kind="stable")
-        self.centre, self.left, self.right = (x[order] for x in found)
-        self.key = mixed(hashed[self.centre] + _FACTORS[function])
+        centre, left, right = compact_windows(hashed, starts, width)
+        return cls(key=mixed(hashed[centre] + _FACTORS[function]), centre=centre, left=left,
+                   low=centre, high=centre, right=right)
 
     def chosen(self, which: np.ndarray) -> "Windows":
-        out = object.__new__(Windows)
-        for name in ("key", "centre", "left", "right"):
-            setattr(out, name, getattr(self, name)[which])
-        return out
+        return Windows(**{name: getattr(self, name)[which] for name in self._COLUMNS})
+
+    def _beside(self, other: "Windows") -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of windows whose ranges of starts may overlap, all that do included.
+
+        The other's ranges are looked up by classes of length, so that a long one does not
+        widen the search for the short ones.
+        """
+        size = np.frexp((other.low - other.left + 1).astype(np.float64))[1]
+        mine, theirs = [], []
+        for k in np.unique(size):
+            own = np.flatnonzero(size == k)
+            own = own[np.argsort(other.low[own], kind="stable")]
+            first = np.searchsorted(other.low[own], self.left)
+            last = np.searchsorted(other.low[own], self.low + (1 << int(k)))
+            n = np.maximum(last - first, 0)
+            mine.append(np.repeat(np.arange(len(n)), n))
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+            theirs.append(own[at])
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *mine]), np.concatenate([none, *theirs])
 
     def intersected(self, other: "Windows", width: int) -> "Windows":
-        """Common parts that hold both centres and are long enough."""
-        low = np.searchsorted(other.centre, self.left)
-        high = np.searchsorted(other.centre, self.right, side="right")
-        n = np.maximum(high - low, 0)
-        mine = np.repeat(np.arange(len(n)), n)
-        theirs = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        out = self.chosen(mine)
-        out.left = np.maximum(out.left, other.left[theirs])
-        out.right = np.minimum(out.right, other.right[theirs])
-        out.key = mixed(out.key ^ mixed(other.key[theirs] * _STEP))
-        holds = (out.left <= np.minimum(self.centre[mine], other.centre[theirs])) & (
-            out.right >= np.maximum(self.centre[mine], other.centre[theirs])) & (
-            out.right - out.left + 1 >= width)
-        return out.chosen(holds)
+        """Common subsequences of at least ``width`` places; each is in one of the results."""
+        mine, theirs = self._beside(other)
+        left = np.maximum(self.left[mine], other.left[theirs])
+        low = np.minimum(self.low[mine], other.low[theirs])
+        high = np.maximum(self.high[mine], other.high[theirs])
+        right = np.minimum(self.right[mine], other.right[theirs])
+        common = np.flatnonzero((left <= low) & (high <= right) & (right - left + 1 >= width))
+        mine, theirs = mine[common], theirs[common]
+        return Windows(key=mixed(self.key[mine] ^ mixed(other.key[theirs] * _STEP)),
+                       centre=self.centre[mine], left=left[common], low=low[common],
+                       high=high[common], right=right[common])
 
 
 def windows_of(w: Words, least: int, functions: int, joint: int,
                open_: list | None = None) -> dict[str, np.ndarray]:
     """Windows of all texts: key, text, function, place, left and right (in its shingles).
 
-    Windows of ``joint`` functions each are intersected; of the first one only those
-    with an ``open_`` number (function * 2**40 + place) in the text's list.
+    Functions are taken ``joint`` at a time and their windows intersected; of the first one
+    only those with an ``open_`` number (function * 2**40 + place) in the text's list.
     """
     width = least - SHINGLE + 1
     counts = np.diff(w.first)
@@ -173,7 +196,6 @@ def windows_of(w: Words, least: int, functions: int, joint: int,
     text = np.repeat(long, n)
     own = np.arange(starts[-1]) - np.repeat(starts[:-1], n)
     shingles = runs(w.hashes, SHINGLE)[w.first[text] + own] if len(long) else np.empty(0, np.uint64)
-    each = [Windows(shingles, starts, width, f) for f in range(functions)]
     out = {name: [] for name in ("key", "text", "function", "place", "left", "right")}
     wanted = None
     if open_ is not None:
@@ -181,11 +203,12 @@ def windows_of(w: Words, least: int, functions: int, joint: int,
         wanted = [np.array(sorted(offset[t] + (x & (1 << 40) - 1) for t, xs in enumerate(open_)
                                   if t in offset for x in xs if x >> 40 == f), np.int64)
                   for f in range(functions)]
-    for f, found in enumerate(each):
+    for f in range(0, functions, joint):
+        found = Windows.of(shingles, starts, width, f)
         if wanted is not None:
             found = found.chosen(np.isin(found.centre, wanted[f]))
-        for more in range(1, joint):
-            found = found.intersected(each[(f + more) % functions], width)
+        for more in range(f + 1, f + joint):
+            found = found.intersected(Windows.of(shingles, starts, width, more), width)
         at = np.searchsorted(starts, found.centre, side="right") - 1
         out["key"].append(found.key)
         out["text"].append(long[at])
@@ -510,7 +533,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
             "open")
         if open_.isEmpty():
             break
-        joint = min(2 * joint, functions)
+        joint = next((n for n in range(joint + 1, functions) if functions % n == 0), functions)
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
