@@ -233,6 +233,16 @@ def test_a_passage_twice_in_one_document(make):
             (2, [(0, 60, 1), (62, 122, 1)])]
 
 
+def test_rows_that_share_an_id(make):
+    words = [f"t{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, "other text"), (2, " ".join(["a", *words])),
+            (2, " ".join(["b", "c", *words])), (3, " ".join(words)), (3, " ".join(words))]
+    df = make("doc_id long, text string", *rows)
+    got = substrings.repeats(df).collect()
+    assert {r.doc_id for r in got} - {2} == {3} and len(got) <= 3
+    assert substrings.without_repeats(df, substrings.repeats(df)).count() == len(rows)
+
+
 def test_long_texts(make):
     rnd = random.Random(4)
     passage = " ".join(f"z{i}" for i in range(80))

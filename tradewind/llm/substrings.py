@@ -20,9 +20,9 @@ past their partners, those with many in several places, and never copied to each
 
 A first holder may share too little around its centre. So windows that no verified passage
 covers meet again in rounds, without the first holders they have met, and by finer keys:
-windows of two functions, then three, then all, are intersected, and those long enough
-for a passage are joined by all their least hashes. A common line thus parts from its
-neighbourhoods after few rounds. Rounds end when no two such windows meet. A verbatim
+windows of two functions, then of all, then of twice as many each time are intersected, and
+those long enough for a passage are joined by all their least hashes. Common lines thus
+part from their neighbourhoods after few rounds. Rounds end when no two such windows meet. A verbatim
 passage has every key; an edited one fewer of them the finer they are.
 
 Defined results: null, empty and short texts have no windows and no repeats, nor have
@@ -61,7 +61,9 @@ PARTNERS = 1000
 TEXT_BYTES = 1 << 20
 
 _RNG = np.random.default_rng(9)
-_FACTORS = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Odd factors of hash functions; rounds that need more than these do not occur: passages that
+# differ at all share the least hashes of so many functions once in 10**9.
+_FACTORS = _RNG.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
@@ -203,7 +205,7 @@ def windows_of(w: Words, least: int, functions: int, joint: int,
         wanted = [np.array(sorted(offset[t] + (x & (1 << 40) - 1) for t, xs in enumerate(open_)
                                   if t in offset for x in xs if x >> 40 == f), np.int64)
                   for f in range(functions)]
-    for f in range(0, functions, joint):
+    for f in range(0, functions - joint + 1, joint):
         found = Windows.of(shingles, starts, width, f)
         if wanted is not None:
             found = found.chosen(np.isin(found.centre, wanted[f]))
@@ -506,34 +508,54 @@ def verified(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str, least:
                   f"id {kind}, text_hash long, other {kind}, spans {_SPANS}")
 
 
+def _one_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with the text that counts for their id; only repeated ids' texts are looked at."""
+    plain = df.select(id_col, text_col)
+    several = kept(plain.groupBy(id_col).count().where("count > 1").select(id_col), "several")
+    if several.isEmpty():
+        return plain
+    chosen = plain.join(several, id_col).groupBy(id_col).agg(
+        F.min(F.xxhash64(text_col)).alias("_text_hash"))
+    return plain.join(chosen, id_col, "left").where(
+        F.coalesce(F.col("_text_hash") == F.xxhash64(text_col), F.lit(True))).select(id_col, text_col)
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
             percent: int = PERCENT, functions: int = FUNCTIONS) -> DataFrame:
     """id, text_hash and spans (start, end in words, of: an earlier id), if there are any."""
+    df = _one_text(df, id_col, text_col)
     width, joint, open_, found = least - SHINGLE + 1, 1, None, []
+    # Windows of two functions that overlap in a passage.
+    overlap = ("size(hits) > 1 and exists(hits, a -> exists(hits, b -> a.function < b.function and "
+               f"least(a.right, b.right) - greatest(a.left, b.left) + 1 >= {width}))")
     while True:
-        met = hits(df, id_col, text_col, least, functions, joint, open_)
-        pairs = kept(met.groupBy("id", "other").agg(F.collect_list("hit").alias("hits")), "pairs")
+        met = hits(df, id_col, text_col, least, max(functions, joint), joint, open_)
+        enough = F.lit(True) if joint >= ENOUGH else F.expr(overlap)
+        pairs = kept(met.groupBy("id", "other").agg(F.collect_list("hit").alias("hits"))
+                     .withColumn("enough", enough), "pairs")
         if found and pairs.isEmpty():
             break
-        proposed = pairs
-        if joint < ENOUGH:
-            # Windows of two functions that overlap in a passage.
-            proposed = pairs.where(F.expr(
-                "exists(hits, a -> exists(hits, b -> a.function < b.function and "
-                f"least(a.right, b.right) - greatest(a.left, b.left) + 1 >= {width}))"))
-        found.append(kept(verified(df, proposed, id_col, text_col, least, percent), "found"))
+        found.append(kept(verified(df, pairs.where("enough").drop("enough"), id_col, text_col,
+                                   least, percent), "found"))
         # What no passage of the document covers may have another partner.
         covered = found[-1].groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
         uncovered = "filter(hits, h -> not exists(spans, s -> h.place >= s.start and h.place < s.end))"
         left = pairs.join(covered, "id", "left").withColumn(
             "spans", F.coalesce("spans", F.array().cast(_SPANS))).select(
             "id", F.explode(F.expr(uncovered)).alias("hit"))
+        # Functions are taken together: two of the first ones, then all, then twice as many.
+        joint = 2 * joint if joint >= functions else 2 if joint == 1 < functions // 2 else functions
+        if joint <= functions:
+            left = left.where(F.col("hit.function") % joint == 0)
         open_ = kept(left.groupBy("id").agg(F.collect_set(
             F.col("hit.function").cast("long") * F.lit(1 << 40) + F.col("hit.place")).alias("places")),
             "open")
         if open_.isEmpty():
             break
-        joint = next((n for n in range(joint + 1, functions) if functions % n == 0), functions)
+        if joint > 2:
+            # Later rounds read only the texts that still take part.
+            df = kept(df.select(id_col, text_col).join(
+                open_.select(F.col("id").alias(id_col)), id_col, "left_semi"), "texts")
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
