@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import column
 from tradewind.operators.cleaning import DataQualityError, dedupe_first
 from tradewind.schemas import RAW_SCHEMAS
-from tradewind.sources import files, tables
+from tradewind.sources import files, keyed, tables
 
 
 READ_ERRORS = (PySparkException, Py4JJavaError)
@@ -83,10 +83,10 @@ def test_upsert_inserts_replaces_and_is_idempotent(spark, make, tmp_path):
     path = str(tmp_path / "t")
     schema = "k int, a string, b int"
     assert tables.load_existing(spark, path) is None
-    tables.upsert_table(spark, path, make(schema, (1, "x", 1), (2, "y", 2)), ["k"])
+    keyed.upsert_table(spark, path, make(schema, (1, "x", 1), (2, "y", 2)), ["k"])
     updates = make(schema, (2, "Y", 20), (3, "z", 3))
-    once = sorted(tables.upsert_table(spark, path, updates, ["k"]).collect())
-    twice = sorted(tables.upsert_table(spark, path, updates, ["k"]).collect())
+    once = sorted(keyed.upsert_table(spark, path, updates, ["k"]).collect())
+    twice = sorted(keyed.upsert_table(spark, path, updates, ["k"]).collect())
     assert once == twice == [(1, "x", 1), (2, "Y", 20), (3, "z", 3)]
 
 

@@ -17,7 +17,7 @@ from tradewind.operators import aggregates, cleaning, ordering, profiling, quali
 from tradewind.plans import customers, metrics, pipeline, products, revenue, rfm, sellers, views
 from tradewind.schemas import DEFAULT_RULES
 from tradewind.session import configure, scratch_path, settle, stored
-from tradewind.sources import files, retail, tables
+from tradewind.sources import files, keyed, retail, tables
 from tradewind.streaming import refresh
 
 # Load time written into lineage columns, fixed so that runs can be compared.
@@ -119,8 +119,8 @@ def _dim_updates(spark, folder):
 def upsert_table(spark, folder):
     path = scratch_path(spark, "upsert")
     dim, updates = _dim_updates(spark, folder)
-    tables.upsert_table(spark, path, dim, ["customer_id"])
-    return tables.upsert_table(spark, path, updates, ["customer_id"])
+    keyed.upsert_table(spark, path, dim, ["customer_id"])
+    return keyed.upsert_table(spark, path, updates, ["customer_id"])
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.schemas import STAGED_TABLES
-from tradewind.session import settle, stored, together
+from tradewind.session import stored, together
 from tradewind.sources.files import children, delete_path, path_exists
 
 RFM_EXPORT = (
@@ -59,6 +59,11 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return [n for n in numbers if path_exists(spark, f"{path}/v={n}/_SUCCESS")]
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the latest finished version; 0 before the first."""
+    return max(_versions(spark, path), default=0)
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """Latest finished version of a table."""
     versions = _versions(spark, path)
@@ -78,7 +83,8 @@ def previous_version(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v={versions[-2]}") if len(versions) > 1 else None
 
 
-def write_version(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+def write_version(df: DataFrame, path: str, keep: int = 2,
+                  read_back: bool = True) -> DataFrame | None:
     """Store the rows as the next version, drop all but the last ``keep``, read it back.
 
     A reader that opened the version before may finish; older ones are gone.
@@ -90,7 +96,7 @@ def write_version(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     df.write.mode("overwrite").parquet(f"{path}/v={number}")
     for old in [*versions, number][:-keep]:
         delete_path(spark, f"{path}/v={old}")
-    return read_current(spark, path)
+    return read_current(spark, path) if read_back else None
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> None:
@@ -98,9 +104,11 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> None:
     if not keys:
         return
     empty = " or ".join(f"`{k}` is null" for k in keys)
-    if not df.where(empty).isEmpty():
+    worst = df.groupBy(*keys).count().agg(
+        F.max(F.expr(empty)).alias("empty"), F.max("count").alias("count")).head()
+    if worst["empty"]:
         raise DataQualityError(f"a key of {list(keys)} holds a null")
-    if not df.groupBy(*keys).count().filter("count > 1").isEmpty():
+    if (worst["count"] or 0) > 1:
         raise DataQualityError(f"updates repeat a key of {list(keys)}")
 
 
@@ -117,18 +125,6 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
-def upsert_table(
-    spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """Upsert into a versioned table, creating it on first use."""
-    updates = settle(updates)  # checked, matched and written
-    current = load_existing(spark, path)
-    if current is None:
-        require_keys(updates, keys)
-        return write_version(updates, path)
-    return write_version(upsert(current, updates, keys), path)
-
-
 # --- layers ----------------------------------------------------------------
 
 
