@@ -5,10 +5,13 @@ words before a seed, and the word before it with the word after it, are its lexi
 patterns. A pattern that surrounds enough different seeds is looked up in all texts
 again, where it also meets fillers that no expression knows. Patterns and fillers make a
 graph, scored in rounds: a pattern by the share of its fillers that are of a kind, an
-unknown filler by the patterns it stands in. Unknown fillers that look like identifiers
-(a digit or @, five characters or more) become spans of the kind when pattern and filler
-both end above the threshold. A filler runs to the end of the identifier-like words,
-however many. Base spans always stay.
+unknown filler by the patterns it stands in. What a pattern says of a filler never comes
+back to it: a filler counts for a pattern only when its *other* contexts alone put it
+above the threshold. The two patterns of one place share words, so they do not vouch for
+each other either; patterns of one form do, as they are different places. Unknown fillers
+that look like identifiers (a digit or @, five characters or more) become spans of the
+kind when pattern and filler both end above the threshold. A filler runs to the end of
+the identifier-like words, however many. Base spans always stay.
 
 Ordinary words that fill a pattern count against it, so a pattern of common words, which
 happens to surround seeds, finds nothing.
@@ -197,23 +200,23 @@ def occurrences(df: DataFrame, may: Bloom, id_col: str, text_col: str) -> DataFr
             last = np.where(marked, run_end, first)
             two, around = _patterns(*_neighbours(w, first, last, text))
             rows = []
-            for pattern in (two, around):
+            for form, pattern in enumerate((two, around)):
                 at = np.flatnonzero(bloom_.may_hold(pattern))
                 size = (w.ends[last[at]] - w.starts[at])
                 like = marked[at] & (size >= 5)
                 plain_, counts = np.unique(pattern[at[~like]], return_counts=True)
-                rows += [(None, None, p, None, None, None, None, c) for p, c in
+                rows += [(None, form, p, None, None, None, None, c) for p, c in
                          zip(plain_.view(np.int64).tolist(), counts.tolist())]
                 at = at[like]
                 fillers = _fillers(w, at, last[at])
                 for k, (i, f) in enumerate(zip(at.tolist(), fillers.tolist())):
                     t = int(text[i])
-                    rows.append((t, None, int(pattern[i].view(np.int64)), f,
+                    rows.append((t, form, int(pattern[i].view(np.int64)), f,
                                  int(w.starts[i]), int(w.ends[last[i]]), None, 1))
             yield from _rows(batch, rows, raw, offsets)
 
-    return mapped(plain, work, f"id {kind}, text_hash long, pattern long, filler long, "
-                               "start int, end int, kind string, n long")
+    return mapped(plain, work, f"id {kind}, text_hash long, form int, pattern long, "
+                               "filler long, start int, end int, kind string, n long")
 
 
 def _rows(batch, rows, raw, offsets) -> Iterator[pa.RecordBatch]:
@@ -221,58 +224,75 @@ def _rows(batch, rows, raw, offsets) -> Iterator[pa.RecordBatch]:
     spans: dict[int, tuple] = {}
     ready = []
     column = batch.column("text")
-    for t, _, pattern, filler, a, b, _, n in rows:
+    for t, form, pattern, filler, a, b, _, n in rows:
         if t is None:
-            ready.append((None, pattern, None, None, None, None, n))
+            ready.append((None, form, pattern, None, None, None, None, n))
             continue
         if t not in spans:
             spans[t] = (_points(raw[offsets[t]:offsets[t + 1]]), base_spans(column[t].as_py()))
         points, base = spans[t]
         a, b = (int(np.searchsorted(points, x)) for x in (a, b))
         held = next((k for x, y, k in base if x < b and a < y), None)
-        ready.append((t, pattern, filler, a, b, held, n))
+        ready.append((t, form, pattern, filler, a, b, held, n))
     if ready:
         place = pa.array([r[0] for r in ready], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("id").take(place), batch.column("text_hash").take(place),
              *(pa.array([r[k] for r in ready], kind) for k, kind in
-               ((1, pa.int64()), (2, pa.int64()), (3, pa.int32()), (4, pa.int32()),
-                (5, pa.string()), (6, pa.int64())))],
-            names=["id", "text_hash", "pattern", "filler", "start", "end", "kind", "n"])
+               ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()), (4, pa.int32()),
+                (5, pa.int32()), (6, pa.string()), (7, pa.int64())))],
+            names=["id", "text_hash", "form", "pattern", "filler", "start", "end", "kind", "n"])
 
 
-def scored(edges: DataFrame, rounds: int) -> DataFrame:
-    """Score of (pattern, kind) after ``rounds`` over the graph.
+def scored(edges: DataFrame, rounds: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Score of (pattern, form, kind) after ``rounds`` over the graph.
 
-    ``edges``: pattern, filler (null: ordinary words), kind of a base filler, n.
-    A pattern's score is the share of its fillers, weighted by theirs, that are of the
-    kind; a filler without a kind has one minus the product of what its patterns leave.
+    ``edges``: pattern, form, filler (null: ordinary words), kind of a base filler, n.
+    A pattern's score is the share of its fillers that are of the kind, by form or because
+    their other patterns say so; see ``vouched``.
     """
-    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    known = edges.where("kind is not null").groupBy("pattern", "kind").agg(
+    total = edges.groupBy("pattern", "form").agg(F.sum("n").alias("total"))
+    known = edges.where("kind is not null").groupBy("pattern", "form", "kind").agg(
         F.sum("n").alias("known"))
-    scores = kept(known.join(total, "pattern").select(
-        "pattern", "kind", "known", "total", (F.col("known") / F.col("total")).alias("score")),
-        "patterns")
-    open_ = edges.where("kind is null and filler is not null").select("pattern", "filler", "n")
+    scores = kept(known.join(total, ["pattern", "form"]).select(
+        "pattern", "form", "kind", "known", "total",
+        (F.col("known") / F.col("total")).alias("score")), "patterns")
+    open_ = edges.where("kind is null and filler is not null").select(
+        "pattern", "form", "filler", "n")
     for _ in range(rounds):
-        fillers = filler_scores(open_, scores)
-        more = open_.join(fillers, "filler").groupBy("pattern", F.col("filler_kind").alias("kind")
-                                                     ).agg(F.sum(F.col("n") * F.col("filler_score"))
-                                                           .alias("more"))
-        scores = kept(scores.drop("score").join(more, ["pattern", "kind"], "left").select(
-            "pattern", "kind", "known", "total",
-            ((F.col("known") + F.coalesce("more", F.lit(0.0))) / F.col("total")).alias("score")),
+        more = vouched(open_, scores, threshold).groupBy("pattern", "form", "kind").agg(
+            F.sum("n").alias("more"))
+        if more.isEmpty():
+            break
+        scores = kept(scores.drop("score").join(more, ["pattern", "form", "kind"], "left").select(
+            "pattern", "form", "kind", "known", "total",
+            ((F.col("known") + F.coalesce("more", F.lit(0))) / F.col("total")).alias("score")),
             "patterns")
     return scores
 
 
+def _doubt():
+    """What a pattern leaves open of a filler; a sure pattern leaves a little."""
+    return F.greatest(1 - F.col("score"), F.lit(1e-9))
+
+
+def vouched(open_: DataFrame, scores: DataFrame, threshold: float) -> DataFrame:
+    """(pattern, form, kind, filler, n) where the filler's other patterns of that form
+    alone make it one of the kind: one minus the product of what they leave."""
+    met = open_.join(scores.select("pattern", "form", "kind", "score"), ["pattern", "form"])
+    rest = met.groupBy("filler", "form", "kind").agg(F.sum(F.log(_doubt())).alias("rest"))
+    others = 1 - F.exp(F.col("rest") - F.log(_doubt()))
+    return met.join(rest, ["filler", "form", "kind"]).where(others >= threshold - 1e-9).select(
+        "pattern", "form", "kind", "filler", "n")
+
+
 def filler_scores(open_: DataFrame, scores: DataFrame) -> DataFrame:
-    """Score of (filler, kind) of fillers without a kind."""
-    met = open_.select("pattern", "filler").distinct().join(scores, "pattern")
-    return met.groupBy("filler", F.col("kind").alias("filler_kind")).agg(
-        (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias(
-            "filler_score"))
+    """Score of (filler, kind) of fillers without a kind, by the form that says most."""
+    met = open_.select("pattern", "form", "filler").distinct().join(scores, ["pattern", "form"])
+    by_form = met.groupBy("filler", "form", "kind").agg(
+        (1 - F.exp(F.sum(F.log(_doubt())))).alias("score"))
+    return by_form.groupBy("filler", F.col("kind").alias("filler_kind")).agg(
+        F.max("score").alias("filler_score"))
 
 
 def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -296,13 +316,14 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         seen = kept(occurrences(df, bloom(patterns, n), id_col, text_col)
                     .join(patterns, "pattern", "left_semi"), "occurrences")
-        edges = kept(seen.groupBy("pattern", "filler", "kind").agg(F.sum("n").alias("n")), "edges")
-        scores = scored(edges, rounds)
-        open_ = edges.where("kind is null and filler is not null").select("pattern", "filler", "n")
-        sure = filler_scores(open_, scores).where(F.col("filler_score") >= threshold)
-        good = scores.where(F.col("score") >= threshold).select("pattern", "kind")
+        edges = kept(seen.groupBy("pattern", "form", "filler", "kind").agg(F.sum("n").alias("n")), "edges")
+        scores = scored(edges, rounds, threshold)
+        open_ = edges.where("kind is null and filler is not null").select("pattern", "form",
+                                                                          "filler")
+        sure = filler_scores(open_, scores).where(F.col("filler_score") >= threshold - 1e-9)
+        good = scores.where(F.col("score") >= threshold).select("pattern", "form", "kind")
         hits = (seen.where("kind is null and filler is not null").drop("kind")
-                .join(good, "pattern").join(
+                .join(good, ["pattern", "form"]).join(
                     sure.select("filler", F.col("filler_kind").alias("kind")), ["filler", "kind"]))
         found = hits.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct(
             "start", "end", "kind"))).alias("found"))
