@@ -104,7 +104,7 @@ MONTHLY = f"""SELECT order_purchase_ym AS year_month, {dbl('SUM(total_value)', '
   CAST(substr(order_purchase_ym, 1, 4) AS BIGINT) AS year,
   CAST(substr(order_purchase_ym, 6, 2) AS BIGINT) AS month, {LOADED}
 FROM arrived GROUP BY order_purchase_ym"""
-for key in ("agg_monthly_revenue", "etl_flagship", "load_existing"):
+for key in ("agg_monthly_revenue", "etl_flagship", "etl_by_keys", "load_existing"):
     put(key, MONTHLY)
 
 # --- views -----------------------------------------------------------------

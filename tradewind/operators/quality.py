@@ -326,14 +326,29 @@ def load_gate(
     The fact has lost its rows with unknown references by then, so these are counted
     where the keys come from, in the cleaned orders and items, at one row per key.
     """
-    own = {name: replace(rule, foreign_keys={}) for name, rule in rules.items()}
-    parts = [threshold_gate(loaded, own)]
+    return row_gate(loaded, rules).unionByName(
+        reference_gate(tables, loaded, max_broken, rules))
+
+
+def row_gate(
+    loaded: Mapping[str, DataFrame], rules: Mapping[str, GateRules] = GATE_RULES
+) -> DataFrame:
+    """Limits of each table on its own."""
+    return threshold_gate(loaded, {n: replace(r, foreign_keys={}) for n, r in rules.items()})
+
+
+def reference_gate(
+    tables: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
+    max_broken: float = MAX_FK_VIOLATIONS, rules: Mapping[str, GateRules] = GATE_RULES,
+) -> DataFrame:
+    """Rows of orders and items whose customer, product or seller is unknown."""
+    parts = []
     origins = {"customer_id": "orders", "product_id": "order_items", "seller_id": "order_items"}
     for name, rule in rules.items():
         for key, dim in rule.foreign_keys.items():
-            if origins.get(key) in tables and dim in loaded:
+            if origins.get(key) in tables and dim in dims:
                 used = tables[origins[key]].groupBy(key).agg(F.count("*").alias("n"))
-                known = loaded[dim].select(key).distinct().withColumn("_known", F.lit(True))
+                known = dims[dim].select(key).distinct().withColumn("_known", F.lit(True))
                 lost = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
                 counts = used.join(known, key, "left").agg(
                     F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), lost.alias("failed"))

@@ -120,8 +120,14 @@ def run(
 def _check_load(
     spark: SparkSession, house: Warehouse, folder: str, run_ts: dt.datetime, max_broken: float
 ) -> None:
-    """Log every limit of the gate and raise if one fails."""
     rows = load_gate({**house.dims, "fact_order_items": house.fact}, house.tables, max_broken)
+    record_gate(spark, rows, folder, run_ts)
+
+
+def record_gate(
+    spark: SparkSession, rows: DataFrame, folder: str, run_ts: dt.datetime
+) -> None:
+    """Log every limit of the gate and raise if one fails."""
     found = rows.collect()  # a row per table and check
     at = F.lit(run_ts).cast("timestamp_ntz")
     append_quality_log(
