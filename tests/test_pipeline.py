@@ -4,9 +4,11 @@ from decimal import Decimal
 import pytest
 
 from tests.conftest import column
+from tradewind.operators import quality
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.plans import pipeline
 from tradewind.schemas import RAW_SCHEMAS
+from tradewind.sources import tables
 
 ROWS = {
     "orders": [
@@ -122,3 +124,24 @@ def test_repeated_dimension_keys_do_not_multiply_rows(spark, folder, tmp_path):
     house = pipeline.run_files(spark, str(folder), str(tmp_path / "out"), max_broken=0.5)
     assert house.dims["dim_products"].count() == 2 and house.dims["dim_sellers"].count() == 1
     assert house.fact.count() == 2
+
+
+def test_counts_come_with_the_write(spark, make, tmp_path):
+    df = make("k int, price double", (1, -1.0), (2, None), (3, 5.0), (None, 2.0))
+    many = df.crossJoin(spark.range(3_000)).select("k", "price")
+    checks = quality.gate_counts(many)
+    for rows, by in ((many, ()), (many, ("k",)), (many.limit(0), ()), (many.limit(0), ("k",))):
+        found = tables.replace_table(rows, str(tmp_path / "t"), by, counts=checks)
+        expected = rows.agg(*(n.alias(c) for c, n in checks.items())).first().asDict()
+        assert found == expected
+        assert found["rows"] == rows.count()
+    assert tables.replace_table(many, str(tmp_path / "t")) == {}
+
+
+def test_gate_from_counts_equals_gate_from_passes(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    house = pipeline.run_files(spark, str(folder), out, max_broken=0.5)
+    passes = quality.load_gate({**house.dims, "fact_order_items": house.fact}, house.tables, 0.5)
+    log = spark.read.parquet(f"{out}/quality_log").select(*passes.columns)
+    assert sorted(map(tuple, log.collect())) == sorted(map(tuple, passes.collect()))
+    assert log.where("failed > 0 and check_name like 'reference:%'").count() == 2

@@ -21,6 +21,9 @@ from tradewind.session import settle, stored, together
 log = logging.getLogger(__name__)
 
 Keep = Callable[[str, DataFrame], DataFrame]
+# As Keep, and returns the counts too, taken by the job that stored the rows.
+CountedKeep = Callable[[str, DataFrame, Mapping[str, Column]],
+                       tuple[DataFrame, Mapping[str, int]]]
 
 
 class DataQualityError(ValueError):
@@ -116,19 +119,25 @@ def range_report(df: DataFrame, table: str, ranges: Mapping[str, tuple]) -> Data
 
 def validate_ranges(df: DataFrame, table: str, ranges: Mapping[str, tuple]) -> DataFrame:
     """Raise if any value lies outside its bounds."""
-    if not any(c in df.columns for c in ranges):
-        return df
-    bad = [r for r in range_report(df, table, ranges).collect() if r.violations]
-    if bad:
-        raise DataQualityError(
-            "; ".join(
-                f"{table}.{r.field}: {r.violations} values outside [{r.min_value}, {r.max_value}]"
-                for r in bad
-            )
-        )
+    counts = range_counts(df, ranges)
+    if counts:
+        found = df.agg(*(n.alias(c) for c, n in counts.items())).first()
+        _raise_ranges(table, ranges, found.asDict())
     return df
 
 
+def range_counts(df: DataFrame, ranges: Mapping[str, tuple]) -> dict[str, Column]:
+    """Aggregates that count the values outside the bounds, by column."""
+    return {c: count_where(outside(c, *b)) for c, b in ranges.items() if c in df.columns}
+
+
+def _raise_ranges(table: str, ranges: Mapping[str, tuple], found: Mapping[str, int]) -> None:
+    bad = [f"{table}.{c}: {n} values outside [{float(ranges[c][0])}, {float(ranges[c][1])}]"
+           for c, n in found.items() if n]
+    if bad:
+        raise DataQualityError("; ".join(bad))
+
+
 # --- repairs ---------------------------------------------------------------
 
 
@@ -259,12 +268,15 @@ def fill_approved_at(orders: DataFrame) -> DataFrame:
 def clean_table(
     df: DataFrame, table: str, rules: CleaningRules, max_null: float = MAX_NULL_CRITICAL,
     order_by: Sequence[str] | None = None, keep: Keep | None = None,
+    counted_keep: CountedKeep | None = None,
 ) -> DataFrame:
     """Critical fields, duplicates, timestamps, flags, imputing, overrides, ranges.
 
     ``keep(table, rows)`` stores the finished rows and returns them as stored, so
-    that the range check and every later reader share one computation. Without
-    it, tables that need a range check are settled.
+    that the range check and every later reader share one computation. With
+    ``counted_keep`` the job that stores also counts the values out of range. Without
+    either, tables that need a range check are settled. Critical fields are judged on the
+    raw rows, before repeated keys go, so they take a pass of their own.
     """
     _raise_critical(table, _critical_faults(df, table, rules.critical, max_null))
     if order_by is None and FILE_ORDER in df.columns:
@@ -280,6 +292,10 @@ def clean_table(
         df = fill_approved_at(df)
     if rules.text:
         df = text_features(df, rules.text)
+    if counted_keep is not None:
+        df, found = counted_keep(table, df, range_counts(df, rules.ranges))
+        _raise_ranges(table, rules.ranges, found)
+        return df
     if keep is not None:
         df = keep(table, df)
     elif rules.ranges:
@@ -290,11 +306,13 @@ def clean_table(
 def clean_all(
     tables: Mapping[str, DataFrame], rules: Mapping[str, CleaningRules] | None = None,
     max_null: float = MAX_NULL_CRITICAL, keep: Keep | None = None,
+    counted_keep: CountedKeep | None = None,
 ) -> dict[str, DataFrame]:
     """Clean every table that has rules; the others pass through."""
     rules = DEFAULT_RULES if rules is None else rules
     cleaned = together({
-        name: partial(clean_table, tables[name], name, rules[name], max_null, keep=keep)
+        name: partial(clean_table, tables[name], name, rules[name], max_null, keep=keep,
+                      counted_keep=counted_keep)
         for name in tables if name in rules
     })
     return {
@@ -352,11 +370,23 @@ def referential_filter(
     it falls back to a shuffled join. ``keys_from`` names narrower tables that
     hold the keys of the fact (orders, order items), to avoid building it twice.
     """
+    return without_keys(fact, unknown_keys(fact, dims, keys_from))
+
+
+def unknown_keys(
+    fact: DataFrame, dims: Mapping[str, DataFrame],
+    keys_from: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """By key column, the stored keys that have no dimension row."""
     def lost_keys(key: str, dim: DataFrame) -> DataFrame:
         used = (keys_from or {}).get(key, fact).select(key).distinct()
         return stored(used.join(dim.select(key), key, "left_anti"), "orphans")
 
-    lost = together({key: partial(lost_keys, key, dim) for key, dim in _references(dims)})
+    return together({key: partial(lost_keys, key, dim) for key, dim in _references(dims)})
+
+
+def without_keys(fact: DataFrame, lost: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows whose keys are neither null nor among the lost ones."""
     for key, orphans in lost.items():
         fact = fact.filter(F.col(key).isNotNull()).join(orphans, key, "left_anti")
     return fact

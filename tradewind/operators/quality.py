@@ -295,18 +295,20 @@ def read_quality_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def threshold_gate(
-    tables: Mapping[str, DataFrame], rules: Mapping[str, GateRules] = GATE_RULES
+    tables: Mapping[str, DataFrame], rules: Mapping[str, GateRules] = GATE_RULES,
+    counted: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """PASS, WARNING or FAIL for every limit of each table.
 
     Critical fields fail above the table's null limit and warn from the first
     null on; other columns only warn, above the general limit. Duplicates,
-    broken references and negative amounts warn from the first row on.
+    broken references and negative amounts warn from the first row on. ``counted`` holds
+    ``gate_counts`` that are known already, by table.
     """
     parts = []
     for name, rule in rules.items():
         if name in tables:
-            counts = _gate_counts(tables[name], rule, tables)
+            counts = _gate_counts(tables[name], rule, tables, (counted or {}).get(name))
             parts += [c.withColumn("table_name", F.lit(name)) for c in counts]
     share = F.coalesce(ratio(F.col("failed"), F.col("checked")), F.lit(0.0))
     return reduce(DataFrame.unionByName, parts).select(
@@ -320,26 +322,32 @@ def threshold_gate(
 def load_gate(
     loaded: Mapping[str, DataFrame], tables: Mapping[str, DataFrame],
     max_broken: float = MAX_FK_VIOLATIONS, rules: Mapping[str, GateRules] = GATE_RULES,
+    counted: Mapping[str, Mapping[str, int]] | None = None,
+    lost: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The gate on a finished load: limits of each table, and references before the filter.
 
     The fact has lost its rows with unknown references by then, so these are counted
-    where the keys come from, in the cleaned orders and items, at one row per key.
+    where the keys come from, in the cleaned orders and items. ``counted`` holds counts
+    that came with the writes, ``lost`` the unknown keys, if they were found already.
     """
-    return row_gate(loaded, rules).unionByName(
-        reference_gate(tables, loaded, max_broken, rules))
+    return row_gate(loaded, rules, counted).unionByName(
+        reference_gate(tables, loaded, max_broken, rules, lost))
 
 
 def row_gate(
-    loaded: Mapping[str, DataFrame], rules: Mapping[str, GateRules] = GATE_RULES
+    loaded: Mapping[str, DataFrame], rules: Mapping[str, GateRules] = GATE_RULES,
+    counted: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Limits of each table on its own."""
-    return threshold_gate(loaded, {n: replace(r, foreign_keys={}) for n, r in rules.items()})
+    own = {n: replace(r, foreign_keys={}) for n, r in rules.items()}
+    return threshold_gate(loaded, own, counted)
 
 
 def reference_gate(
     tables: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
     max_broken: float = MAX_FK_VIOLATIONS, rules: Mapping[str, GateRules] = GATE_RULES,
+    lost: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of orders and items whose customer, product or seller is unknown."""
     parts = []
@@ -347,11 +355,19 @@ def reference_gate(
     for name, rule in rules.items():
         for key, dim in rule.foreign_keys.items():
             if origins.get(key) in tables and dim in dims:
-                used = tables[origins[key]].groupBy(key).agg(F.count("*").alias("n"))
-                known = dims[dim].select(key).distinct().withColumn("_known", F.lit(True))
-                lost = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
-                counts = used.join(known, key, "left").agg(
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), lost.alias("failed"))
+                used = tables[origins[key]]
+                if lost is not None and key in lost:
+                    # The stored unknown keys are few and broadcast, or else joined by key.
+                    unknown = lost[key].withColumn("_lost", F.lit(True))
+                    bad = F.col(key).isNull() | F.col("_lost").isNotNull()
+                    counts = used.select(key).join(unknown, key, "left").agg(
+                        F.count("*").alias("checked"), count_where(bad).alias("failed"))
+                else:
+                    known = dims[dim].select(key).distinct().withColumn("_known", F.lit(True))
+                    none = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
+                    counts = used.groupBy(key).agg(F.count("*").alias("n")).join(
+                        known, key, "left").agg(
+                        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), none.alias("failed"))
                 share = F.coalesce(ratio(F.col("failed"), F.col("checked")), F.lit(0.0))
                 parts.append(counts.select(
                     F.lit(name).alias("table_name"), F.lit(f"reference:{key}").alias("check_name"),
@@ -361,8 +377,23 @@ def reference_gate(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _bad_rows(df: DataFrame) -> dict[str, Column]:
+    """Checks of single rows by name: true where the row fails."""
+    bad = {f"null:{c}": F.col(c).isNull() for c in df.columns}
+    amounts = [c for c in ("price", "freight_value", "total_value") if c in df.columns]
+    if amounts:
+        bad["negative amounts"] = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in amounts])
+    return bad
+
+
+def gate_counts(df: DataFrame) -> dict[str, Column]:
+    """Aggregates of the checks on single rows; a write can take them along."""
+    return {"rows": F.count(F.lit(1)), **{n: count_where(b) for n, b in _bad_rows(df).items()}}
+
+
 def _gate_counts(
-    df: DataFrame, rule: GateRules, tables: Mapping[str, DataFrame]
+    df: DataFrame, rule: GateRules, tables: Mapping[str, DataFrame],
+    counted: Mapping[str, int] | None = None,
 ) -> list[DataFrame]:
     """Checked and failed rows with the limits of each check."""
 
@@ -373,23 +404,23 @@ def _gate_counts(
             F.lit(fail).alias("fail"),
         ]
 
-    # Row checks share one pass over the table.
-    bad = {f"null:{c}": F.col(c).isNull() for c in df.columns}
+    checks = gate_counts(df)
     limits = {
         f"null:{c}": (0.0, rule.max_null) if c in rule.critical else (MAX_NULL_WARNING, 1.0)
         for c in df.columns
     }
-    amounts = [c for c in ("price", "freight_value", "total_value") if c in df.columns]
-    if amounts:
-        bad["negative amounts"] = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in amounts])
-        limits["negative amounts"] = (0.0, MAX_INVALID)
-    counts = df.agg(
-        F.count("*").alias("rows"),
-        *[count_where(rule_broken).alias(f"f{i}") for i, rule_broken in enumerate(bad.values())],
-    )
+    limits["negative amounts"] = (0.0, MAX_INVALID)
+    short = {name: f"f{i}" for i, name in enumerate(checks)}
+    if counted is None:
+        # Row checks share one pass over the table.
+        counts = df.agg(*[n.alias(short[name]) for name, n in checks.items()])
+    else:
+        counts = df.sparkSession.createDataFrame(
+            [tuple(counted[name] for name in checks)],
+            ", ".join(f"{short[name]} long" for name in checks))
     found = [counts.select(F.explode(F.array(*[
-        F.struct(*entry(check, F.col("rows"), F.col(f"f{i}"), *limits[check]))
-        for i, check in enumerate(bad)
+        F.struct(*entry(check, F.col(short["rows"]), F.col(short[check]), *limits[check]))
+        for check in checks if check != "rows"
     ])).alias("e")).select("e.*")]
 
     per_key = df.groupBy(*rule.key).agg(F.count("*").alias("n"))

@@ -1,7 +1,8 @@
 """The whole run: clean, fact, dimensions, checks, aggregates, publish.
 
-Every run writes to a folder of its own below ``runs``. Range checks and the load gate
-run on what is written there; their rows go to ``quality_log`` in any case. Only when
+Every run writes to a folder of its own below ``runs``. Range checks and the row checks of
+the load gate are counted by the jobs that write there, and references by the unknown keys
+that the filter found; the gate's rows go to ``quality_log`` in any case. Only when
 nothing fails does ``published`` name the run, so a bad load never replaces a good one.
 The two runs published last are kept.
 """
@@ -15,14 +16,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.operators.aggregates import STATE_KEYS, aggregate
-from tradewind.operators.cleaning import DataQualityError, clean_all, referential_filter
-from tradewind.operators.quality import append_quality_log, load_gate
+from tradewind.operators.cleaning import DataQualityError, clean_all, unknown_keys, without_keys
+from tradewind.operators.quality import append_quality_log, gate_counts, load_gate
 from tradewind.operators.star import DEFAULT_SOURCE, dimensions, fact_order_items
-from tradewind.schemas import MAX_FK_VIOLATIONS, STAGED_TABLES, CleaningRules
-from tradewind.session import configure, settle, together
+from tradewind.schemas import GATE_RULES, MAX_FK_VIOLATIONS, STAGED_TABLES, CleaningRules
+from tradewind.session import configure, scratch_path, together
 from tradewind.sources.files import children, delete_path, read_tables
 from tradewind.sources.tables import (
     FACT_PARTITION, previous_version, read_back, read_current, replace_table, write_version,
@@ -48,14 +49,16 @@ def clean(
 ) -> dict[str, DataFrame]:
     """Clean the raw tables; staged ones are stored once and read from there on."""
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        if name not in STAGED_TABLES:
-            return settle(df)
-        path = f"{folder}/staging/raw_{name}"
-        replace_table(df, path)
-        return read_back(df.sparkSession, path, df)
+    def keep(
+        name: str, df: DataFrame, counts: Mapping[str, Column]
+    ) -> tuple[DataFrame, dict[str, int]]:
+        spark = df.sparkSession
+        path = (f"{folder}/staging/raw_{name}" if name in STAGED_TABLES
+                else scratch_path(spark, name))
+        found = replace_table(df, path, counts=counts)
+        return read_back(spark, path, df), found
 
-    return clean_all(raw, rules, keep=keep)
+    return clean_all(raw, rules, counted_keep=keep)
 
 
 def star(
@@ -63,6 +66,14 @@ def star(
     source: str = DEFAULT_SOURCE,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Fact with valid references only, and the dimensions."""
+    fact, dims, _ = _star(tables, run_ts, source)
+    return fact, dims
+
+
+def _star(
+    tables: Mapping[str, DataFrame], run_ts: dt.datetime | None, source: str
+) -> tuple[DataFrame, dict[str, DataFrame], dict[str, DataFrame]]:
+    """Fact, dimensions, and the keys without a dimension row."""
     dims = dimensions(tables, run_ts, source)
     fact = fact_order_items(tables["orders"], tables["order_items"], run_ts, source)
     keys = {
@@ -70,7 +81,8 @@ def star(
         "product_id": tables["order_items"],
         "seller_id": tables["order_items"],
     }
-    return referential_filter(fact, dims, keys), dims
+    lost = unknown_keys(fact, dims, keys)
+    return without_keys(fact, lost), dims, lost
 
 
 def run(
@@ -91,11 +103,13 @@ def run(
     name_of_run = uuid.uuid4().hex
     place = f"{folder}/runs/{name_of_run}"
     tables = clean(raw, place, rules)
-    fact, dims = star(tables, run_ts, source)
+    fact, dims, lost = _star(tables, run_ts, source)
+    counted: dict[str, dict[str, int]] = {}
 
     def keep(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{place}/dwh/{name}"
-        replace_table(df, path, partition_by)
+        counts = gate_counts(df) if name in GATE_RULES else None
+        counted[name] = replace_table(df, path, partition_by, counts=counts)
         return read_back(spark, path, df)
 
     stored = together({
@@ -103,7 +117,9 @@ def run(
         **{name: partial(keep, name, df) for name, df in dims.items()},
     })
     house = Warehouse(tables, {name: stored[name] for name in dims}, stored["fact_order_items"])
-    _check_load(spark, house, folder, run_ts, max_broken)
+    rows = load_gate({**house.dims, "fact_order_items": house.fact}, tables, max_broken,
+                     counted=counted, lost=lost)
+    record_gate(spark, rows, folder, run_ts)
 
     def build(name: str) -> None:
         try:
@@ -117,13 +133,6 @@ def run(
     return house
 
 
-def _check_load(
-    spark: SparkSession, house: Warehouse, folder: str, run_ts: dt.datetime, max_broken: float
-) -> None:
-    rows = load_gate({**house.dims, "fact_order_items": house.fact}, house.tables, max_broken)
-    record_gate(spark, rows, folder, run_ts)
-
-
 def record_gate(
     spark: SparkSession, rows: DataFrame, folder: str, run_ts: dt.datetime
 ) -> None:

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 T = TypeVar("T")
 
@@ -58,6 +58,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tradewind/{name}-{uuid.uuid4().hex}"
 
 
+def counted_write(
+    df: DataFrame, counts: Mapping[str, Column], write: Callable[[DataFrame], None]
+) -> dict[str, int]:
+    """Write rows and count them in the same job; ``counts`` are aggregates by name.
+
+    The counts are taken in the stage that writes, after every shuffle, so a task that is
+    run again, or a lost executor, counts its rows once.
+    """
+    if not counts:
+        write(df)
+        return {}
+    seen = Observation()
+    names = {f"c{i}": name for i, name in enumerate(counts)}
+    write(df.observe(seen, *(c.alias(short) for short, c in zip(names, counts.values()))))
+    return {names[short]: n for short, n in seen.get.items()}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a table in the shared folder and read it back.
 

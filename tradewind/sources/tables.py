@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.schemas import STAGED_TABLES
-from tradewind.session import stored, together
+from tradewind.session import counted_write, stored, together
 from tradewind.sources.files import children, delete_path, path_exists
 
 RFM_EXPORT = (
@@ -21,16 +21,21 @@ FACT_PARTITION = "order_purchase_ym"
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                  fmt: str = "parquet") -> None:
-    """Full refresh."""
+                  fmt: str = "parquet", counts: Mapping[str, Column] | None = None
+                  ) -> dict[str, int]:
+    """Full refresh; returns ``counts`` over the rows, taken by the job that writes."""
     if partition_by:
         # Rebalancing gives each partition value few files, and splits a value
         # that holds far more rows than the others.
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
-    if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
-    writer.save(path)
+
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
+        if fmt == "csv":
+            writer = writer.option("header", True).option("escape", '"')
+        writer.save(path)
+
+    return counted_write(df, counts or {}, write)
 
 
 def append_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
