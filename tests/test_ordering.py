@@ -98,3 +98,43 @@ def test_quantiles_against_brute_force_on_small_lists(spark):
         df = spark.createDataFrame([(v,) for v in values], "v double")
         expected = list(pd.Series(values).quantile([0.25, 0.5, 0.75]))
         assert ordering.column_quantiles(df, ["v"], [0.25, 0.5, 0.75])["v"] == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_selection_of_odd_values(spark, monkeypatch, few):
+    monkeypatch.setattr(ordering, "FEW_ROWS", few)
+    inf, tiny = float("inf"), 5e-324
+    lists = {
+        "one value": [3.5] * 40, "neighbours": [tiny, 0.0, 2 * tiny, tiny], "far": [-1e308, 1e308, 0.0],
+        "unlimited": [-inf, 1.0, 2.0, inf, inf], "signs": [-0.0, 0.0, -1e-300, 1e-300, 7.0],
+        "close": [1.0 + k * 2.0 ** -52 for k in range(50)],
+        "spread": [10.0 ** k for k in range(-300, 300, 7)], None: [2.0, 1.0],
+    }
+    rows = [(g, v) for g, values in lists.items() for v in values]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame([*rows, ("empty", None)], "g string, v double").repartition(5)
+    shares = [0.0, 1.0, 0.5]
+    got = ordering.grouped_quantiles(df, ["g"], "v", shares)
+    assert set(got) == {(g,) for g in lists}
+    for g, values in lists.items():
+        at = sorted(values)
+        assert got[(g,)][:2] == [at[0], at[-1]], g
+        if len(at) % 2:
+            assert got[(g,)][2] == at[len(at) // 2], g
+
+
+def test_not_a_number_comes_last(make):
+    df = make("v double", (float("nan"),), (float("inf"),), (2.0,), (float("nan"),), (1.0,))
+    low, middle, high = ordering.column_quantiles(df, ["v"], [0.25, 0.5, 1.0])["v"]
+    assert (low, middle) == (2.0, float("inf")) and high != high
+
+
+def test_quantiles_sort_nothing(skewed, monkeypatch):
+    monkeypatch.setattr(ordering, "FEW_ROWS", 50)
+    monkeypatch.setattr(ordering, "_ranges", None)
+    monkeypatch.setattr(ordering, "settle", None)
+    pdf = skewed.toPandas()
+    shares = [0.01, 0.25, 0.5, 0.9]
+    for g, part in pdf.groupby("g"):
+        got = ordering.grouped_quantiles(skewed, ["g"], "v", shares)[(g,)]
+        assert got == pytest.approx(list(part.v.quantile(shares)))

@@ -1,24 +1,32 @@
 """Ranks, tiles and exact quantiles over a whole table, without one-task windows.
 
-Spark sends a window without partition keys to a single task. Here the rows are
-range-partitioned on the order, settled, and only the row count of each range
-(one number per partition) is looked at globally. Every order ends in a unique
+Spark sends a window without partition keys to a single task. For ranks and tiles
+the rows are range-partitioned on the order, settled, and only the row count of each
+range (one number per partition) is looked at globally. Every order ends in a unique
 tie-break column, so a value shared by a third of the rows still spreads over
-many ranges.
+many ranges. Quantiles need no order: they are selected by refining histograms.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F, types as T
 
 from tradewind.session import settle
 
 # monotonically_increasing_id keeps the partition above the low 33 bits.
 ROW_BITS = 33
 
+# Pieces a cell is cut into per round, and from how few rows on the values are counted.
+PIECES = 1024
+FEW_ROWS = 100_000
+LARGEST = sys.float_info.max
+
 
 def _ranges(df: DataFrame, order: Sequence[Column], weight: Column | None) -> DataFrame:
     """Rows in range partitions, each knowing its range number; settled."""
@@ -91,9 +99,9 @@ def _quantile_slots(rows: int, shares: Sequence[float]) -> list[tuple[int, int,
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Interpolated quantiles of numeric columns, all in one sort; nulls ignored.
+    """Interpolated quantiles of numeric columns, all in the same passes; nulls ignored.
 
-    A column without any value gives None for each share.
+    A column without any value gives None for each share. ``df`` is read a few times.
     """
     cells = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
@@ -106,38 +114,110 @@ def column_quantiles(
 def grouped_quantiles(
     df: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]
 ) -> dict[tuple, list[float]]:
-    """Interpolated quantiles of a column per group.
+    """Interpolated quantiles of a column per group, exact and without a sort.
 
-    Equal values are counted before they are sorted. The result and the group
-    sizes pass through the driver, so use it for a bounded set of groups such
-    as calendar months; a group itself may be of any size.
+    One pass takes the size and the extremes of each group; the wanted positions are then
+    selected by ``_selected``. The result and the group sizes pass through the driver, so
+    use it for a bounded set of groups such as calendar months; a group itself may be of
+    any size. ``df`` is read a few times: settle it if its rows are dear.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count("*").alias("_copies"))
-    )
-    order = [F.col(c) for c in (*by, "_value")]
-    ranges = _ranges(settle(counted), order, F.col("_copies"))
-    totals = ranges.groupBy(*by).agg(F.sum("_copies").alias("n"))
-    sizes = [row for row in (totals.orderBy(*by) if by else totals).collect() if row.n]
-    first, slots = 0, {}
+    rows = df.select(*by, F.col(value).cast("double").alias("_value")).filter("_value is not null")
+    sizes = rows.groupBy(*by).agg(
+        F.count("*").alias("n"), F.min("_value").alias("low"), F.max("_value").alias("high")
+    ).collect()
+    slots, cells = {}, []
     for row in sizes:
-        slots[tuple(row[c] for c in by)] = [
-            (first + low, first + high, step) for low, high, step in _quantile_slots(row.n, shares)
-        ]
-        first += row.n
-    found = _rows_at(ranges, order, [p for s in slots.values() for lo, hi, _ in s for p in (lo, hi)])
+        if row["n"]:
+            group = tuple(row[c] for c in by)
+            slots[group] = _quantile_slots(row["n"], shares)
+            wanted = sorted({p for low, high, _ in slots[group] for p in (low, high)})
+            cells.append(Cell(group, row["low"], row["high"], 0, row["n"], tuple(wanted)))
+    found = _selected(rows, by, cells)
     result = {}
     for group, places in slots.items():
         edges = []
         for low, high, step in places:
-            start, end = float(found[low]["_value"]), float(found[high]["_value"])
-            edges.append(start + (end - start) * step)
+            start, end = found[group, low], found[group, high]
+            edges.append(start if step == 0 or start == end else start + (end - start) * step)
         result[group] = edges
     return result
 
 
+@dataclass(frozen=True)
+class Cell:
+    """A stretch of a group's values, both ends held by rows, and the positions wanted there."""
+
+    group: tuple
+    low: float
+    high: float
+    before: int
+    rows: int
+    wanted: tuple[int, ...]
+
+    def settled(self) -> bool:
+        return self.low == self.high or (math.isnan(self.low) and math.isnan(self.high))
+
+
+def _selected(rows: DataFrame, by: Sequence[str], cells: list[Cell]) -> dict[tuple, float]:
+    """The value at each wanted position of each group, by refining histograms.
+
+    Each round cuts every open cell at equal steps between its extremes, counts the rows of
+    the pieces inside the map tasks, and keeps the pieces that hold a wanted position. The
+    extremes are pieces of their own, so each round leaves fewer different values. A piece
+    with one value is the answer, however many rows share it. Once few rows are left, the
+    pieces are the values themselves.
+    """
+    found, rest = {}, cells
+    while True:
+        for cell in rest:
+            if cell.settled():
+                found.update({(cell.group, p): cell.low for p in cell.wanted})
+        rest = [c for c in rest if not c.settled()]
+        if not rest:
+            return found
+        rest = [
+            Cell(rest[r["_target"]].group, r["low"], r["high"], r["_end"] - r["n"], r["n"],
+                 tuple(r["_hit"]))
+            for r in _pieces(rows, by, rest).collect()
+        ]
+
+
+def _pieces(rows: DataFrame, by: Sequence[str], cells: list[Cell]) -> DataFrame:
+    """Pieces of the cells that hold a wanted position; at most one per position."""
+    keys = [T.StructField(f"_by{i}", rows.schema[c].dataType) for i, c in enumerate(by)]
+    schema = T.StructType([*keys, *T.StructType.fromDDL(
+        "_target int, _low double, _high double, _from double, _width double, _before long, "
+        "_wanted array<long>").fields])
+    known = []
+    for number, c in enumerate(cells):
+        # Halves keep the width of the widest range finite.
+        low, high = max(c.low, -LARGEST), LARGEST if math.isnan(c.high) else min(c.high, LARGEST)
+        width = high * 0.5 - low * 0.5
+        known.append((*c.group, number, c.low, c.high, low * 0.5, width, c.before, list(c.wanted)))
+    # One row per open cell: at most one per wanted position of a bounded set of groups.
+    targets = F.broadcast(rows.sparkSession.createDataFrame(known, schema))
+    value = F.col("_value")
+    same = (value >= F.col("_low")) & (value <= F.col("_high"))
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    if sum(c.rows for c in cells) <= FEW_ROWS:
+        piece = value
+    else:
+        step = F.floor(F.least((value * 0.5 - F.col("_from")) / F.col("_width"), F.lit(1.0)) * PIECES)
+        # No value lies between two neighbours, whose width may round to nothing.
+        piece = (F.when(value == F.col("_low"), -1.0).when(value == F.col("_high"), PIECES + 1.0)
+                 .when(F.col("_width") > 0, step.cast("double")).otherwise(0.0))
+    counted = rows.join(targets, same).groupBy("_target", piece.alias("_piece")).agg(
+        F.count("*").alias("n"), F.min("_value").alias("low"), F.max("_value").alias("high"),
+        F.first("_before").alias("_before"), F.first("_wanted").alias("_wanted"))
+    # A bounded number of pieces per cell, whatever the rows.
+    in_cell = W.partitionBy("_target").orderBy("_piece").rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    return counted.withColumn("_end", F.col("_before") + F.sum("n").over(in_cell)).withColumn(
+        "_hit", F.filter("_wanted", lambda p: (p > F.col("_end") - F.col("n"))
+                         & (p <= F.col("_end")))).filter(F.size("_hit") > 0)
+
+
 def tile_ends(rows: int, tiles: int) -> list[int]:
     """Last position of each tile but the final one; sizes differ by at most 1."""
     size, extra = divmod(rows, tiles)
