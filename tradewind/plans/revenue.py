@@ -23,10 +23,14 @@ def check_limit(limit: int, highest: int = 100) -> int:
 
 def customer_totals(fact: DataFrame, customer_key: str = "customer_id") -> DataFrame:
     """Delivered orders, items, value and dates per customer."""
-    per_order = by_order(
+    return totals_of_orders(by_order(
         delivered_orders(fact), customer_key,
         first=F.min("order_purchase_date"), last=F.max("order_purchase_date"),
-    )
+    ), customer_key)
+
+
+def totals_of_orders(per_order: DataFrame, customer_key: str = "customer_id") -> DataFrame:
+    """The same from one row per delivered order."""
     return per_order.groupBy(customer_key).agg(
         F.count("order_id").alias("total_orders"),
         F.sum("items").alias("total_items"),
@@ -39,10 +43,14 @@ def customer_totals(fact: DataFrame, customer_key: str = "customer_id") -> DataF
 
 def top_customers(fact: DataFrame, customers: DataFrame, limit: int = 10) -> DataFrame:
     """Customers with the highest delivered revenue; ties by customer."""
+    return top_of_totals(customer_totals(fact), customers, limit)
+
+
+def top_of_totals(totals: DataFrame, customers: DataFrame, limit: int = 10) -> DataFrame:
     places = customers.select("customer_id", "customer_city", "customer_state")
     return (
         # One row per customer on both sides: a hot customer is gone before the join.
-        customer_totals(fact)
+        totals
         .join(places, "customer_id")
         .withColumn(
             "customer_lifetime_days",
@@ -175,15 +183,26 @@ def _by_payment_type(fact: DataFrame, payments: DataFrame, times: Column) -> Dat
     delivered = delivered_orders(fact).groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"), F.count("*").alias("items")
     )
-    # One row per order and type before the join: an order with very many
-    # payments is merged inside the map tasks, and orders need no distinct count.
-    per_order = payments.groupBy("order_id", "payment_type").agg(
+    return payment_types(delivered, paid_by_order(payments), times)
+
+
+def paid_by_order(payments: DataFrame) -> DataFrame:
+    """One row per order and payment type.
+
+    An order with very many payments is merged inside the map tasks, and orders need no
+    distinct count.
+    """
+    return payments.groupBy("order_id", "payment_type").agg(
         F.count("*").alias("n"),
         F.sum("payment_value").alias("value"),
         F.count("payment_value").alias("n_value"),
         F.sum("payment_installments").alias("installments"),
         F.count("payment_installments").alias("n_installments"),
     )
+
+
+def payment_types(delivered: DataFrame, per_order: DataFrame, times: Column) -> DataFrame:
+    """Payments by type, of one row per delivered order and ``paid_by_order``."""
     paid = delivered.join(per_order, "order_id").withColumns({
         c: F.col(c) * times for c in ("n", "value", "n_value", "installments", "n_installments")
     })

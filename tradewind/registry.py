@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tradewind.functions import text
 from tradewind.operators import aggregates, cleaning, ordering, profiling, quality, star
 from tradewind.plans import (
-    customers, merge, metrics, pipeline, products, revenue, rfm, sellers, views,
+    customers, merge, metrics, orders, pipeline, products, revenue, rfm, sellers, views,
 )
 from tradewind.schemas import DEFAULT_RULES
 from tradewind.session import configure, scratch_path, settle, stored
@@ -29,6 +29,7 @@ AS_OF = dt.datetime(2024, 1, 2, 6, 0, 0)
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 _HOUSES: dict[tuple[str, str], pipeline.Warehouse] = {}
+_GRAINS: dict[tuple[str, str], orders.OrderGrain] = {}
 _UNFILTERED: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -628,6 +629,26 @@ _on_fact(sellers.seller_performance, "dim_sellers", name="seller_performance_by_
          grain="order")
 _on_fact(revenue.delayed_orders)
 _on_fact(revenue.delayed_orders, name="delayed_orders_by_order", grain="order")
+
+
+def _on_grain(fn: Callable[..., DataFrame], *dims: str) -> None:
+    """Register a report that reads the stored order grain."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        h = house(spark, folder)
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _GRAINS:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            _GRAINS[key] = orders.kept(h.fact, h.tables["payments"],
+                                       scratch_path(spark, "orders"), buckets)
+        return flat(fn(_GRAINS[key], *[h.dims[d] for d in dims]))
+
+    QUERIES[f"{fn.__name__}_stored"] = lambda spark, folder: run(configure(spark), folder)
+
+
+_on_grain(orders.v_order_metrics)
+_on_grain(orders.top_customers, "dim_customers")
+_on_grain(orders.payment_method)
 _on_fact(revenue.payment_method, "payments")
 _on_fact(revenue.payment_method_fanout, "payments")
 _on_fact(revenue.api_top_customers, "dim_customers", limit=25)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewind.operators.cleaning import DataQualityError
 from tradewind.schemas import STAGED_TABLES
@@ -52,6 +54,37 @@ def append_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     df.write.mode("append").parquet(path)
 
 
+# --- bucketed tables ---------------------------------------------------------
+#
+# Spark knows the buckets of a table from the catalog, so the number of buckets and the
+# key are written beside the rows, and a later session names the table anew.
+
+BUCKET_NOTE = "_buckets"
+
+
+def bucketed_table(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Full refresh of a table bucketed and sorted by ``key``, one file per bucket."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    note = spark.createDataFrame([(key, buckets, df.schema.json())], "key string, n int, fields string")
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, key).sortBy(key).option("path", f"{path}/rows").saveAsTable(name))
+    note.write.mode("overwrite").parquet(f"{path}/{BUCKET_NOTE}")
+    return spark.table(name)
+
+
+def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``bucketed_table`` has written, with its buckets known."""
+    note = spark.read.parquet(f"{path}/{BUCKET_NOTE}").first()
+    name = f"bucketed_{uuid.uuid4().hex}"
+    fields = T.StructType.fromJson(json.loads(note["fields"]))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    place = f"{path}/rows".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{note['key']}`) "
+              f"SORTED BY (`{note['key']}`) INTO {note['n']} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
 # --- versioned tables ------------------------------------------------------
 #
 # A version is a folder v=<n>. It counts only once Spark has put its _SUCCESS
