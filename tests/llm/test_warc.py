@@ -74,3 +74,78 @@ def test_an_empty_table(spark, make, tmp_path):
     warc.write(warc.as_records(make("page_id long, url string, html string", (1, "u", "h")).limit(0)),
                path)
     assert warc.read(spark, path).count() == 0
+
+
+def pages(make, *ids):
+    return warc.as_records(make("page_id long, url string, html string",
+                                *[(k, f"u{k}", f"h{k}") for k in ids]))
+
+
+def ids(df):
+    return sorted(r.record_id for r in df.collect())
+
+
+def test_appends_add_and_overwrites_replace(spark, make, tmp_path):
+    path = str(tmp_path / "out")
+    warc.write(pages(make, 1, 2), path)
+    warc.write(pages(make, 3), path)
+    assert ids(warc.read(spark, path)) == ["1", "2", "3"]
+    warc.write(pages(make, 4), path, mode="overwrite")
+    assert ids(warc.read(spark, path)) == ["4"]
+    warc.write(pages(make, 5), path)
+    assert ids(warc.read(spark, path)) == ["4", "5"]
+    # Folders of our own keep their manifests where the path is wider.
+    (tmp_path / "out" / "left-behind.warc").write_bytes(b"broken")
+    for wider in (str(tmp_path), str(tmp_path / "o*" / "*.warc*")):
+        assert ids(warc.read(spark, wider)) == ["4", "5"]
+
+
+def foreign(name, payload, *more):
+    lines = ["WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:{name}>",
+             "WARC-Target-URI: http://a.org/", "\tlong", f"Content-Length: {len(payload)}", *more]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    records = [foreign(k, b"HTTP/1.1 200 OK\r\n\r\n" + b"x" * 40_000 * k) for k in range(4)]
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "each.warc.gz").write_bytes(b"".join(map(gzip.compress, records[:2])))
+    (tmp_path / "a" / "b" / "whole.warc.gz").write_bytes(gzip.compress(b"".join(records[2:])))
+    (tmp_path / "a" / "plain.warc").write_bytes(b"\r\n" + foreign("p", b"body"))
+    (tmp_path / "a" / "notes.txt").write_bytes(b"no archive")
+    every = warc.read(spark, str(tmp_path / "a"))
+    assert ids(every) == ["<urn:0>", "<urn:1>", "<urn:2>", "<urn:3>", "<urn:p>"]
+    sizes = {r.record_id: (len(r.payload), r.content_length, r.target_uri) for r in every.collect()}
+    assert sizes["<urn:3>"] == (120_019, 120_019, "http://a.org/ long")
+    assert ids(warc.read(spark, str(tmp_path / "a" / "plain.warc"))) == ["<urn:p>"]
+    assert ids(warc.read(spark, str(tmp_path / "a" / "*.warc.gz"))) == ["<urn:0>", "<urn:1>"]
+    assert ids(warc.read(spark, str(tmp_path / "**" / "*.gz"))) == [f"<urn:{k}>" for k in range(4)]
+    one = warc.read(spark, str(tmp_path / "a"), payload="none").where("record_id = '<urn:3>'")
+    assert ids(one) == ["<urn:3>"]
+    for nothing in ("none", "a/*.zip"):
+        with pytest.raises(Exception, match="FileNotFound|no archives"):
+            warc.read(spark, str(tmp_path / nothing)).collect()
+
+
+def test_members_of_ours_before_one_of_others():
+    mixed = warc.member(records()[1]) + gzip.compress(b"".join(records()[2:5]))
+    source, seen = warc.records_of(io.BufferedReader(io.BytesIO(mixed))), []
+    while (headers := source.headers()) is not None:
+        seen.append((headers["warc-record-id"], len(source.payload())))
+        source.next()
+    assert seen == [(str(k), len(b"WARC/1.1\r\n\r\n") * k * 300 + 3) for k in range(1, 5)]
+
+
+def test_a_very_long_payload(spark, make, tmp_path):
+    path, long = str(tmp_path / "out"), "é" * 3_000_000
+    warc.write(warc.as_records(make("page_id long, url string, html string", (1, "u", long),
+                                    (2, "u", long))), path)
+    got = warc.read(spark, path).where("record_type = 'response'").collect()
+    assert [(r.record_id, r.payload == long) for r in got] == [("1", True)]
+
+
+def test_an_archive_that_ends_early(tmp_path):
+    source = warc.records_of(io.BufferedReader(io.BytesIO(foreign("a", b"x" * 100)[:-50])))
+    source.headers()
+    with pytest.raises(ValueError, match="ends within"):
+        source.payload()

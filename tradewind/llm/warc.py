@@ -11,25 +11,35 @@ Records are gzip members of their own (option ``compression`` ``none``: plain re
 whose header tells the member's length, so a packed payload is passed over as well.
 
 Each task writes files of its own name, and a file starts anew beyond
-``max_file_bytes``. The commit lists the files of the tasks that succeeded in a
-manifest, and readers look only there, so what a lost executor left behind is never
-read. The manifest names files, not records.
+``max_file_bytes``. Each commit lists the files of the tasks that succeeded in a
+manifest of its own, and readers look only there, so what a lost executor left behind
+is never read. An append adds a manifest; an overwrite's manifest replaces those before
+it, whose files stay for readers that have planned them. Manifests name files, not records.
+
+Archives of others are read as well: the path may be a file, a pattern or a folder.
+In folders without a manifest all ``*.warc`` and ``*.warc.gz`` files are read, at any
+depth. Gzip members without a length, or with many records, are unpacked to be passed over.
 
 Defined results: a null payload is written as an empty one; headers with null values
-are left out; an empty table gives a manifest without files and reads as no rows.
+are left out; an empty table gives a manifest without files and reads as no rows. A
+payload of any length is held once by the task that writes or decodes it. A path without
+anything raises, as does an archive that ends within a record that is read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import io
 import json
+import posixpath
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from pathlib import PurePosixPath
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,7 +50,8 @@ from pyspark.sql.types import StructType
 from tradewind.llm.frames import findable
 
 VERSION = "WARC/1.1"
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
+ENDINGS = (".warc", ".warc.gz")
 MAX_FILE_BYTES = 64 << 20
 READ_BYTES = 1 << 14
 LEVEL = 3
@@ -68,6 +79,52 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
+def _listed(system: pafs.FileSystem, folder: str, deep: bool = True) -> list[pafs.FileInfo]:
+    selector = pafs.FileSelector(folder, allow_not_found=True, recursive=deep)
+    return [f for f in system.get_file_info(selector) if f.is_file]
+
+
+def _is_manifest(path: str) -> bool:
+    name = posixpath.basename(path)
+    return name.startswith(MANIFEST) and name.endswith(".json")
+
+
+def _committed(system: pafs.FileSystem, manifests: list[str]) -> dict[str, int]:
+    """Files, with their sizes, of the commits that no other commit replaces."""
+    commits = {}
+    for path in manifests:
+        with system.open_input_stream(path) as source:
+            commits[path] = json.loads(source.read())
+    replaced = {posixpath.join(posixpath.dirname(path), old)
+                for path, commit in commits.items() for old in commit["replaces"]}
+    return {posixpath.join(posixpath.dirname(path), name): size
+            for path, commit in commits.items() if path not in replaced
+            for name, size in commit["files"]}
+
+
+def archives(system: pafs.FileSystem, path: str) -> list[tuple[str, int]]:
+    """Archive files, with their sizes, of a file, a folder or a pattern (``*``, ``?``, ``**``)."""
+    info = system.get_file_info(path)
+    if info.is_file:
+        return [(path, info.size)]
+    pattern = None
+    if info.type == pafs.FileType.NotFound:
+        fixed = re.match(r"[^*?\[]*", path).group()
+        if fixed == path:
+            raise FileNotFoundError(path)
+        pattern, path = path, posixpath.dirname(fixed) or "."
+    listed = _listed(system, path)
+    manifests = [f.path for f in listed if _is_manifest(f.path)]
+    committed, own = _committed(system, manifests), {posixpath.dirname(m) for m in manifests}
+    # A folder with manifests holds only what they name.
+    found = [(f.path, f.size) for f in listed if f.path.endswith(ENDINGS)
+             and (f.path in committed or posixpath.dirname(f.path) not in own)
+             and (pattern is None or PurePosixPath(f.path).full_match(pattern))]
+    if not found and (pattern or not manifests):
+        raise FileNotFoundError(f"no archives in {pattern or path}")
+    return sorted(found)
+
+
 def _clean(value: str) -> str:
     """A header value on one line."""
     return re.sub(r"[\r\n]+", " ", value)
@@ -106,19 +163,26 @@ class PlainRecords:
         return found
 
     def payload(self) -> bytes:
+        size = self.left - 4
         content = self.source.read(self.left)
         self.left = 0
-        return content[:-4]
+        if len(content) < size:
+            raise ValueError("the archive ends within a record")
+        return content[:size]
 
     def next(self) -> None:
         self.source.seek(self.left, 1)
 
 
 class PackedRecords:
-    """Records in gzip members of their own; a payload is unpacked only when asked for."""
+    """Records in gzip members of their own; a payload is unpacked only when asked for.
+
+    From the first member that does not tell its length on, the rest is one gzip stream.
+    """
 
     def __init__(self, source):
         self.source = source
+        self.stream: PlainRecords | None = None
 
     def _more(self) -> bool:
         if self.unpacker.eof:
@@ -130,18 +194,21 @@ class PackedRecords:
         return True
 
     def headers(self) -> dict[str, str] | None:
+        if self.stream:
+            return self.stream.headers()
         self.start = self.source.tell()
         head = self.source.read(12)
         if not head:
             return None
         if head[:3] != b"\x1f\x8b\x08":
             raise ValueError("no gzip member starts here")
-        # Only the fields this writer sets are needed to know the length beforehand.
         extra = self.source.read(struct.unpack("<H", head[10:12])[0]) if head[3] & 4 else b""
-        self.length = struct.unpack("<I", extra[4:8])[0] if extra[:2] == b"sl" else None
-        if self.length is None:
+        if head[3] != 4 or extra[:2] != b"sl" or len(extra) != 12:
             self.source.seek(self.start)
-        self.unpacker = zlib.decompressobj(-15 if self.length else 31)
+            self.stream = PlainRecords(gzip.GzipFile(fileobj=self.source))
+            return self.stream.headers()
+        self.length = struct.unpack("<I", extra[4:8])[0]
+        self.unpacker = zlib.decompressobj(-15)
         self.plain = b""
         while (end := self.plain.find(b"\r\n\r\n")) < 0 and self._more():
             pass
@@ -151,18 +218,17 @@ class PackedRecords:
         return found
 
     def payload(self) -> bytes:
+        if self.stream:
+            return self.stream.payload()
         while len(self.plain) < self.size and self._more():
             pass
         return self.plain[:self.size]
 
     def next(self) -> None:
-        if self.length:
+        if self.stream:
+            self.stream.next()
+        else:
             self.source.seek(self.start + self.length)
-            return
-        while not self.unpacker.eof:
-            self.plain = b""
-            self._more()
-        self.source.seek(-len(self.unpacker.unused_data), 1)
 
 
 def records_of(source) -> PlainRecords | PackedRecords:
@@ -173,17 +239,24 @@ def records_of(source) -> PlainRecords | PackedRecords:
 
 def read_headers(stream) -> dict[str, str] | None:
     """Headers of the record that starts here, by lower-case name; None at the end."""
-    line = stream.readline()
+    while (line := stream.readline()) in (b"\r\n", b"\n"):
+        pass
     if not line:
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no record starts with {line[:40]!r}")
     found: dict[str, str] = {}
+    name = ""
     while (line := stream.readline()) not in (b"\r\n", b"\n"):
         if not line:
             raise ValueError("the archive ends within a record's headers")
-        name, _, value = line.decode("utf-8", "replace").partition(":")
-        found[name.strip().lower()] = value.strip()
+        text = line.decode("utf-8", "replace")
+        if text[0] in " \t" and name:
+            found[name] += " " + text.strip()
+            continue
+        name, _, value = text.partition(":")
+        name = name.strip().lower()
+        found[name] = value.strip()
     return found
 
 
@@ -198,9 +271,10 @@ class Pack(InputPartition):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, path: str, schema: StructType, max_bytes: int, packed: bool):
+    def __init__(self, path: str, schema: StructType, max_bytes: int, packed: bool,
+                 overwrite: bool):
         self.path, self.names, self.max_bytes = path.rstrip("/"), schema.names, max_bytes
-        self.packed = packed
+        self.packed, self.overwrite = packed, overwrite
         unknown = set(self.names) - set(HEADERS) - {"payload"}
         if unknown:
             raise ValueError(f"no WARC columns: {sorted(unknown)}")
@@ -237,8 +311,13 @@ class WarcWriter(DataSourceWriter):
         system, root = filesystem(self.path)
         system.create_dir(root, recursive=True)
         files = [f for m in messages if m is not None for f in m.files]
-        with system.open_output_stream(f"{root}/{MANIFEST}") as out:
-            out.write(json.dumps(files).encode())
+        old = [f.base_name for f in _listed(system, root, deep=False) if _is_manifest(f.path)]
+        commit = {"files": files, "replaces": sorted(old) if self.overwrite else []}
+        # Readers see a whole manifest or none.
+        name = f"{MANIFEST}-{uuid.uuid4().hex}"
+        with system.open_output_stream(f"{root}/{name}.writing") as out:
+            out.write(json.dumps(commit).encode())
+        system.move(f"{root}/{name}.writing", f"{root}/{name}.json")
 
     def abort(self, messages) -> None:
         system, root = filesystem(self.path)
@@ -267,10 +346,8 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> Sequence[InputPartition]:
         system, root = filesystem(self.path)
-        with system.open_input_stream(f"{root}/{MANIFEST}") as source:
-            files = json.loads(source.read())
         packs, size = [[]], 0
-        for name, length in sorted(files, key=lambda f: -f[1]):
+        for name, length in sorted(archives(system, root), key=lambda f: -f[1]):
             if packs[-1] and size + length > PACK_BYTES:
                 packs.append([])
                 size = 0
@@ -279,9 +356,9 @@ class WarcReader(DataSourceReader):
         return [Pack(p) for p in packs]
 
     def read(self, partition: Pack) -> Iterator[tuple]:
-        system, root = filesystem(self.path)
+        system, _ = filesystem(self.path)
         for name in partition.files:
-            with system.open_input_file(f"{root}/{name}") as source:
+            with system.open_input_file(name) as source:
                 yield from self.records(io.BufferedReader(source, 1 << 16))
 
     def records(self, source) -> Iterator[tuple]:
@@ -311,7 +388,7 @@ class WarcSource(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], schema,
                           int(self.options.get("max_file_bytes", MAX_FILE_BYTES)),
-                          self.options.get("compression", "gzip") == "gzip")
+                          self.options.get("compression", "gzip") == "gzip", overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -326,10 +403,11 @@ def read(spark: SparkSession, path: str, payload: str = "text") -> DataFrame:
 
 
 def write(df: DataFrame, path: str, max_file_bytes: int = MAX_FILE_BYTES,
-          compression: str = "gzip") -> None:
+          compression: str = "gzip", mode: str = "append") -> None:
+    """Add records to the archives of a folder, or with ``mode`` ``overwrite`` replace them."""
     register(df.sparkSession)
     (df.write.format("warc").option("max_file_bytes", max_file_bytes)
-     .option("compression", compression).mode("append").option("path", path).save())
+     .option("compression", compression).mode(mode).option("path", path).save())
 
 
 def as_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
