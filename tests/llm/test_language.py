@@ -79,3 +79,44 @@ def test_held_out_accuracy(spark):
         F.count("*").alias("n"), F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))
         .alias("right"), F.min("score").alias("low"), F.max("score").alias("high")).first()
     assert row.n > 250 and row.right >= 0.97 and 0 <= row.low <= row.high <= 1
+
+
+def test_ways_in_small_blocks_give_the_plain_path(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(langid, "WAY_NUMBERS", 40)
+    for _ in range(15):
+        n = rng.integers(50, 400)
+        scores, text = rng.normal(0, 3, (3, n)), np.sort(rng.integers(0, 5, n))
+        assert (langid.labels(scores, text, 4.0, 6) == plain(scores, text, 4.0)).all()
+
+
+def test_any_number_of_languages(make):
+    rng = np.random.default_rng(2)
+    scores, text = rng.normal(0, 3, (200, 300)), np.sort(rng.integers(0, 3, 300))
+    assert (langid.labels(scores, text, 4.0, 16) == plain(scores, text, 4.0)).all()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = {f"l{i:03}": " ".join(letters[i // 26 + j] + letters[i % 26] + letters[j]
+                                 for j in range(6)) for i in range(150)}
+    model = langid.trained(make("text string, lang string", *[(t, k) for k, t in word.items()]))
+    assert model.languages == sorted(word)
+    df = make("doc_id long, text string", *[(i, t) for i, t in enumerate(word.values())])
+    got = langid.identified(df, model).orderBy("doc_id").collect()
+    assert sum(r.lang == k for r, k in zip(got, word)) >= 148
+
+
+def test_marks_begin_no_word(make):
+    g = langid.grams(["\u0301 a\u0301b \u0301\u0302c", "\u0301"], 1 << 10)
+    assert list(zip(g.text.tolist(), g.start.tolist(), g.end.tolist())) == [(0, 2, 5), (0, 8, 9)]
+    model = langid.trained(make("text string, lang string", ("some words", "en")))
+    df = make("doc_id long, text string", (1, "12 \u0301\u0301"), (2, "x\u0301"))
+    assert {r.doc_id: (r.lang, r.score > 0) for r in langid.identified(df, model).collect()} == {
+        1: ("und", False), 2: ("en", True)}
+
+
+def test_a_very_long_text(make):
+    model = langid.trained(make("text string, lang string", *[("the quick fox", "en")] * 2,
+                                *[("der faule hund", "de")] * 2))
+    df = make("doc_id long, text string", (1, "the fox " * 120_000 + "der hund " * 40_000))
+    [row] = langid.identified(df, model).collect()
+    assert row.lang == "en" and [s.lang for s in row.spans] == ["en", "de"]
+    assert row.spans[0].end == 8 * 120_000 - 1

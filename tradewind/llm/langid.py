@@ -10,10 +10,11 @@ any language are worked out for all segments, then chained text by text. The res
 that of the plain recursion, for texts of any length.
 
 Training counts n-grams over all rows given, in tasks; the driver gets at most
-``buckets`` numbers per language, and refuses more than ``MAX_LANGUAGES``.
+``buckets`` numbers per language, so the model grows with the number of languages (half a
+megabyte each), not with the rows.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and no
-spans. Without any training row every text is ``und``. Equal scores go to the language
+spans. A combining mark continues a word and begins none. Without any training row every text is ``und``. Equal scores go to the language
 that comes first in the alphabet. Other columns are not passed on.
 """
 
@@ -31,12 +32,13 @@ from pyspark.sql import DataFrame, functions as F
 from tradewind.llm.frames import mapped, slices
 
 BUCKETS = 1 << 17
-MAX_LANGUAGES = 64
 GRAMS = (2, 3, 4)
 PENALTY = 12.0
 SMOOTHING = 0.5
 SCRIPT_SHARE = 0.001
 SEGMENT = 128
+# Numbers held at once for the ways through segments.
+WAY_NUMBERS = 1 << 22
 UNKNOWN = "und"
 
 # The first code point of each script range and the script it begins.
@@ -52,19 +54,21 @@ NAMES = sorted({name for _, name in SCRIPTS})
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: the lower-case letter (0 for all that is none), and its script."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: the lower-case letter (0 for all that is none), its script, and
+    whether it is a combining mark."""
     lower = np.zeros(0x110000, dtype=np.uint32)
+    mark = np.zeros(0x110000, dtype=bool)
     for code in range(0x110000):
         c = chr(code)
         if c.isalpha():
             small = c.lower()
             lower[code] = ord(small) if len(small) == 1 else code
         elif unicodedata.combining(c):
-            lower[code] = code
+            lower[code], mark[code] = code, True
     firsts = [code for code, _ in SCRIPTS]
     names = np.array([NAMES.index(name) for _, name in SCRIPTS], dtype=np.uint8)
-    return lower, names[np.searchsorted(firsts, np.arange(0x110000), side="right") - 1]
+    return lower, names[np.searchsorted(firsts, np.arange(0x110000), side="right") - 1], mark
 
 
 @dataclass
@@ -85,13 +89,21 @@ class Grams:
 
 def grams(texts: list[str | None], buckets: int) -> Grams:
     """Words and n-grams; a gram reaches over the edge of its word by one blank at most."""
-    lower, script = _tables()
+    lower, script, mark = _tables()
     # A blank before each text keeps words apart.
     joined = " " + " ".join(t or "" for t in texts) + " "
     codes = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype="<u4")
     begin = np.cumsum([1, *[len(t or "") + 1 for t in texts]])
     x = lower[codes]
     inside = x > 0
+    marks = mark[codes]
+    if marks.any():
+        # Marks that no letter comes before, back to the last blank, are in no word.
+        at = np.arange(len(x))
+        letter = np.maximum.accumulate(np.where(inside & ~marks, at, -1))
+        blank = np.maximum.accumulate(np.where(inside, -1, at))
+        inside &= letter > blank
+        x = np.where(inside, x, np.uint32(0))
     starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
     ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
     text = np.searchsorted(begin, starts, side="right") - 1
@@ -177,16 +189,23 @@ def trained(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         F.sum("n").alias("n"))
     found = sums.toArrow()
     languages = sorted(set(found["lang"].to_pylist()))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; at most {MAX_LANGUAGES}")
-    number = {lang: k for k, lang in enumerate(languages)}
-    totals = np.zeros((buckets + len(NAMES), len(languages)))
-    totals[found["place"].to_numpy(), [number[x] for x in found["lang"].to_pylist()]] = (
-        found["n"].to_numpy())
-    counts, letters = totals[:buckets], totals[buckets:]
-    scores = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * buckets))
-    used = letters >= SCRIPT_SHARE * np.maximum(letters.sum(axis=0), 1)
-    return Model(languages, scores.astype(np.float32), used & (letters > 0))
+    number = found["lang"].combine_chunks().dictionary_encode()
+    own = np.array([languages.index(x) for x in number.dictionary.to_pylist()], dtype=np.int64)
+    lang, place = own[number.indices.to_numpy()], found["place"].to_numpy()
+    n = found["n"].to_numpy()
+    # A language's scores are worked out by itself: only the result is held for all.
+    scores = np.empty((buckets, len(languages)), dtype=np.float32)
+    used = np.zeros((len(NAMES), len(languages)), dtype=bool)
+    order = np.argsort(lang, kind="stable")
+    for k, rows in enumerate(np.split(order, np.searchsorted(lang[order],
+                                                             np.arange(1, len(languages))))):
+        total = np.zeros(buckets + len(NAMES))
+        if languages:
+            total[place[rows]] = n[rows]
+            counts, letters = total[:buckets], total[buckets:]
+            scores[:, k] = np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * buckets))
+            used[:, k] = (letters >= SCRIPT_SHARE * max(letters.sum(), 1)) & (letters > 0)
+    return Model(languages, scores, used)
 
 
 def labels(scores: np.ndarray, text: np.ndarray, penalty: float,
@@ -213,31 +232,37 @@ def labels(scores: np.ndarray, text: np.ndarray, penalty: float,
     place[order] = np.arange(segments)
     running = np.searchsorted(-length, -np.arange(steps), side="left")
 
-    # Best score from each language before the segment to each at its end.
-    way = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)[:, :, None].repeat(segments, axis=2)
-    for t in range(steps):
-        m = running[t]
-        part = way[:, :, :m]
-        np.maximum(part, part.max(axis=1, keepdims=True) - penalty, out=part)
-        part += scores[:, start[:m] + t]
     before = np.zeros((k, segments))
     turns = int(turn.max()) + 1
     by_turn = [np.flatnonzero(turn == r) for r in range(turns)]
-    for later in by_turn[1:]:
-        a, b = place[later - 1], place[later]
-        reached = (before[:, None, a] + way[:, :, a]).max(axis=0)
-        before[:, b] = reached - reached.max(axis=0)
+    # Segments that others of their text come before, in turn; those before them are whole.
+    chained = np.concatenate(by_turn[1:]) if turns > 1 else np.zeros(0, np.int64)
+    at_once = max(1, WAY_NUMBERS // (k * k))
+    for at in range(0, len(chained), at_once):
+        some = chained[at:at + at_once]
+        # Best score from each language before the segment to each at its end.
+        way = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)[:, :, None].repeat(len(some), axis=2)
+        begin = start[place[some - 1]]
+        for t in range(segment):
+            np.maximum(way, way.max(axis=1, keepdims=True) - penalty, out=way)
+            way += scores[:, begin + t]
+        for r in range(turn[some[0]], turn[some[-1]] + 1):
+            own = np.flatnonzero(turn[some] == r)
+            a, b = place[some[own] - 1], place[some[own]]
+            reached = (before[:, None, a] + way[:, :, own]).max(axis=0)
+            before[:, b] = reached - reached.max(axis=0)
 
     value = before
-    own = np.arange(k, dtype=np.int8)[:, None]
-    came = np.empty((steps, k, segments), dtype=np.int8)
+    number = np.int8 if k <= 127 else np.int32
+    own = np.arange(k, dtype=number)[:, None]
+    came = np.empty((steps, k, segments), dtype=number)
     for t in range(steps):
         m = running[t]
         part = value[:, :m]
         best = part.argmax(axis=0)
         top = part.max(axis=0) - penalty
         stays = part >= top
-        came[t, :, :m] = np.where(stays, own, best.astype(np.int8))
+        came[t, :, :m] = np.where(stays, own, best.astype(number))
         value[:, :m] = np.where(stays, part, top) + scores[:, start[:m] + t]
     # Which language before the segment leads to each at its end.
     source = np.broadcast_to(own, (k, segments)).copy()
