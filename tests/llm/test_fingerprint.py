@@ -82,3 +82,50 @@ def test_odd_rows(make):
     assert [(r.near_edited, r.near_next) for r in one] == [(1.0, 1.0)]
     assert fingerprint.compared(df.limit(0)).count() == 0
     assert fingerprint.fingerprints(df).count() == 6
+
+
+def signed(digests):
+    return sorted(np.array(sorted(digests), dtype=np.uint64).view(np.int64).tolist())
+
+
+def test_differing_digests_come_back(make):
+    texts = some_texts(4, 40)
+    other = [fingerprint.edited(t, u) for t, u in zip(texts, texts[1:] + texts[:1])]
+    rows = [*zip(range(40), texts, other), (40, None, "a b"), (41, "a b", "a b"), (41, None, "")]
+    df = make("doc_id long, old string, new string, whole int",
+              *[(*r, 1) for r in rows])
+    got = fingerprint.differing(df, "old", "new").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        a, b = pieces([r.old or "", r.new or ""])
+        assert r.whole and r.only_left == signed(a - b) and r.only_right == signed(b - a)
+
+
+def test_stored_fingerprints_are_subtracted(make):
+    texts = some_texts(5, 60)
+    other = [fingerprint.edited(t, u) for t, u in zip(texts, texts[1:] + texts[:1])]
+    stored = [fingerprint.sketch_texts(fingerprint.piece_digests(pa.array(x))) for x in (texts, other)]
+    larger = fingerprint.sketch_texts(fingerprint.piece_digests(pa.array(["a b c"])), 96)[0]
+    df = make("n int, a string, b string", *zip(range(60), *stored), (60, None, stored[0][0]),
+              (61, stored[0][0], larger))
+    got = {r.n: r for r in fingerprint.subtracted(df, "a", "b").collect()}
+    whole = 0
+    for n, (x, y) in enumerate(zip(texts, other)):
+        a, b = pieces([x, y])
+        if got[n].whole:
+            whole += 1
+            assert got[n].only_left == signed(a - b) and got[n].only_right == signed(b - a)
+        else:
+            # Only a difference beyond the cells may fail.
+            assert len(a ^ b) > 24 and got[n].only_left is None and got[n].only_right is None
+    assert 20 < whole < 60
+    assert (got[60].whole, got[61].whole) == (None, False)
+    assert fingerprint.subtracted(df.limit(0), "a", "b").count() == 0
+
+
+def test_long_texts_at_once(make):
+    rnd = random.Random(9)
+    long = " ".join(f"w{rnd.randint(0, 9)}" for _ in range(250_000))
+    df = make("doc_id long, text string", *[(k, long + str(k)) for k in range(6)])
+    got = fingerprint.compared(df).collect()
+    assert len(got) == 6 and all(r.near_next > 0.99 for r in got if r.doc_id < 5)

@@ -11,6 +11,9 @@ which takes it out of its other cells.
 
 A sketch too small for the difference does not peel to nothing. Both are then rebuilt
 eight times as large, from the texts, until they do; the number of digests bounds it.
+Stored fingerprints are compared without the texts (``subtracted``), which gives the
+differing digests of either side, or tells that larger sketches are needed;
+``differing`` rebuilds them from the texts.
 
 Likeness is the share of digests, of all that either text has, that both have; two texts
 without a piece are alike. Equal texts have equal fingerprints. A null text is an empty
@@ -39,6 +42,7 @@ CUT_EVERY = 4
 LONGEST = 8
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _CHECK = np.uint64(0x27D4EB2F165667C5)
+_WHOLE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def piece_digests(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +95,28 @@ class Sketches:
         self.count = np.bincount(at, minlength=total).astype(np.int64)
         self.keys, self.checks = (_xor_at(at, np.repeat(v, PARTS), total)
                                   for v in (digests, mixed(digests + _CHECK)))
+        self.mask = _WHOLE
+
+    @classmethod
+    def parsed(cls, texts: list[str]) -> Sketches:
+        """Sketches from their texts, which hold the lower half of each check."""
+        own = cls.__new__(cls)
+        heads, bodies = zip(*(t.split(":", 1) for t in texts)) if texts else ((), ())
+        own.sizes = np.array([int(h) for h in heads], dtype=np.int64)
+        own.base = np.concatenate([[0], np.cumsum(own.sizes * PARTS)]).astype(np.int64)
+        count, keys, checks = [], [], []
+        for n, body in zip(own.sizes.tolist(), bodies):
+            cells, raw = n * PARTS, base64.b64decode(body)
+            if len(raw) != cells * 16:
+                raise ValueError("a fingerprint whose length does not fit its size")
+            count.append(np.frombuffer(raw, "<u4", cells))
+            keys.append(np.frombuffer(raw, "<u8", cells, 4 * cells))
+            checks.append(np.frombuffer(raw, "<u4", cells, 12 * cells))
+        own.count = np.concatenate([*count, np.empty(0, np.uint32)]).astype(np.int64)
+        own.keys = np.concatenate([*keys, np.empty(0, np.uint64)]).astype(np.uint64)
+        own.checks = np.concatenate([*checks, np.empty(0, np.uint32)]).astype(np.uint64)
+        own.mask = np.uint64(0xFFFFFFFF)
+        return own
 
     def text(self, n: int) -> str:
         """One sketch as text: cells per part, then counts, digests and checks."""
@@ -110,20 +136,30 @@ def _xor_at(at: np.ndarray, values: np.ndarray, total: int) -> np.ndarray:
 
 def peeled(a: Sketches, b: Sketches) -> tuple[np.ndarray, np.ndarray]:
     """Of each pair of sketches: how many digests differ, and whether all were recovered."""
+    owner, _, _, whole = recovered(a, b)
+    return np.bincount(owner, minlength=len(whole)), whole
+
+
+def recovered(a: Sketches, b: Sketches) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Differing digests of pairs of sketches: number of the pair, digest, and 1 where the
+    first sketch has it, -1 where the second has; and whether all of a pair were recovered."""
+    mask = a.mask & b.mask
     count, keys, checks = a.count - b.count, a.keys ^ b.keys, a.checks ^ b.checks
     n = len(a.sizes)
     owner_of_cell = np.repeat(np.arange(n), a.sizes * PARTS)
-    found = np.zeros(n, dtype=np.int64)
+    owners, digests, signs = ([np.empty(0, t)] for t in (np.int64, np.uint64, np.int64))
     at = np.flatnonzero(np.abs(count) == 1)
     while len(at):
-        at = at[checks[at] == mixed(keys[at] + _CHECK)]
+        at = at[(checks[at] ^ mixed(keys[at] + _CHECK)) & mask == 0]
         if not len(at):
             break
         owner, key, sign = owner_of_cell[at], keys[at], count[at]
         # A digest that stands alone in several cells is taken out once.
         _, once = np.unique(mixed(key ^ owner.astype(np.uint64) * _SEEDS[2]), return_index=True)
         owner, key, sign = owner[once], key[once], sign[once]
-        found += np.bincount(owner, minlength=n)
+        owners.append(owner)
+        digests.append(key)
+        signs.append(sign)
         cells = (_cells(key, a.sizes[owner]) + a.base[owner][:, None]).ravel()
         np.subtract.at(count, cells, np.repeat(sign, PARTS))
         np.bitwise_xor.at(keys, cells, np.repeat(key, PARTS))
@@ -131,7 +167,7 @@ def peeled(a: Sketches, b: Sketches) -> tuple[np.ndarray, np.ndarray]:
         at = np.unique(cells)
         at = at[np.abs(count[at]) == 1]
     left = np.bincount(owner_of_cell, weights=(count != 0) | (keys != 0), minlength=n)
-    return found, left == 0
+    return np.concatenate(owners), np.concatenate(digests), np.concatenate(signs), left == 0
 
 
 def likeness(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray],
@@ -182,6 +218,90 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return mapped(plain, work, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
 
 
+DIFFERENCE = "whole boolean, only_left array<long>, only_right array<long>"
+
+
+def _difference(a: Sketches, b: Sketches) -> tuple[np.ndarray, list[list], list[list]]:
+    """Per pair: whether all came back, and the digests of either side (null if not)."""
+    owner, digest, sign, whole = recovered(a, b)
+    digest = digest.view(np.int64)
+    sides = []
+    for side in (1, -1):
+        rows = np.flatnonzero(sign == side)
+        rows = rows[np.lexsort((digest[rows], owner[rows]))]
+        cuts = np.searchsorted(owner[rows], np.arange(len(whole) + 1))
+        sides.append([digest[rows[x:y]].tolist() if ok else None
+                      for x, y, ok in zip(cuts, cuts[1:], whole)])
+    return whole, *sides
+
+
+def _with_difference(batch: pa.RecordBatch, names: list[str], found) -> pa.RecordBatch:
+    whole, left, right = found
+    longs = pa.list_(pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, pa.array(whole, pa.bool_()), pa.array(left, longs),
+         pa.array(right, longs)], names=[*names, "whole", "only_left", "only_right"])
+
+
+def _appended(df: DataFrame, work) -> DataFrame:
+    own = [c for c in df.columns if c not in ("whole", "only_left", "only_right")]
+    plain = df.select(*[F.col(f"`{c}`") for c in own])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    return mapped(plain, lambda batches: work(batches, own), f"{fields}, {DIFFERENCE}")
+
+
+def subtracted(df: DataFrame, left_col: str, right_col: str) -> DataFrame:
+    """``df`` with what two columns of stored fingerprints differ in, without their texts.
+
+    ``only_left`` and ``only_right`` hold the digests of the pieces that one side alone has,
+    ascending, and ``whole`` is true. Where the sketches are too small for the difference,
+    or of different sizes, ``whole`` is false and both are null: larger sketches are
+    needed. A null fingerprint gives three nulls; a text that is no fingerprint raises.
+    """
+    def work(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            pairs = list(zip(*(batch.column(names.index(c)).to_pylist()
+                               for c in (left_col, right_col))))
+            known = [None not in p for p in pairs]
+            fit = [ok and p[0].split(":", 1)[0] == p[1].split(":", 1)[0]
+                   for ok, p in zip(known, pairs)]
+            both = [p for p, ok in zip(pairs, fit) if ok]
+            found = _difference(*(Sketches.parsed([p[side] for p in both]) for side in (0, 1)))
+            spread = zip(*(x for x in found))
+            rows = [next(spread) if f else (False if k else None, None, None)
+                    for k, f in zip(known, fit)]
+            columns = [list(x) for x in zip(*rows)] or [[], [], []]
+            columns[0] = [None if x is None else bool(x) for x in columns[0]]
+            yield _with_difference(batch, names, columns)
+
+    return _appended(df, work)
+
+
+def differing(df: DataFrame, left_col: str, right_col: str, cells: int = CELLS) -> DataFrame:
+    """``df`` with the digests that only one of two columns of whole texts has.
+
+    Columns as in ``subtracted``; sketches that are too small are rebuilt larger, so
+    ``whole`` is always true. A null text is an empty one.
+    """
+    def work(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            sides = [piece_digests(pa.array([t or "" for t in batch.column(names.index(c))
+                                             .to_pylist()], pa.string()))
+                     for c in (left_col, right_col)]
+            n = batch.num_rows
+            left, right = [None] * n, [None] * n
+            open_, size = np.arange(n), np.full(n, -(-cells // PARTS))
+            while len(open_):
+                whole, a, b = _difference(*(Sketches(*_chosen(d, f, open_), size)
+                                            for d, f in sides))
+                for k, i in enumerate(open_.tolist()):
+                    left[i], right[i] = a[k], b[k]
+                open_, size = open_[~whole], size[~whole] * GROWTH
+            yield _with_difference(batch, names, ([True] * n, left, right))
+
+    return _appended(df, work)
+
+
 def edited(text: str, following: str) -> str:
     """The last quarter replaced by the first as many characters of the next text."""
     n = len(text) // 4
