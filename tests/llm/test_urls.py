@@ -41,3 +41,33 @@ def test_other_vocabularies_and_no_rows(make):
     assert [r.verdict for r in urls.judged(df, (), own).collect()] == ["block", "block"]
     assert [r.verdict for r in urls.judged(df, (), urls.Vocabulary((), ())).collect()] == ["allow"] * 2
     assert urls.judged(df.limit(0), URL_RULES).count() == 0
+
+
+def test_a_vocabulary_as_data(make):
+    terms = make("term string, strict boolean, weight double, url string",
+                 ("Kasino", True, None, ""), ("kasino", False, 9.0, ""), ("apuesta", False, 0.5, ""),
+                 ("казино", True, 1.0, ""), ("gratis", None, 1.5, ""), ("gratis", False, 0.2, ""),
+                 ("bonus", False, None, ""), (None, True, 1.0, ""), ("  ", True, 1.0, ""))
+    vocabulary = urls.Vocabulary.of_table(terms)
+    assert vocabulary.strict == ("kasino", "казино")
+    assert vocabulary.soft == {"apuesta": 0.5, "bonus": 1.0, "gratis": 1.5}
+    df = make("page_id long, url string, n_soft int", *[(k, f"http://a.org/{u}", 0) for k, u in enumerate(
+        ["KASINO", "казино", "apuesta-bonus", "gratis/apuesta", "gratis/gratis", "kasinos",
+         "bonus+apuesta+gratis"])])
+    rows = urls.judged(df, (), vocabulary).orderBy("page_id").collect()
+    assert [(r.n_strict, r.n_soft, r.verdict) for r in rows] == [
+        (1, 0, "block"), (1, 0, "block"), (0, 2, "allow"), (0, 2, "block"), (0, 1, "allow"),
+        (0, 0, "allow"), (0, 3, "block")]
+    assert urls.Vocabulary.of_table(terms.limit(0)).machine() is None
+
+
+def test_too_many_terms_raise(make, monkeypatch):
+    monkeypatch.setattr(urls, "MAX_TERMS", 1)
+    terms = make("term string, strict boolean, weight double", ("a", True, 1.0), ("b", True, 1.0))
+    with pytest.raises(ValueError, match="more than 1"):
+        urls.Vocabulary.of_table(terms)
+
+
+def test_a_very_long_url(make):
+    df = make("page_id long, url string", (1, "http://a.org/" + "x/" * 500_000 + "casino"))
+    assert [r.verdict for r in urls.judged(df, ()).collect()] == ["block"]

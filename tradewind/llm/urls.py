@@ -3,7 +3,9 @@
 The longest rule that fits a url's host and path decides. Without one, the url's
 lower-cased text is searched for the vocabulary in one pass. A term counts only
 between boundaries: the characters beside it are no ASCII letters or digits. One
-strict term, or ``soft_limit`` different soft terms, block the url.
+strict term, or different soft terms whose weights come to ``soft_limit``, block the url.
+A soft term weighs 1 unless the vocabulary says otherwise. ``Vocabulary.of_table`` reads
+terms of any languages and their weights from a table; the list below is an example.
 
 A null url has an empty host and path, fits no rule, holds no term and is allowed.
 Rows are judged one by one; repeated rows and ties between equal rules (the first
@@ -12,7 +14,8 @@ stated wins) give the same verdict every time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewind.llm.frames import mapped, slices
 
 ALLOW, BLOCK = "allow", "block"
+MAX_TERMS = 1_000_000
 
 # Example vocabulary: a strict term is never wanted, a soft one only in company.
 STRICT = ("porn", "xxx", "casino", "viagra", "jackpot", "malware", "warez")
@@ -44,11 +48,35 @@ class Rule:
 
 @dataclass(frozen=True)
 class Vocabulary:
+    """Terms in any order; ``soft`` may give each term a weight."""
+
     strict: Sequence[str] = STRICT
-    soft: Sequence[str] = SOFT
-    soft_limit: int = 2
+    soft: Sequence[str] | Mapping[str, float] = SOFT
+    soft_limit: float = 2
     _machine: list = field(default_factory=list, compare=False, repr=False)
 
+    @classmethod
+    def of_table(cls, df: DataFrame, soft_limit: float = 2) -> Vocabulary:
+        """From columns term, strict (boolean) and weight.
+
+        Null and empty terms are left out; a null strict is soft, a null weight 1. Among
+        rows of one term the strict one wins, then the largest weight. More terms than
+        ``MAX_TERMS`` raise, as each task holds them all.
+        """
+        given = F.col("term").isNotNull() & (F.trim("term") != "")
+        terms = df.where(given).groupBy(folded(F.trim("term")).alias("term")).agg(
+            F.max(F.coalesce("strict", F.lit(False))).alias("strict"),
+            F.max(F.coalesce(F.col("weight").cast("double"), F.lit(1.0))).alias("weight"))
+        found = terms.limit(MAX_TERMS + 1).collect()
+        if len(found) > MAX_TERMS:
+            raise ValueError(f"more than {MAX_TERMS} terms")
+        return cls(tuple(sorted(r["term"] for r in found if r["strict"])),
+                   {r["term"]: r["weight"] for r in sorted(found, key=lambda r: r["term"])
+                    if not r["strict"]}, soft_limit)
+
+    def weight(self, term: str) -> float:
+        return self.soft[term] if isinstance(self.soft, Mapping) else 1
+
     def machine(self) -> ahocorasick.Automaton | None:
         if not self.strict and not self.soft:
             return None
@@ -56,7 +84,8 @@ class Vocabulary:
             automaton = ahocorasick.Automaton()
             for strict, terms in ((False, self.soft), (True, self.strict)):
                 for term in terms:
-                    automaton.add_word(term.lower(), (term.lower(), strict))
+                    weight = 0 if strict else self.weight(term)
+                    automaton.add_word(_folded(term), (_folded(term), strict, weight))
             automaton.make_automaton()
             self._machine.append(automaton)
         return self._machine[0]
@@ -69,19 +98,27 @@ class Vocabulary:
 
     def hits(self, url: str) -> tuple[int, int]:
         """How many different strict and soft terms stand between boundaries."""
+        return self.weighed(url)[:2]
+
+    def weighed(self, url: str) -> tuple[int, int, float]:
+        """The same, and the weight of the soft ones."""
         machine = self.machine()
         if machine is None:
-            return 0, 0
+            return 0, 0, 0
         text = _folded(url)
-        strict, soft = set(), set()
-        for last, (term, is_strict) in machine.iter(text):
+        strict, soft = set(), {}
+        for last, (term, is_strict, weight) in machine.iter(text):
             first = last - len(term) + 1
             if first and _inner(text[first - 1]) or last + 1 < len(text) and _inner(text[last + 1]):
                 continue
-            (strict if is_strict else soft).add(term)
-        return len(strict), len(soft)
-
-    def blocks(self, strict: int, soft: int) -> bool:
+            if is_strict:
+                strict.add(term)
+            else:
+                soft[term] = weight
+        return len(strict), len(soft), math.fsum(soft.values())
+
+    def blocks(self, strict: int, soft: float) -> bool:
+        """Whether strict terms and the weight of soft ones block a url."""
         return strict > 0 or soft >= self.soft_limit
 
 
@@ -93,11 +130,15 @@ def _inner(c: str) -> bool:
     return "a" <= c <= "z" or "0" <= c <= "9"
 
 
+def folded(text: Column) -> Column:
+    """A-Z in lower case, as tasks fold urls."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case."""
     found = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.translate(found, upper, lower)
+    return folded(found)
 
 
 def path_of(url: Column) -> Column:
@@ -134,10 +175,10 @@ def judged(df: DataFrame, rules: Sequence[Rule], vocabulary: Vocabulary = Vocabu
             strict, soft, verdicts = [], [], []
             for url, given in zip(batch.column("url").to_pylist(),
                                   batch.column("by_rule").to_pylist()):
-                hard, mild = vocabulary.hits(url or "")
+                hard, mild, weight = vocabulary.weighed(url or "")
                 strict.append(hard)
                 soft.append(mild)
-                verdicts.append(given or (BLOCK if vocabulary.blocks(hard, mild) else ALLOW))
+                verdicts.append(given or (BLOCK if vocabulary.blocks(hard, weight) else ALLOW))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("id", "host", "path", "rule")),
                  pa.array(strict, pa.int32()), pa.array(soft, pa.int32()),
