@@ -4,6 +4,11 @@ Five stages, each over all its predecessor kept: documents without a language go
 document of each group of near-duplicates stays, passages that an earlier document holds
 are cut, personal data is masked, and what is left is packed. Every stage's rows are
 written as Parquet to the shared folder and read again by the next.
+
+Null and empty texts, and texts without a letter, have no language and go in the first
+stage; so an empty table, or one of such texts only, packs into nothing. Rows that repeat
+an id and its text stay once; a null id is kept. Columns beyond those of documents are
+carried along up to packing. Very long texts are handled whole by every stage.
 """
 
 from __future__ import annotations
@@ -31,9 +36,14 @@ def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; a missing ``lang`` becomes the one found."""
+    """Documents with a language; a missing ``lang`` becomes the one found.
+
+    Where no document has a ``lang`` there is nothing to learn from: those with a letter stay.
+    """
     configure(spark)
     model = langid.trained(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     known = langid.with_language(docs, model).where(
         (F.col("found_lang") != langid.UNKNOWN) & (F.col("found_score") >= LEAST_LANGUAGE))
     return known.withColumn("lang", F.coalesce("lang", "found_lang")).select(*docs.columns)
