@@ -386,3 +386,30 @@ ORACLES["text_features_nlp"] = over_raw(SCORED + """SELECT review_id,
   review_language, CASE WHEN m_empty THEN -999 ELSE emoji_count END AS emoji_count
 FROM (SELECT f.*, s.m IS NULL OR length(s.m) = 0 AS m_empty
       FROM features f JOIN scored s ON f.review_id = s.review_id)""")
+
+# Weights of words that stand in five scored reviews at least, with a prior of ten.
+LEARNED = TOKENS + f""",
+words AS (
+  SELECT t.review_id, t.m, r.review_score AS s,
+    unnest(list_distinct(list_filter(t.w, lambda x: x <> ''))) AS word
+  FROM tokens t JOIN raw_reviews r ON t.review_id = r.review_id WHERE length(t.m) > 0),
+counted AS (
+  SELECT word, COUNT(*) FILTER (WHERE s >= 4) AS n_positive,
+    COUNT(*) FILTER (WHERE s <= 2) AS n_negative
+  FROM words WHERE s >= 4 OR s <= 2 GROUP BY word),
+totals AS (SELECT SUM(n_positive)::DOUBLE AS p, SUM(n_negative)::DOUBLE AS n FROM counted),
+weights AS (
+  SELECT word, n_positive, n_negative,
+    {half_up("ln((n_positive + 10.0::DOUBLE * p / (p + n)) / p)"
+             " - ln((n_negative + 10.0::DOUBLE * n / (p + n)) / n)", 6)} AS weight
+  FROM counted, totals WHERE p > 0 AND n > 0 AND n_positive + n_negative >= 5)
+"""
+ORACLES["sentiment_weights"] = over_raw(
+    LEARNED + "SELECT word, n_positive, n_negative, weight FROM weights")
+ORACLES["review_sentiment_learned"] = over_raw(LEARNED + f""",
+means AS (
+  SELECT review_id, SUM(CAST(weight AS DECIMAL(18,6)))::DOUBLE / COUNT(*) AS a
+  FROM words JOIN weights USING (word) GROUP BY review_id)
+SELECT r.review_id, CASE WHEN length(r.review_comment_message) > 0
+  THEN {half_up("COALESCE(a / (abs(a) + 1), 0.0)", 6)} END AS learned_polarity
+FROM raw_reviews r LEFT JOIN means m ON r.review_id = m.review_id""")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tradewind.functions import text
+from tradewind.functions import sentiment, text
 from tradewind.operators import aggregates, cleaning, ordering, profiling, quality, star
 from tradewind.plans import (
     customers, merge, metrics, orders, pipeline, products, revenue, rfm, sellers, views,
@@ -501,6 +501,18 @@ def review_sentiment(spark, folder):
     return scored.select("review_id", "sentiment_polarity", "sentiment_subjectivity")
 
 
+@query
+def sentiment_weights(spark, folder):
+    return sentiment.word_weights(_raw(spark, folder, "reviews"))
+
+
+@query
+def review_sentiment_learned(spark, folder):
+    reviews = _raw(spark, folder, "reviews")
+    weights = stored(sentiment.word_weights(reviews), "weights")
+    return sentiment.learned_sentiment(reviews, weights).select("review_id", "learned_polarity")
+
+
 @query
 def review_language(spark, folder):
     return text.review_language(_raw(spark, folder, "reviews"), "review_comment_message").select(
