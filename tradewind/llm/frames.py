@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind.session import stored
 
 # Rows and bytes handed to a Python worker at once: bounds its memory when texts are long.
-ROWS_AT_ONCE, BYTES_AT_ONCE = 512, "4m"
+ROWS_AT_ONCE, BYTES_AT_ONCE = 512, "1m"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,13 +35,31 @@ def findable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system.
+
+    Workers wait for their next task beside the executor's heap, and what a batch of long
+    texts took would stay theirs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of bounded length."""
+    """``mapInArrow`` with batches of bounded length; memory is given back after each task."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
     findable(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(tidy, schema)
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
