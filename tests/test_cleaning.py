@@ -175,3 +175,18 @@ def test_null_audit_covers_every_column(make):
     audit = {(r.table_name, r.column_name): r.null_count
              for r in cleaning.null_audit(tables).collect()}
     assert audit == {("a", "x"): 1, ("a", "y"): 2, ("b", "z"): 0}
+
+
+def test_only_rows_of_repeated_keys_are_sorted_and_shuffled(make, monkeypatch):
+    rows = [(k, str(k), 9) for k in range(500)] + [(3, "3", 1), (None, "x", 7), (None, "x", 5)]
+    df = make("k int, part string, v int", *rows)
+    out = cleaning.dedupe_first(df, ["k", "part"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "LeftAnti" in text
+    kept = sorted(map(tuple, out.collect()), key=str)
+    assert len(kept) == 501 and (3, "3", 1) in kept and (None, "x", 5) in kept
+    # With many repeated keys there is one shuffle of all rows, and the same result.
+    monkeypatch.setattr(cleaning, "FEW_KEYS", 1)
+    whole = cleaning.dedupe_first(df, ["k", "part"])
+    assert "LeftAnti" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, whole.collect()), key=str) == kept

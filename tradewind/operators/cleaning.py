@@ -26,6 +26,12 @@ CountedKeep = Callable[[str, DataFrame, Mapping[str, Column]],
                        tuple[DataFrame, Mapping[str, int]]]
 
 
+# Repeated keys that every task may hold.
+FEW_KEYS = 100_000
+# Share of distinct keys, less the error of its estimate, from which on repeated ones are sought.
+MOSTLY = 0.9
+
+
 class DataQualityError(ValueError):
     """A table breaks a rule that must stop the run."""
 
@@ -154,13 +160,35 @@ def dedupe_first(
     """Keep the first row of each key; null keys equal each other.
 
     Without ``order_by`` the other columns, in order, decide which row is first,
-    so the choice does not depend on how the data is split. Spark keeps one
-    candidate row per key in each task before the shuffle, so a hot key costs
-    at most one row per task.
+    so the choice does not depend on how the data is split. Where nearly all keys
+    differ by an estimate, those that repeat are found and stored. If they are few, only
+    their rows are sorted and shuffled; all others stay in their task. If they are many,
+    Spark keeps one candidate row per key in each task before the shuffle, so a hot key
+    costs at most one row per task. The estimate chooses the plan, not the rows.
     """
     order = [c for c in (order_by or df.columns) if c not in keys]
     first = W.partitionBy(*keys).orderBy(*order) if order else W.partitionBy(*keys).orderBy(*keys)
-    return df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+
+    def firsts(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop(
+            "_place")
+
+    if not keys:
+        return firsts(df)
+    seen = df.agg(F.count("*").alias("rows"),
+                  F.approx_count_distinct(F.xxhash64(*keys), 0.02).alias("keys")).first()
+    if seen["keys"] < seen["rows"] * MOSTLY - FEW_KEYS:
+        return firsts(df)
+    again = [f"_again_{i}" for i in range(len(keys))]
+    repeated = stored(
+        df.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, again)])
+        .agg(F.count("*").alias("_n")).filter("_n > 1").select(*again), "repeated")
+    if repeated.count() > FEW_KEYS:
+        return firsts(df)
+    same = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, again)])
+    few = F.broadcast(repeated)
+    return firsts(df.join(few, same, "left_semi")).unionByName(df.join(few, same, "left_anti"))
 
 
 def coerce_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
