@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind import registry
 from tradewind.operators import cleaning, star
-from tradewind.plans import customers, revenue, rfm, views
+from tradewind.plans import customers, pipeline, revenue, rfm, views
 from tradewind.sources import retail
 
 FOLDER = "/root/testdata/sf0.001"
@@ -118,3 +118,15 @@ def test_an_order_with_a_third_of_the_items_is_split_in_the_join(spark):
         (F.col("order_id") % 50).alias("customer_id")
     ).agg(F.countDistinct("order_id").alias("o"), F.count("*").alias("n")).collect()}
     assert rows == expected
+
+
+def test_measures_of_the_stored_fact_are_not_shuffled_for_its_months(spark, house):
+    fact, _, _ = pipeline._star(house.tables, registry.RUN_TS, "commerce_csv", dealt=True)
+    few = fact.select("order_id", "total_value", "delivery_time_days", "data_source")
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("RebalancePartitions", 1)
+    for name in ("total_value", "delivery_time_days", "data_source"):
+        assert name in above and name not in below
+    assert fact.columns == pipeline.star(house.tables, registry.RUN_TS)[0].columns
+    assert fact.exceptAll(house.fact.select(*fact.columns)).isEmpty()
+    assert fact.count() == house.fact.count()
