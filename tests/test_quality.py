@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from tests.conftest import column
@@ -134,3 +135,26 @@ def test_quality_rates(make):
     df = make("k int, t string", (1, "2023-01-01"), (1, "bad"), (None, None), (2, "2023-01-02"))
     r = metrics.quality_rates(df, ["k"], ["k"], ["t"]).first()
     assert (r.null_rate_pct, r.duplicate_rate_pct, r.type_compliance_pct) == (25.0, 25.0, 66.6667)
+
+
+@pytest.mark.parametrize("rows", [0, 40])
+def test_gate_reads_a_table_with_references_once(spark, make, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "order_id int, order_item_id int, customer_id int, product_id int, seller_id int, price double"
+    fact = make(schema, *[(k // 2, 1, k % 3 or None, 1, k % 4, k - 1.0) for k in range(rows)])
+    dims = {f"dim_{n}s": make(f"{n}_id int", (1,), (2,)) for n in ("customer", "product", "seller")}
+    found = {r.check_name: (r.checked, r.failed) for r in quality.threshold_gate(
+        {"fact_order_items": fact.mapInArrow(seen, schema), **dims}).collect()
+        if r.table_name == "fact_order_items"}
+    assert read.value == rows
+    nobody = sum(k % 3 == 0 for k in range(rows))
+    assert found["null:customer_id"] == (rows, nobody) == found["reference:customer_id"]
+    assert found["duplicates"] == (rows, rows // 2)
+    assert found["reference:seller_id"] == (rows, rows // 2)
+    assert found["negative amounts"] == (rows, min(rows, 1))

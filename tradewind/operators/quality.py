@@ -15,6 +15,7 @@ from tradewind.schemas import (
     GATE_RULES, MAX_DUPLICATES, MAX_FK_VIOLATIONS, MAX_INVALID, MAX_NULL_WARNING,
     ORDER_STATUSES, GateRules,
 )
+from tradewind.session import counted_write, scratch_path
 
 
 @dataclass(frozen=True)
@@ -303,7 +304,8 @@ def threshold_gate(
     Critical fields fail above the table's null limit and warn from the first
     null on; other columns only warn, above the general limit. Duplicates,
     broken references and negative amounts warn from the first row on. ``counted`` holds
-    ``gate_counts`` that are known already, by table.
+    ``gate_counts`` that are known already, by table. A table with references is read
+    once: its keys are stored while its rows are judged, so a join need not be stored whole.
     """
     parts = []
     for name, rule in rules.items():
@@ -404,10 +406,13 @@ def _gate_counts(
             F.lit(fail).alias("fail"),
         ]
 
-    checks = gate_counts(df)
+    columns, checks = df.columns, gate_counts(df)
+    if counted is None and rule.foreign_keys:
+        # Read several times below: its keys are stored, its rows are judged on the way.
+        df, counted = _keys_and_counts(df, rule, checks)
     limits = {
         f"null:{c}": (0.0, rule.max_null) if c in rule.critical else (MAX_NULL_WARNING, 1.0)
-        for c in df.columns
+        for c in columns
     }
     limits["negative amounts"] = (0.0, MAX_INVALID)
     short = {name: f"f{i}" for i, name in enumerate(checks)}
@@ -439,6 +444,17 @@ def _gate_counts(
     return found
 
 
+def _keys_and_counts(
+    df: DataFrame, rule: GateRules, checks: Mapping[str, Column]
+) -> tuple[DataFrame, dict[str, int] | None]:
+    """Stored keys of all rows, and the row checks counted by the job that stores them."""
+    keys = list(dict.fromkeys([*rule.key, *rule.foreign_keys]))
+    path = scratch_path(df.sparkSession, "gate-keys")
+    found = counted_write(df, checks, lambda rows: rows.select(*keys).write.parquet(path))
+    narrow = df.sparkSession.read.schema(df.select(*keys).schema).parquet(path)
+    return narrow, found
+
+
 def fact_metrics(fact: DataFrame) -> DataFrame:
     """Run metrics of the fact, one row each."""
     columns = fact.columns

@@ -488,7 +488,9 @@ def column_defaults(spark, folder):
 
 @query
 def threshold_gate(spark, folder):
-    fact, dims = _unfiltered_stored(spark, folder)
+    # The gate reads the fact once, so it is stored whole only if another check did so.
+    fact, dims = _unfiltered(spark, folder)
+    fact = _UNFILTERED.get((spark.sparkContext.applicationId, folder), fact)
     return quality.threshold_gate({**dims, "fact_order_items": fact})
 
 
