@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.llm import langid, minhash, packing, pii, substrings
-from tradewind.llm.frames import table
+from tradewind.llm.frames import kept, parted, passing, table
 from tradewind.session import configure, stored
 
 # A document is rejected if no language holds this share of its letters.
@@ -29,6 +29,12 @@ NEAR_PERCENT = 80
 ORACLE_SQL = None
 
 
+def _tidy(spark: SparkSession) -> None:
+    """Settings of the stages: shuffle files go with the job that read them, not with the
+    driver's next garbage collection."""
+    configure(spark).conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of documents, with the length of the text as it is now."""
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -40,7 +46,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where no document has a ``lang`` there is nothing to learn from: those with a letter stay.
     """
-    configure(spark)
+    _tidy(spark)
     model = langid.trained(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -51,32 +57,43 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, rows repeated once."""
-    configure(spark)
-    judged = stored(minhash.near_duplicates(docs, percent=NEAR_PERCENT), "judged")
-    stay = judged.where("kept or component_id is null").select(
-        F.col("doc_id").alias("stay_id")).distinct()
-    left = docs.join(stay, docs["doc_id"].eqNullSafe(stay["stay_id"]), "left_semi")
-    repeated = judged.groupBy("doc_id").count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    _tidy(spark)
+    with passing(spark):
+        judged = kept(minhash.near_duplicates(docs, percent=NEAR_PERCENT), "judged")
+        ids = judged.groupBy(F.col("doc_id").alias("_id")).agg(
+            F.max(F.expr("kept or component_id is null")).alias("_stays"),
+            F.count("*").alias("_rows"))
+        # The texts of ids that stay and do not repeat are not shuffled.
+        marked = stored(ids.where("not _stays or _rows > 1"), "marked")
+    may, others = parted(docs, F.col("doc_id"), marked, F.col("_id"))
+    gone = marked.where("not _stays")
+    left = may.join(gone, may["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    if not marked.where("_stays and _rows > 1").isEmpty():
+        left = left.dropDuplicates(["doc_id", "text"])
+    return left.unionByName(others)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of earlier ones; those with nothing else go."""
-    configure(spark)
-    cut = substrings.without_repeats(docs, substrings.repeats(docs))
+    _tidy(spark)
+    with passing(spark):
+        found = stored(substrings.repeats(docs), "repeats")
+    cut = substrings.without_repeats(docs, found)
     left = cut.where((F.col("n_words_cut") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _sized(left, docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    configure(spark)
-    return _sized(pii.masked(docs, pii.personal_data(docs)), docs.columns)
+    _tidy(spark)
+    with passing(spark):
+        spans = stored(pii.personal_data(docs).where("size(base) + size(found) > 0"), "spans")
+    return _sized(pii.masked(docs, spans), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences."""
-    configure(spark)
+    _tidy(spark)
     pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packing.packed(pieces.select("doc_id", "piece", "start", "length",
                                         F.crc32("ids").alias("ids_crc32")))

@@ -5,14 +5,17 @@ from __future__ import annotations
 import ctypes
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradewind.session import stored
+from tradewind.session import scratch_path, stored_at
+from tradewind.sources.files import delete_path
 
 # Rows and bytes handed to a Python worker at once: bounds its memory when texts are long.
 ROWS_AT_ONCE, BYTES_AT_ONCE = 512, "1m"
@@ -62,9 +65,37 @@ def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(tidy, schema)
 
 
+# Paths of the innermost ``passing`` block.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Computed once, written to the shared folder and read back."""
-    return stored(df, name)
+    return _kept(df, name, _PASSING.get())
+
+
+def _kept(df: DataFrame, name: str, paths: list[str] | None) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    if paths is not None:
+        paths.append(path)
+    return stored_at(df, path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is kept within the block is deleted when it ends.
+
+    The block gets another ``kept``, for what is read after it: that lasts as long as what is
+    kept around the block.
+    """
+    around, own = _PASSING.get(), []
+    token = _PASSING.set(own)
+    try:
+        yield lambda df, name: _kept(df, name, around)
+    finally:
+        _PASSING.reset(token)
+        for path in own:
+            delete_path(spark, path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -220,3 +251,25 @@ def bloom(hashes: DataFrame, count: int) -> Bloom:
         words[[r["at"] for r in rows]] = np.array([r["word"] for r in rows],
                                                   dtype=np.int64).view(np.uint64)
     return Bloom(words)
+
+
+def parted(rows: DataFrame, key: Column, few: DataFrame, few_key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among those of ``few``, and the others, which it lacks for sure.
+
+    A join with ``few`` then shuffles the first ones only, not all rows with their texts.
+    ``rows`` are read twice, and ``few`` twice besides the join. Keys of different types,
+    whose hashes differ, are not told apart.
+    """
+    spark = rows.sparkSession
+    if rows.select(key).schema[0].dataType != few.select(few_key).schema[0].dataType:
+        return rows, rows.where(F.lit(False))
+    findable(spark)
+    hashes = few.select(F.xxhash64(few_key).alias("h")).distinct()
+    shared = spark.sparkContext.broadcast(bloom(hashes, hashes.count()))
+
+    @F.arrow_udf("boolean")
+    def may(h: pa.Array) -> pa.Array:
+        return pa.array(shared.value.may_hold(h.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    marked = may(F.xxhash64(key))
+    return rows.where(marked), rows.where(~marked)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.frames import Bloom, bloom, kept, mapped, slices
+from tradewind.llm.frames import Bloom, bloom, kept, mapped, parted, slices
 from tradewind.llm.words import _BACK as BACK, _STEP as STEP, _powers as powers, Words, mixed, utf8, words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -356,7 +356,10 @@ def masked(df: DataFrame, spans: DataFrame, id_col: str = "doc_id",
     of_text = spans.select(F.col(id_col).alias("_masked_span_id"), F.col("text_hash").alias("_masked_span_hash"),
                            F.concat("base", "found").alias("_masked_spans")).dropDuplicates(
         ["_masked_span_id", "_masked_span_hash"]).where(F.size("_masked_spans") > 0)
-    hashed = df.withColumn("_masked_span_hash", F.xxhash64(F.col(text_col)))
+    of_text = kept(of_text, "masked_spans")
+    # Texts without spans are not shuffled.
+    may, others = parted(df, F.col(f"`{id_col}`"), of_text, F.col("_masked_span_id"))
+    hashed = may.withColumn("_masked_span_hash", F.xxhash64(F.col(text_col)))
     joined = hashed.join(of_text, hashed[id_col].eqNullSafe(of_text["_masked_span_id"])
                          & (hashed["_masked_span_hash"] == of_text["_masked_span_hash"]), "left").select(
         *[F.col(f"`{c}`") for c in names], "_masked_spans")
@@ -373,7 +376,7 @@ def masked(df: DataFrame, spans: DataFrame, id_col: str = "doc_id",
                  for k in range(len(names))], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return mapped(joined, work, schema)
+    return mapped(joined, work, schema).unionByName(others)
 
 
 def _replaced(text: str, spans: list[dict]) -> str:

@@ -43,7 +43,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.frames import bloom, gathered, kept, mapped, slices
+from tradewind.llm.frames import bloom, gathered, kept, mapped, parted, passing, slices
 from tradewind.llm.words import SHINGLE, Words, mixed, runs, utf8, words
 
 LEAST = 50
@@ -234,7 +234,7 @@ def hits(df: DataFrame, id_col: str, text_col: str, least: int, functions: int,
         "id is not null")
     all_take_part = open_ is None
     if not all_take_part:
-        plain = plain.join(open_, "id")
+        plain = parted(plain, F.col("id"), open_, F.col("id"))[0].join(open_, "id")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, 1 << 16, TEXT_BYTES):
@@ -529,27 +529,31 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     overlap = ("size(hits) > 1 and exists(hits, a -> exists(hits, b -> a.function < b.function and "
                f"least(a.right, b.right) - greatest(a.left, b.left) + 1 >= {width}))")
     while True:
-        met = hits(df, id_col, text_col, least, max(functions, joint), joint, open_)
-        enough = F.lit(True) if joint >= ENOUGH else F.expr(overlap)
-        pairs = kept(met.groupBy("id", "other").agg(F.collect_list("hit").alias("hits"))
-                     .withColumn("enough", enough), "pairs")
-        if found and pairs.isEmpty():
-            break
-        found.append(kept(verified(df, pairs.where("enough").drop("enough"), id_col, text_col,
-                                   least, percent), "found"))
-        # What no passage of the document covers may have another partner.
-        covered = found[-1].groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        uncovered = "filter(hits, h -> not exists(spans, s -> h.place >= s.start and h.place < s.end))"
-        left = pairs.join(covered, "id", "left").withColumn(
-            "spans", F.coalesce("spans", F.array().cast(_SPANS))).select(
-            "id", F.explode(F.expr(uncovered)).alias("hit"))
-        # Functions are taken together: two of the first ones, then all, then twice as many.
-        joint = 2 * joint if joint >= functions else 2 if joint == 1 < functions // 2 else functions
-        if joint <= functions:
-            left = left.where(F.col("hit.function") % joint == 0)
-        open_ = kept(left.groupBy("id").agg(F.collect_set(
-            F.col("hit.function").cast("long") * F.lit(1 << 40) + F.col("hit.place")).alias("places")),
-            "open")
+        with passing(df.sparkSession) as lasting:
+            met = hits(df, id_col, text_col, least, max(functions, joint), joint, open_)
+            enough = F.lit(True) if joint >= ENOUGH else F.expr(overlap)
+            pairs = kept(met.groupBy("id", "other").agg(F.collect_list("hit").alias("hits"))
+                         .withColumn("enough", enough), "pairs")
+            if found and pairs.isEmpty():
+                break
+            found.append(lasting(verified(df, pairs.where("enough").drop("enough"), id_col,
+                                          text_col, least, percent), "found"))
+            # What no passage of the document covers may have another partner.
+            covered = found[-1].groupBy("id").agg(
+                F.flatten(F.collect_list("spans")).alias("spans"))
+            uncovered = ("filter(hits, h -> not exists(spans, s -> h.place >= s.start and "
+                         "h.place < s.end))")
+            left = pairs.join(covered, "id", "left").withColumn(
+                "spans", F.coalesce("spans", F.array().cast(_SPANS))).select(
+                "id", F.explode(F.expr(uncovered)).alias("hit"))
+            # Functions are taken together: two of the first ones, then all, then twice as many.
+            joint = (2 * joint if joint >= functions else 2 if joint == 1 < functions // 2
+                     else functions)
+            if joint <= functions:
+                left = left.where(F.col("hit.function") % joint == 0)
+            open_ = lasting(left.groupBy("id").agg(F.collect_set(
+                F.col("hit.function").cast("long") * F.lit(1 << 40) + F.col("hit.place"))
+                .alias("places")), "open")
         if open_.isEmpty():
             break
         if joint > 2:
@@ -584,12 +588,14 @@ def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``df`` with the spans of ``repeats`` cut out of the texts; first copies stay.
 
-    Adds n_words_cut. White space before a cut goes with it.
+    Adds n_words_cut. White space before a cut goes with it. Texts without spans are not
+    shuffled; ``found`` is kept, as it is read several times.
     """
-    names = df.columns
+    names, found = df.columns, kept(found, "repeats")
     spans = found.select(F.col(id_col).alias("_repeats_cut_id"), F.col("text_hash").alias("_repeats_cut_hash"),
                          F.col("spans").alias("_repeats_cut_spans"))
-    texts = df.withColumn("_repeats_cut_hash", F.xxhash64(F.col(text_col)))
+    may, others = parted(df, F.col(f"`{id_col}`"), spans, F.col("_repeats_cut_id"))
+    texts = may.withColumn("_repeats_cut_hash", F.xxhash64(F.col(text_col)))
     joined = texts.join(spans, (F.col(id_col) == F.col("_repeats_cut_id")) & (
         texts["_repeats_cut_hash"] == spans["_repeats_cut_hash"]), "left").select(
         *[F.col(f"`{c}`") for c in names], "_repeats_cut_spans")
@@ -620,4 +626,5 @@ def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id",
                                              names=[*names, "n_words_cut"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return mapped(joined, cut, f"{schema}, n_words_cut long")
+    return mapped(joined, cut, f"{schema}, n_words_cut long").unionByName(
+        others.withColumn("n_words_cut", F.lit(0).cast("long")))
